@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,3 +66,44 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     nodes = state.select(F.col("src").alias("node"), F.col("dst").alias("component"))
     return nodes.union(state.select(F.col("dst").alias("node"), F.col("dst").alias("component")).distinct())
+
+
+def runs(batches, keys: list[str]):
+    """Whole groups from Arrow batches that are sorted by keys: (table, starts), where group g is rows starts[g] to
+    starts[g + 1]. A group that goes over the end of a batch is held back until it is complete."""
+    held = None
+    for batch in batches:
+        now = pa.Table.from_batches([batch])
+        held = now if held is None else pa.concat_tables([held, now])
+        cuts = _cuts(held, keys)
+        if len(cuts) > 2:
+            yield held.slice(0, cuts[-2]).combine_chunks(), cuts[:-1]
+            held = held.slice(cuts[-2])
+    if held is not None and held.num_rows:
+        yield held.combine_chunks(), _cuts(held, keys)
+
+
+def _cuts(rows: pa.Table, keys: list[str]) -> np.ndarray:
+    change = np.zeros(rows.num_rows, bool)
+    if rows.num_rows:
+        change[0] = True
+    for key in keys:
+        values = rows.column(key).to_numpy()
+        change[1:] |= values[1:] != values[:-1]
+    return np.append(np.flatnonzero(change), rows.num_rows)
+
+
+def bitmap(df: DataFrame, column: str, bits: int = 1 << 23) -> np.ndarray:
+    """A filter of fixed size (bits) with the hash of each value of a long column set: at most bits / 64 rows come to the driver.
+    It keeps rows that cannot match out of a shuffle; where too many values fill it, it only saves less."""
+    at = F.pmod(F.col(column), F.lit(bits))
+    words = df.select(at.alias("at")).groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("set")).collect()
+    out = np.zeros(bits // 64, np.int64)
+    for r in words:
+        out[r.word] = r.set
+    return out
+
+
+def in_bitmap(filter_: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = np.mod(values.astype(np.int64), len(filter_) * 64)
+    return (filter_[at // 64] >> (at % 64)) & 1 == 1

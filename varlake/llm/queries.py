@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varlake.llm import toxicity
+from varlake.llm import jaccard, toxicity
 from varlake.llm.common import table
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 4-word shingles have a Jaccard similarity of 0.85 or more."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), n=4, threshold=(85, 100))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from rows whose crc32(doc_id) is no multiple of 5.
     A null doc_id counts as held out."""
@@ -19,6 +24,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_jaccard_join": op4_jaccard_join,
     "op8_toxicity": op8_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}
