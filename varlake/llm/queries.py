@@ -5,10 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varlake.llm import jaccard, toxicity
+from varlake.llm import bpe, decontaminate, jaccard, lines, toxicity
 from varlake.llm.common import table
 
 
+def _tokenizer() -> tuple[str, str]:
+    """Path of the rank file and the pattern of its pieces."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of every document, encoded and decoded again."""
+    return bpe.round_trip(table(spark, sf_dir, "documents"), *_tokenizer(), ["doc_id"])
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What line dedup leaves of every document: lines, removed lines, digest of the text that stays."""
+    kept = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 4-word shingles have a Jaccard similarity of 0.85 or more."""
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), n=4, threshold=(85, 100))
@@ -23,8 +41,17 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of the benchmark, with the items and the longest overlap."""
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.array_join(F.col("items").cast("array<string>"), ",").alias("items"), "n_overlaps", "longest")
+
+
 QUERIES = {
+    "op2_bpe": op2_bpe,
+    "op3_line_dedup": op3_line_dedup,
     "op4_jaccard_join": op4_jaccard_join,
     "op8_toxicity": op8_toxicity,
+    "op10_decontamination": op10_decontamination,
 }
 ORACLE_SQL: dict[str, str] = {}
