@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from varlake.llm.arrays import Words, mix, root, slices
+from varlake.llm.common import stage
 
 #: Labelled rows that a model is fitted on at most, and terms that it keeps at most: the bounds of what is broadcast.
 MAX_EXAMPLES, MAX_TERMS = 4096, 256
@@ -137,27 +138,22 @@ def fit(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLE
     Repeated labels of a document: the largest counts. Null labels and ids are left out; null texts are empty.
     Without usable labels every text gets 0.5; with one label only, nearly that label.
     """
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             words = Words(batch.column("text"), lower=True, terms=True)
             h = words.hashes()
-            hashes, forms = [], []
-            for lo, hi in zip(words.first[:-1], words.first[1:]):
-                own, first = np.unique(h[lo:hi], return_index=True)
-                hashes.append(own.view(np.int64))
-                forms.append([words.text(lo + i)[:64].lower() for i in first])
-            yield pa.record_batch([batch.column("doc_id"), batch.column("toxic"), pa.array(hashes, pa.list_(pa.int64())), pa.array(forms, pa.list_(pa.string())), batch.column("text")], names=["doc_id", "toxic", "hashes", "words", "text"])
-
-    schema = "doc_id long, toxic int, hashes array<long>, words array<string>, text string"
-    sample = examples(documents, labels, max_examples).selectExpr("doc_id", "CAST(toxic AS int) AS toxic", "text")
-    rows = sample.mapInArrow(counted, schema).toArrow()  # at most max_examples rows
-    rows = rows.take(np.argsort(rows.column("doc_id").to_numpy(), kind="stable")) if rows.num_rows else rows
-    toxic = np.array(rows.column("toxic").to_pylist(), int)
+            own = [np.unique(h[lo:hi]).view(np.int64) for lo, hi in zip(words.first[:-1], words.first[1:])]
+            yield pa.record_batch([batch.column("toxic"), pa.array(own, pa.list_(pa.int64()))], names=["toxic", "hashes"])
+
+    sample = stage(examples(documents, labels, max_examples).selectExpr("doc_id", "CAST(toxic AS int) AS toxic", "text"), "examples")
+    rows = sample.mapInArrow(hashed, "toxic int, hashes array<long>").toArrow().combine_chunks()  # at most max_examples rows
+    toxic, column = rows.column("toxic").to_numpy().astype(int), rows.column("hashes").combine_chunks()
+    ends = np.append(0, np.cumsum(column.value_lengths().to_numpy().astype(int))) if len(column) else [0]
+    flat = column.flatten().to_numpy().view(np.uint64)
+    hashes = [flat[lo:hi] for lo, hi in zip(ends[:-1], ends[1:])]
+    every = np.unique(flat)
 
     # terms by the G statistic of their document frequencies under the two labels
-    hashes = [np.array(x, np.int64).view(np.uint64) for x in rows.column("hashes").to_pylist()]
-    seen = {h: w for own, forms in zip(hashes, rows.column("words").to_pylist()) for h, w in zip(own.tolist(), forms)}
-    every = np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
     counts, share = np.zeros((2, len(every))), _shares(hashes)
     for own, y, weight in zip(hashes, toxic, share):
         counts[y, np.searchsorted(every, own)] += weight
@@ -175,7 +171,20 @@ def fit(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLE
 
     frequency, total = document_frequencies(documents, chosen)
     idf = np.log((1 + total) / (1 + frequency)) + 1
-    vectors = [_unit(c, idf) for c in _term_counts(rows.column("text").combine_chunks() if rows.num_rows else pa.array([], pa.string()), chosen)]
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            words = Words(batch.column("text"), lower=True, terms=True)
+            where = {int(h): i for i, h in enumerate(words.hashes()) if h in wanted}
+            own = _term_counts(batch.column("text"), chosen)
+            forms = [[words.text(where[int(chosen[t])]).lower() for t in terms] for terms, _ in own]
+            yield pa.record_batch([batch.column("doc_id"), batch.column("toxic"), pa.array([t for t, _ in own], pa.list_(pa.int64())), pa.array([n for _, n in own], pa.list_(pa.int64())), pa.array(forms, pa.list_(pa.string()))], names=["doc_id", "toxic", "terms", "counts", "words"])
+
+    wanted = set(chosen.tolist())
+    rows = sorted(sample.mapInArrow(counted, "doc_id long, toxic int, terms array<long>, counts array<long>, words array<string>").toArrow().to_pylist(), key=lambda r: (r["doc_id"], r["terms"], r["counts"]))
+    toxic, ids = np.array([r["toxic"] for r in rows], int), [r["doc_id"] for r in rows]
+    vectors = [_unit((np.array(r["terms"], int), np.array(r["counts"])), idf) for r in rows]
+    forms = {t: w for r in rows for t, w in zip(r["terms"], r["words"])}
     has = [i for i, (terms, _) in enumerate(vectors) if len(terms)]
     none = np.setdiff1d(np.arange(len(toxic)), has)
     prior = (toxic.sum() + 0.5) / (len(toxic) + 1)
@@ -186,8 +195,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLE
     for n, i in enumerate(has):
         terms, weights = vectors[i]
         blocks[terms, n // BLOCK] = np.maximum(blocks[terms, n // BLOCK], weights)
-    ids = rows.column("doc_id").to_pylist()
-    model = Model(chosen, [seen[h] for h in chosen.tolist()], idf, [ids[i] for i in has], toxic[has].astype(float), [vectors[i] for i in has], blocks, empty, k=k)
+    model = Model(chosen, [forms[t] for t in range(len(chosen))], idf, [ids[i] for i in has], toxic[has].astype(float), [vectors[i] for i in has], blocks, empty, k=k)
     votes = np.array([_vote(model, *nearest(model, *model.vectors[i], skip=i)) for i in range(len(has))])
     model.curve = _curve(votes, model.labels)
     return model
