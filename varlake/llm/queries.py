@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varlake.llm import bpe, decontaminate, jaccard, lines, toxicity
+from varlake.llm import bpe, decontaminate, fingerprint, jaccard, lines, toxicity
 from varlake.llm.common import table
 
 
@@ -16,6 +16,11 @@ def _tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how like they are."""
+    return fingerprint.edits(table(spark, sf_dir, "documents"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document, encoded and decoded again."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), *_tokenizer(), ["doc_id"])
@@ -48,6 +53,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_bpe": op2_bpe,
     "op3_line_dedup": op3_line_dedup,
     "op4_jaccard_join": op4_jaccard_join,
