@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varlake.llm import bpe, decontaminate, fingerprint, jaccard, lines, toxicity
+from varlake.llm import bpe, decontaminate, fingerprint, jaccard, lines, substrings, toxicity
 from varlake.llm.common import table
 
 
@@ -37,6 +37,12 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), n=4, threshold=(85, 100))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the windows of 20 words that start earlier, too."""
+    kept = substrings.dedup_substrings(table(spark, sf_dir, "documents"), n=20)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from rows whose crc32(doc_id) is no multiple of 5.
     A null doc_id counts as held out."""
@@ -57,6 +63,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_line_dedup": op3_line_dedup,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_substring_dedup": op5_substring_dedup,
     "op8_toxicity": op8_toxicity,
     "op10_decontamination": op10_decontamination,
 }
