@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varlake.llm import bpe, decontaminate, fingerprint, jaccard, lines, substrings, toxicity
+from varlake.llm import bpe, chat, decontaminate, fingerprint, jaccard, lines, substrings, toxicity
 from varlake.llm.common import table
 
 
@@ -43,6 +43,13 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts are control strings, formatted; the digests are read back from the output."""
+    own = spark.createDataFrame([(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(own)
+    return chat.digests(chat.format_conversations(rows))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from rows whose crc32(doc_id) is no multiple of 5.
     A null doc_id counts as held out."""
@@ -64,6 +71,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_chat_format": op6_chat_format,
     "op8_toxicity": op8_toxicity,
     "op10_decontamination": op10_decontamination,
 }
