@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varlake.llm import bpe, chat, decontaminate, fingerprint, jaccard, lines, substrings, toxicity
+from varlake.llm import bpe, chat, decontaminate, fingerprint, jaccard, lines, substrings, toxicity, warc
 from varlake.llm.common import table
 
 
@@ -59,6 +59,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back through their index."""
+    index = warc.write_warc(table(spark, sf_dir, "pages"), revisit_bytes=0)
+    return warc.read_warc(index, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold passages of the benchmark, with the items and the longest overlap."""
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -73,6 +79,7 @@ QUERIES = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_chat_format": op6_chat_format,
     "op8_toxicity": op8_toxicity,
+    "op9_warc": op9_warc,
     "op10_decontamination": op10_decontamination,
 }
 ORACLE_SQL: dict[str, str] = {}
