@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varlake.llm import bpe, chat, decontaminate, fingerprint, jaccard, lines, substrings, toxicity, warc
+from varlake.llm import bpe, chat, decontaminate, fingerprint, jaccard, lines, markup, substrings, toxicity, warc
 from varlake.llm.common import table
 
 
@@ -50,6 +50,12 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(rows))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return markup.extract(pages, markup.fit(pages), ["page_id", "url"]).select("page_id", "url", "text", "n_chars")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from rows whose crc32(doc_id) is no multiple of 5.
     A null doc_id counts as held out."""
@@ -78,6 +84,7 @@ QUERIES = {
     "op4_jaccard_join": op4_jaccard_join,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_chat_format": op6_chat_format,
+    "op7_html_text": op7_html_text,
     "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
     "op10_decontamination": op10_decontamination,
