@@ -1,4 +1,10 @@
 """All queries of the library, by name, and their SQL."""
 
+from importlib import import_module
+
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+for _name in ("rows",):
+    _module = import_module(f"varlake.plans.q_{_name}")
+    QUERIES.update(_module.QUERIES)
+    ORACLE_SQL.update(_module.ORACLE_SQL)
