@@ -162,17 +162,12 @@ def utr5_status(df: DataFrame, consequence: str = "5UTR_consequence", annotation
     if consequence not in df.columns:
         return df.withColumn("UTRAnnotator_status", F.lit("not_annotated"))
     text = F.trim(F.coalesce(F.col(f"`{consequence}`"), F.lit("")))
-    # entries as maps of lower-cased fields; ones without a field are dropped
-    def fields(x: Column) -> Column:
-        pairs = F.transform(F.filter(F.split(x, ":"), lambda i: F.contains(i, F.lit("="))), lambda i: F.struct(F.trim(F.substring_index(i, "=", 1)).alias("key"), F.lower(F.trim(F.substring_index(i, "=", -1))).alias("value")))
-        return F.map_from_entries(F.filter(pairs, lambda p: F.array_position(F.transform(pairs, lambda q: q["key"]), p["key"]) > 0))
-
-    entries = F.filter(F.transform(F.split(F.coalesce(column(df, annotation), F.lit("")), "[&,]"), fields), lambda m: F.size(m) > 0)
+    entries = F.filter(F.split(F.coalesce(column(df, annotation), F.lit("")), "[&,]"), lambda e: F.contains(e, F.lit("=")))
     terms = F.filter(F.transform(F.split(F.lower(text), "[&,]"), lambda t: F.trim(t)), lambda t: t != "")
-    linked = F.exists(entries, lambda e: F.map_contains_key(e, "consequence"))
+    linked = F.exists(entries, lambda e: e.rlike("(?:^|:)\\s*consequence\\s*="))
 
     def get(e: Column, key: str) -> Column:
-        return F.coalesce(F.try_element_at(e, F.lit(key)), F.lit(""))
+        return F.lower(F.trim(F.regexp_extract(e, f"(?:^|:)\\s*{key}\\s*=([^:]*)", 1)))
 
     def started(e: Column) -> Column:
         strong, weak = get(e, "KozakStrength").isin("strong", "moderate") | (get(e, "Evidence") == "true"), (get(e, "KozakStrength") == "weak") & (get(e, "Evidence") == "false")

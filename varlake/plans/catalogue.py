@@ -1,10 +1,6 @@
 """All queries of the library, by name, and their SQL."""
 
-from importlib import import_module
+from varlake.plans import q_rows, q_status  # noqa: F401  they register themselves
+from varlake.plans.registry import ORACLE_SQL, QUERIES
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
-for _name in ("rows",):
-    _module = import_module(f"varlake.plans.q_{_name}")
-    QUERIES.update(_module.QUERIES)
-    ORACLE_SQL.update(_module.ORACLE_SQL)
+__all__ = ["ORACLE_SQL", "QUERIES"]

@@ -30,7 +30,8 @@ SELECT 'chr' || CAST(1 + l_suppkey % 22 AS STRING) AS CHROM,
  CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE
   substr('ACGT', CAST(1 + (l_partkey + 1 + l_linenumber % 3) % 4 AS INT), 1) || '|G' || CAST(l_partkey % 50 AS STRING) || '|' || CAST(l_tax AS STRING) || '|' || CAST(l_discount AS STRING) || '|0.0|.|1|2|3|4&'
   || 'A|G' || CAST((l_partkey + 1) % 50 AS STRING) || '|0.5|0.0|0.0|.|1|2|3|4' END AS SpliceAI,
- l_orderkey, l_linenumber
+ l_orderkey, l_linenumber,
+ CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) AS row_key
 FROM {lineitem}
 """
 
@@ -138,5 +139,8 @@ def oracle(sql: str) -> str:
             text = text.replace("{" + n + "}", n)
         return text
 
-    body = need(sql)
-    return (f"WITH {', '.join(f'{n} AS ({t})' for n, t in found.items())} " if found else "") + body
+    body = need(sql).strip()
+    if not found:
+        return body
+    ctes = ", ".join(f"{n} AS ({t})" for n, t in found.items())
+    return f"WITH {ctes}, {body[5:]}" if body.startswith("WITH ") else f"WITH {ctes} {body}"
