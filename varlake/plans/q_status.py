@@ -368,8 +368,8 @@ def _(spark, d):
     return family.inheritance_model(rows.recode_genotypes(table(spark, d, "v_wide")), "S0", "S1", "S2", ["S0", "S1"]).select(*KEY, "INHERITANCE_MODEL", "SAMPLE_GENOTYPES_SUMMARY")
 
 
-_SIDES = f"""SELECT *, CASE WHEN p = 'HET' AND f IN ('HET','HOMALT') AND m = 'HOMREF' THEN 'Paternal' WHEN p = 'HET' AND f = 'HOMREF' AND m IN ('HET','HOMALT') THEN 'Maternal' END AS side, SYMBOL || '/' || CAST(l_orderkey % 40 AS STRING) AS gene FROM ({_TRIO}) t"""
-_PAIRS = f"""SELECT s.*, g.pa, g.ma FROM ({_SIDES}) s LEFT JOIN (SELECT gene, coalesce(string_agg(Locus, '; ' ORDER BY row_key) FILTER (side = 'Paternal'), '') AS pa, coalesce(string_agg(Locus, '; ' ORDER BY row_key) FILTER (side = 'Maternal'), '') AS ma FROM ({_SIDES}) x GROUP BY gene) g USING (gene)"""
+_SIDES = f"""SELECT *, CASE WHEN p = 'HET' AND f IN ('HET','HOMALT') AND m = 'HOMREF' THEN 'Paternal' WHEN p = 'HET' AND f = 'HOMREF' AND m IN ('HET','HOMALT') THEN 'Maternal' END AS side, SYMBOL || '/' || CAST(l_orderkey % 40 AS STRING) AS gkey FROM ({_TRIO}) t"""
+_PAIRS = f"""SELECT s.*, g.pa, g.ma FROM ({_SIDES}) s LEFT JOIN (SELECT gkey, coalesce(string_agg(Locus, '; ' ORDER BY row_key) FILTER (side = 'Paternal'), '') AS pa, coalesce(string_agg(Locus, '; ' ORDER BY row_key) FILTER (side = 'Maternal'), '') AS ma FROM ({_SIDES}) x GROUP BY gkey) g USING (gkey)"""
 
 
 def _trio(spark, d):
@@ -381,10 +381,10 @@ def _(spark, d):
     return family.compound_het_trans(_trio(spark, d), "S0", "S1", "S2", KEY).select(*KEY, "compound_het", "COMPOUND_HET_PAIR")
 
 
-_HETS = f"SELECT *, count(*) FILTER (p = 'HET') OVER (PARTITION BY gene) AS n0, count(*) FILTER (f = 'HET') OVER (PARTITION BY gene) AS n1 FROM ({_SIDES}) h"
+_HETS = f"SELECT *, count(*) FILTER (p = 'HET') OVER (PARTITION BY gkey) AS n0, count(*) FILTER (f = 'HET') OVER (PARTITION BY gkey) AS n1 FROM ({_SIDES}) h"
 
 
-@query("compound_het_unphased", f"""WITH h AS ({_HETS}), o AS (SELECT a.row_key, string_agg(b.Locus, '; ' ORDER BY b.row_key) FILTER (b.p = 'HET') AS o0, string_agg(b.Locus, '; ' ORDER BY b.row_key) FILTER (b.f = 'HET') AS o1 FROM h a JOIN h b ON a.gene = b.gene AND a.row_key <> b.row_key GROUP BY 1)
+@query("compound_het_unphased", f"""WITH h AS ({_HETS}), o AS (SELECT a.row_key, string_agg(b.Locus, '; ' ORDER BY b.row_key) FILTER (b.p = 'HET') AS o0, string_agg(b.Locus, '; ' ORDER BY b.row_key) FILTER (b.f = 'HET') AS o1 FROM h a JOIN h b ON a.gkey = b.gkey AND a.row_key <> b.row_key GROUP BY 1)
  SELECT h.row_key, (p = 'HET' AND n0 >= 2) OR (f = 'HET' AND n1 >= 2) AS compound_het_candidate, CASE WHEN f = 'HET' AND n1 >= 2 THEN 'Unphased Candidate | Partners (S1): ' || o1 WHEN p = 'HET' AND n0 >= 2 THEN 'Unphased Candidate | Partners (S0): ' || o0 ELSE '' END AS COMPOUND_HET_PAIR FROM h LEFT JOIN o USING (row_key)""")
 def _(spark, d):
     return family.compound_het_unphased(_trio(spark, d), ["S0", "S1"], KEY).select(*KEY, "compound_het_candidate", "COMPOUND_HET_PAIR")
