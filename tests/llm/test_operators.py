@@ -394,3 +394,26 @@ def test_decontamination_in_blocks(spark, monkeypatch):
     df = spark.createDataFrame([(i, f"x {t} y") for i, t in items], "doc_id long, text string")
     got = decontaminate.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {r.doc_id: r["items"] for r in got} == {i: [i] for i, _ in items}
+
+
+def test_components(spark, monkeypatch):
+    from varlake.llm import common
+
+    rng = random.Random(11)
+    edges = [(rng.randint(0, 150), rng.randint(0, 150)) for _ in range(90)] + [(k, k + 1) for k in range(200, 260)] + [(5, 5), (300, 1000)]
+    parent = {n: n for e in edges for n in e}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        parent[y] = x
+    expected = {n: find(n) for e in edges if e[0] != e[1] for n in e}
+    df = spark.createDataFrame(edges, "src long, dst long")
+    for small in (500_000, 0):
+        monkeypatch.setattr(common, "SMALL", small)
+        assert {r.node: r.component for r in common.components(df).collect()} == expected
+        assert common.components(df.limit(0)).count() == 0

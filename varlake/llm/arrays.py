@@ -23,6 +23,8 @@ _PUNCTUATION = np.ones(256, bool)
 _PUNCTUATION[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: For bytes.translate: terms in lower case, all else blanks.
+NORMAL_BYTES = np.where(_PUNCTUATION, np.uint8(32), _LOWER).tobytes()
 _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from varlake.llm.arrays import root
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -33,21 +35,38 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Edges (16 bytes each) of a graph that one task joins.
+SMALL = 500_000
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of the undirected edges (src long, dst long), as (node, component): the smallest node reachable.
 
     Large-star and small-star rounds (Kiveris et al., 2014): every round is a minimum, pre-aggregated before its
     shuffle, and an equi-join that Spark can split where one node has very many edges. Each round is written to the
-    shared folder. Nodes without an edge to another node are not returned. No edges: no rows.
+    shared folder. A graph of at most SMALL edges, counted first, is joined in one task instead of in rounds.
+    Nodes without an edge to another node are not returned. No edges: no rows.
     """
 
     def stamp(df: DataFrame) -> tuple:
         row = df.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("src", "dst")), F.lit(0)), F.coalesce(F.sum(F.xxhash64("src", "dst") % 1000003), F.lit(0))).first()
         return tuple(row)
 
+    def in_one_task(batches):
+        table_ = pa.Table.from_batches(batches, schema=pa.schema([("src", pa.int64()), ("dst", pa.int64())]))
+        nodes, at = np.unique(np.concatenate([table_.column("src").to_numpy(), table_.column("dst").to_numpy()]), return_inverse=True)
+        parent = np.arange(len(nodes))
+        for i, j in zip(at[: table_.num_rows].tolist(), at[table_.num_rows :].tolist()):
+            a, b = root(parent, i), root(parent, j)
+            parent[max(a, b)] = min(a, b)
+        low = np.array([root(parent, i) for i in range(len(nodes))], int)
+        yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array(nodes[low], pa.int64())], names=["node", "component"])
+
     # src > dst in every state
     state = stage(edges.where("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct(), "edges")
     before = stamp(state)
+    if 0 < before[0] <= SMALL:
+        return stage(state.coalesce(1).mapInArrow(in_one_task, "node long, component long"), "components")
     for _ in range(rounds):
         if not before[0]:
             break
@@ -107,3 +126,46 @@ def bitmap(df: DataFrame, column: str, bits: int = 1 << 23) -> np.ndarray:
 def in_bitmap(filter_: np.ndarray, values: np.ndarray) -> np.ndarray:
     at = np.mod(values.astype(np.int64), len(filter_) * 64)
     return (filter_[at // 64] >> (at % 64)) & 1 == 1
+
+
+def component_links(members: DataFrame, compare, chunk: int, num: int, den: int) -> DataFrame:
+    """Links (src, dst) that span the true components within each candidate component, without a task that takes a whole one.
+
+    members has component, node, size and what compare needs. compare(rows, deal) links nodes within each group that the
+    columns deal name: rows have side (one value: all pairs of the group count; two: only pairs across) and label (nodes
+    of one label are known to be joined). Nodes can only be linked if size / other size >= num / den.
+
+    1. Components are cut into chunks, each compared with itself. 2. One node of each group found is compared with those
+    of the component's other chunks. 3. Only nodes of different groups can still have unknown links: pairs of chunks that
+    hold such nodes are compared, large groups in chunks of their own, small ones pooled.
+    """
+    zero = F.lit(0).cast("long")
+    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / chunk).alias("chunks"))
+    members = stage(members.join(sizes, "component").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks")), "members")
+    found = stage(compare(members.select("*", zero.alias("side"), F.col("node").alias("label")), ["component", "chunk"]), "links")
+    large = members.where("chunks > 1")
+    if large.isEmpty():
+        return found
+    bare = members.drop("component", "chunk", "chunks").dropDuplicates(["node"])  # a node may be in several components
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        return rows.join(components(found).withColumnRenamed("component", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+    heads = labelled(large.select("component", "chunk", "node")).groupBy("component", "chunk", "label").agg(F.min("node").alias("node")).select("component", "node")
+    again = heads.join(heads.groupBy("component").agg(F.ceil(F.count("*") / chunk).alias("parts")), "component")
+    again = again.withColumn("part", F.pmod(F.xxhash64("node", "component"), "parts")).join(bare, "node")
+    found = stage(found.union(compare(again.select("*", zero.alias("side"), F.col("node").alias("label")), ["component", "part"])), "links")
+
+    apart = labelled(large.select("component", "node", "size"))
+    counts = apart.groupBy("component", "label").agg(F.count("*").alias("own"))
+    several = counts.groupBy("component").agg(F.count("*").alias("labels"), F.sum(F.when(F.col("own") < chunk, F.col("own"))).alias("pool")).where("labels > 1")
+    apart = apart.join(counts.join(several, "component"), ["component", "label"])
+    apart = apart.withColumn("side", F.expr(f"if(own < {chunk}, 0, label)")).withColumn("k", F.expr(f"pmod(xxhash64(node), ceil(if(own < {chunk}, pool, own) / {chunk}))"))
+    apart = stage(apart.select("component", "side", "k", "label", "node", "size"), "apart")
+    chunks = apart.groupBy("component", "side", "k").agg(F.min("size").alias("low"), F.max("size").alias("high"))
+    other = chunks.select("component", *(F.col(c).alias(f"{c}2") for c in ("side", "k", "low", "high")))
+    pairs = chunks.join(other, "component").where(f"(side, k) <= (side2, k2) AND (side <> side2 OR side = 0) AND high * {den} >= low2 * {num} AND high2 * {den} >= low * {num}")
+    pairs = pairs.select("component", F.xxhash64("side", "k", "side2", "k2").alias("pair"), F.array_distinct(F.array(F.struct("side", "k"), F.struct(F.col("side2").alias("side"), F.col("k2").alias("k")))).alias("both"))
+    pairs = pairs.select("component", "pair", F.explode("both").alias("own")).select("component", "pair", "own.side", "own.k")
+    dealt = apart.join(pairs, ["component", "side", "k"]).select("component", "pair", F.xxhash64("side", "k").alias("side"), "label", "node")
+    return found.union(compare(dealt.join(bare, "node"), ["component", "pair"]))

@@ -3,11 +3,16 @@
 1. Equal sets are one class; from here on classes are joined, not documents.
 2. Sets whose Jaccard similarity is at least t differ in at most (1 - t) / (1 + t) of the sum of their sizes. With
    the hash space cut into more parts than that, two such sets agree in a whole part. Each set is dealt out under the
-   hashes of its parts, and sets with an equal part are chained: the chains' components hold every link.
-3. Each component is cut into chunks of bounded size. A task gets two chunks, builds a signature tree over each
-   (nodes hold the OR of their sets' token bitmaps and the range of sizes) and walks both trees at once. A pair of
-   nodes whose largest possible overlap is too small is not descended; surviving pairs of sets are counted exactly.
-4. Links that join nothing new within a task are not returned; components of the rest are the result.
+   hashes of its parts.
+   Only groups of sets with an equal part are looked at further, each group of the same sets once.
+3. In each group a signature tree is built over the sets' token bitmaps: nodes hold the OR of their sets' bitmaps and the
+   range of sizes. The tree is walked against itself; a pair of nodes whose largest possible overlap is too small is
+   not descended. Pairs of sets that may overlap enough are candidates, as many as span their group.
+4. Components of the candidates hold every link. In each the same walk over the sets themselves counts the surviving
+   pairs exactly.
+5. Neither groups nor components are taken whole by a task: chunks of bounded size are compared with themselves, then
+   one set of each part found with those of other chunks, then only sets of different parts.
+6. Components of the links are the result. Links that join nothing new within a task are not returned.
 """
 
 from __future__ import annotations
@@ -17,10 +22,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from varlake.llm.arrays import mix, root, shingles, signed, slices
-from varlake.llm.common import bitmap, components, in_bitmap, runs, stage
+from varlake.llm.common import bitmap, component_links, components, in_bitmap, runs, stage
 
 #: Sets in a chunk: a task holds two chunks at most.
 CHUNK = 512
@@ -78,18 +84,29 @@ class Bands:
         return np.concatenate(out)
 
 
+def token_bitmap(hashes: np.ndarray) -> np.ndarray:
+    """Bitmap of a set, of about as many bits as it has tokens (64 to 65536); tokens are marked by their lowest bits."""
+    bits = min(max(64, 1 << (len(hashes) * 2 - 1).bit_length()), 1 << 16)
+    out = np.zeros(bits // 64, np.uint64)
+    at = hashes & np.uint64(bits - 1)
+    np.bitwise_or.at(out, (at >> np.uint64(6)).astype(int), np.uint64(1) << (at & np.uint64(63)))
+    return out
+
+
+def _folded(maps: list[np.ndarray]) -> np.ndarray:
+    """Bitmaps of one width: wider ones are folded upon themselves, which drops a bit of each token's place."""
+    width = min(map(len, maps))
+    return np.stack([np.bitwise_or.reduce(m.reshape(-1, width), axis=0) for m in maps])
+
+
 class SignatureTree:
-    """A tree over sets (sorted hash arrays). Level 0 has a node per set, in order of size and lowest hash, so that like
+    """A tree over sets, from their bitmaps and sizes. Level 0 has a node per set, in order of size and first bits, so that like
     sets stand together; each node above covers FANOUT nodes below. A node has the OR of its sets' bitmaps, the
     range of their sizes and the most bits that one of its sets lost to collisions."""
 
-    def __init__(self, sets: list[np.ndarray], bits: int):
-        self.order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), sets[i][0] if len(sets[i]) else 0, i))
-        maps = np.zeros((len(sets), bits // 64), np.uint64)
-        for row, i in enumerate(self.order):
-            at = sets[i] & np.uint64(bits - 1)
-            np.bitwise_or.at(maps[row], (at >> np.uint64(6)).astype(int), np.uint64(1) << (at & np.uint64(63)))
-        size = np.array([len(sets[i]) for i in self.order])
+    def __init__(self, maps: np.ndarray, sizes: np.ndarray):
+        self.order = np.lexsort((maps[:, 0], sizes)).tolist()
+        maps, size = maps[self.order], sizes[self.order]
         lost = size - np.bitwise_count(maps).sum(1).astype(int)
         self.levels = [(maps, size, size, lost)]
         while len(self.levels[-1][0]) > 1:
@@ -125,28 +142,75 @@ def walk(a: SignatureTree, b: SignatureTree, num: int, den: int, joined) -> Iter
         stack += below[::-1]
 
 
-def links(sets: list[np.ndarray], sides: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """Links that span the components of sets: all pairs if sides has one value, else pairs across the two sides."""
-    bits = 1 << max(9, int(4 * max(map(len, sets)) - 1).bit_length())
-    bits = min(bits, 1 << 17)
+def links(maps: list[np.ndarray], sizes: np.ndarray, sides: np.ndarray, labels: np.ndarray, num: int, den: int, sets: list[np.ndarray] | None = None) -> list[tuple[int, int]]:
+    """Pairs that span the components: all pairs if sides has one value, else pairs across the two sides. Items with the same
+    label are known to be joined. With sets a pair counts if its similarity is num / den or more; without, if it may be."""
+    folded = _folded(maps)
     groups = [np.flatnonzero(sides == s) for s in np.unique(sides)]
-    trees = [SignatureTree([sets[i] for i in g], bits) for g in groups]
+    trees = [SignatureTree(folded[g], sizes[g]) for g in groups]
     if len(trees) == 1:
         trees, groups = trees * 2, groups * 2
-    parent, out = np.arange(len(sets)), []
+    _, first, label = np.unique(labels, return_index=True, return_inverse=True)
+    parent, out = first[label], []
 
     def joined(i: int, j: int) -> bool:
         return root(parent, groups[0][i]) == root(parent, groups[1][j])
 
     for i, j in walk(trees[0], trees[1], num, den, joined):
         x, y = int(groups[0][i]), int(groups[1][j])
-        both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-        if den * both >= num * (len(sets[x]) + len(sets[y]) - both) and both:
-            parent[root(parent, x)] = root(parent, y)
-            out.append((x, y))
+        if sets is not None:
+            both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+            if den * both < num * (len(sets[x]) + len(sets[y]) - both) or not both:
+                continue
+        parent[root(parent, x)] = root(parent, y)
+        out.append((x, y))
     return out
 
 
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    column = column.combine_chunks()
+    flat, at = column.flatten().to_numpy().view(np.uint64), np.append(0, np.cumsum(column.value_lengths().to_numpy()))
+    return [flat[lo:hi] for lo, hi in zip(at[:-1], at[1:])]
+
+
+def tree_links(members: DataFrame, deal: list[str], num: int, den: int, payload: str) -> DataFrame:
+    """Links (src, dst) between the nodes of each group that deal names: members has these columns, side, label, node, size and
+    payload: hashes (whole sets, counted exactly) or bits (their bitmaps, which can only rule pairs out)."""
+    def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, cuts in runs(batches, deal):
+            src, dst = [], []
+            own, side, label, size = (rows.column(c).to_numpy() for c in ("node", "side", "label", "size"))
+            values = _lists(rows.column(payload))
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if hi - lo > 1:
+                    sets = values[lo:hi] if payload == "hashes" else None
+                    maps = [token_bitmap(x) for x in values[lo:hi]] if payload == "hashes" else values[lo:hi]
+                    for x, y in links(maps, size[lo:hi].astype(int), side[lo:hi], label[lo:hi], num, den, sets):
+                        src.append(own[lo + x])
+                        dst.append(own[lo + y])
+            yield pa.record_batch([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], names=["src", "dst"])
+
+    return members.select(*deal, "side", "label", "node", "size", payload).repartition(*deal).sortWithinPartitions(*deal).mapInArrow(walked, "src long, dst long")
+
+
+def carried(documents: DataFrame, bearers: DataFrame, n: int, lower: bool, payload: str) -> DataFrame:
+    """class, size and payload (hashes or bits) of the classes that bearers (class, doc_id) name, one row each. A bitmap of
+    the wanted ids keeps other documents out of the shuffle."""
+    wanted = documents.sparkSession.sparkContext.broadcast(bitmap(bearers, "doc_id"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("doc_id").fill_null(0).to_numpy()
+            batch = batch.filter(pa.array(in_bitmap(wanted.value, ids)))
+            for part in slices(iter([batch]), "text") if batch.num_rows else ():
+                own = shingles(part.column("text"), n, lower)
+                values = [(s if payload == "hashes" else token_bitmap(s)).view(np.int64) for s in own]
+                yield pa.record_batch([part.column("doc_id"), pa.array([set_class(s) for s in own], pa.int64()), pa.array([len(s) for s in own], pa.int64()), pa.array(values, pa.list_(pa.int64()))], names=["doc_id", "class", "size", payload])
+
+    rows = documents.select("doc_id", "text").mapInArrow(read, f"doc_id long, class long, size long, {payload} array<long>")
+    return rows.join(bearers, ["doc_id", "class"], "left_semi").dropDuplicates(["class"]).drop("doc_id")
+
+
 def shingle_sets(documents: DataFrame, n: int, lower: bool) -> DataFrame:
     """doc_id, n_shingles and class (0: the empty set) of each document."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,44 +246,24 @@ def near_duplicates(documents: DataFrame, n: int = 5, threshold: tuple[int, int]
                 yield pa.record_batch([signed(np.concatenate(keys)), signed(np.concatenate(owner))], names=["key", "class"])
 
     keys = documents.select("text").mapInArrow(dealt, "key long, class long")
-    chained = keys.selectExpr("class AS src", "lag(class) OVER (PARTITION BY key ORDER BY class) AS dst").where("src <> dst").distinct()
-    candidates = stage(components(chained), "candidates")
-
-    # one document of each candidate class brings the class's set
-    bearers = candidates.join(classes.withColumnRenamed("class", "node"), "node").where("doc_id IS NOT NULL")
-    bearers = stage(bearers.select("component", F.col("node").alias("class"), "doc_id"), "bearers")
-    chunks = bearers.groupBy("component").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
-    wanted = documents.sparkSession.sparkContext.broadcast(bitmap(bearers, "doc_id"))
-
-    def carried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("doc_id").fill_null(0).to_numpy()
-            batch = batch.filter(pa.array(in_bitmap(wanted.value, ids)))
-            for part in slices(iter([batch]), "text") if batch.num_rows else ():
-                own = shingles(part.column("text"), n, lower)
-                yield pa.record_batch([part.column("doc_id"), pa.array([set_class(s) for s in own], pa.int64()), pa.array([s.view(np.int64) for s in own], pa.list_(pa.int64()))], names=["doc_id", "class", "hashes"])
-
-    carriers = documents.select("doc_id", "text").mapInArrow(carried, "doc_id long, class long, hashes array<long>")
-    members = carriers.join(bearers.join(chunks, "component"), ["doc_id", "class"]).dropDuplicates(["class"])
-    members = members.withColumn("chunk", F.pmod(F.xxhash64("class"), "chunks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    members = members.select("component", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "chunk", "class", "hashes")
-    deal = ["component", "a", "b"]
-
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, cuts in runs(batches, deal):
-            src, dst = [], []
-            classes_, sides, hashes = rows.column("class").to_numpy(), rows.column("chunk").to_numpy(), rows.column("hashes").combine_chunks()
-            flat, at = hashes.flatten().to_numpy().view(np.uint64), np.append(0, np.cumsum(hashes.value_lengths().to_numpy()))
-            a, b = rows.column("a").to_numpy(), rows.column("b").to_numpy()
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                across = a[lo] != b[lo]
-                if hi - lo > 1 and (not across or len(np.unique(sides[lo:hi])) == 2):
-                    for x, y in links([flat[at[i] : at[i + 1]] for i in range(lo, hi)], sides[lo:hi] if across else np.zeros(hi - lo, int), num, den):
-                        src.append(classes_[lo + x])
-                        dst.append(classes_[lo + y])
-            yield pa.record_batch([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], names=["src", "dst"])
-
-    found = members.repartition(*deal).sortWithinPartitions(*deal).mapInArrow(joined, "src long, dst long")
+    # groups of different sets with an equal key; of groups of the same sets one
+    by_key = W.partitionBy("key")
+    once = keys.withColumn("before", F.lag("class").over(by_key.orderBy("class"))).where("NOT (class <=> before)")
+    stamp = F.struct(F.count("*").over(by_key).alias("n"), F.sum(F.xxhash64("class") % (1 << 40)).over(by_key).alias("a"), F.sum(F.hash("class").cast("long")).over(by_key).alias("b"))
+    dealt_groups = stage(once.withColumn("stamp", stamp).where("stamp.n > 1").select("key", "class", F.xxhash64("stamp").alias("group")), "dealt")
+    first = dealt_groups.groupBy("group").agg(F.min("key").alias("key"))
+    members = dealt_groups.join(first, ["group", "key"]).select(F.col("group").alias("component"), "class")
+    members = stage(members, "groups")
+
+    def bearers(wanted: DataFrame) -> DataFrame:
+        """A document that brings each class's set."""
+        return stage(classes.join(wanted, "class", "left_semi").where("doc_id IS NOT NULL"), "bearers")
+
+    named = members.join(carried(documents, bearers(members.select("class")), n, lower, "bits"), "class").withColumnRenamed("class", "node")
+    candidates = component_links(named, lambda rows, deal: tree_links(rows, deal, num, den, "bits"), CHUNK, num, den)
+    candidates = stage(components(candidates), "candidates").withColumnRenamed("node", "class")
+    members = candidates.join(carried(documents, bearers(candidates.select("class")), n, lower, "hashes"), "class").withColumnRenamed("class", "node")
+    found = component_links(members, lambda rows, deal: tree_links(rows, deal, num, den, "hashes"), CHUNK, num, den)
     groups = components(found).withColumnRenamed("node", "class")
     named = classes.join(groups, "class", "left").withColumn("component", F.coalesce("component", "class"))
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
