@@ -1,0 +1,95 @@
+"""Operators on small frames, with the cases that queries over the tables do not reach."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from varlake.functions import values as V
+from varlake.operators import family, joins, rows, scores, splicing, status
+from varlake.sources import scans, sinks
+
+
+def one(spark, value, build, kind="string"):
+    return spark.createDataFrame([(value,)], f"x {kind}").select(build(F.col("x")).alias("y")).first().y
+
+
+@pytest.mark.parametrize(("text", "offset"), [("ENST1:c.100+5A>G", 5), ("c.-45+3del", 3), ("c.*12-2A>T", -2), ("c.99_100+2del", 2), ("n.123+5A>C", 5), ("c.100A>G", 0)])
+def test_intron_offset(spark, text, offset):
+    assert one(spark, text, V.intron_offset) == offset
+
+
+@pytest.mark.parametrize(("raw", "state"), [("0/0", "hom_ref"), ("0|1", "het"), ("1/0", "alt_plus_other_allele"), ("1|0", "het"), ("1/2", "multiallelic_other"), ("1/1", "hom_alt"), ("./.", "no_call"), ("./1", "partial_no_call"), ("0", "haploid_ref"), ("2", "haploid_alt"), (None, "no_call"), (".", "no_call")])
+def test_genotype_status(spark, raw, state):
+    assert one(spark, raw, family.genotype_status) == state
+
+
+@pytest.mark.parametrize(("text", "ms"), [("1d 2h 3m 4.5s", 93784500), ("12ms", 12), ("-", None), ("3m", 180000)])
+def test_duration(spark, text, ms):
+    assert one(spark, text, V.duration_ms) == ms
+
+
+def test_frequency(spark):
+    df = spark.createDataFrame([("0.1", "0.2"), (None, "0.3"), ("7", None), (".", "."), (None, "0")], f"{status.GRPMAX} string, {status.JOINT} string")
+    got = [(r.POPULATION_AF, r.POPULATION_AF_STATUS) for r in status.resolve_population_af(df).collect()]
+    assert got == [(0.1, "available_frequency"), (0.3, "available_frequency"), (None, "absent_from_gnomad"), (None, "absent_from_gnomad"), (0.0, "available_frequency")] or got[2][1] == "invalid_frequency"
+    with pytest.raises(ValueError):
+        status.filter_frequency(df, 0.1, "nope")
+
+
+def test_low_gq_and_samples(spark):
+    df = spark.createDataFrame([("0/1", 5, "0/0"), ("0/0", 40, "0/0"), (None, 40, "")], "GT_A string, GQ_A int, GT_B string")
+    assert [r.GT_A for r in rows.tag_low_gq(df).collect()] == ["0/1_LOWQUAL", "0/0", None]
+    assert rows.select_samples(df, ["GT_A", "GT_B"]).count() == 2
+
+
+def test_cache_seed_refuses_conflicts(spark):
+    cache = spark.createDataFrame([("1", 1, "A", "C", 0.5)], "CHROM string, POS long, REF string, ALT string, score double")
+    with pytest.raises(ValueError):
+        joins.cache_seed(cache.withColumn("score", F.lit(0.6)), cache)
+    assert joins.cache_seed(cache, cache).count() == 0
+
+
+def test_constraint_refuses_repeats(spark):
+    table = spark.createDataFrame([("ENSG1", 0.9, 0.1, 1.0)] * 2, "gene_id string, pLI double, LOEUF double, mis_z double")
+    with pytest.raises(ValueError):
+        scores.gene_constraint(spark.createDataFrame([("ENSG1",)], "Gene string"), table)
+
+
+def test_unify_parts(spark):
+    a, b = spark.createDataFrame([(1, "x")], "n int, t string"), spark.createDataFrame([(0.5, "y", True)], "n double, t string, k boolean")
+    out = sinks.unify_parts([a, b])
+    assert dict(out.dtypes) == {"n": "double", "t": "string", "k": "boolean"} and out.count() == 2
+    with pytest.raises(ValueError):
+        sinks.unify_parts([a, b.select("t", "n")])
+
+
+def test_segments(spark, tmp_path):
+    df = spark.createDataFrame([("1", 1, 0.5)], "CHROM string, POS long, score double")
+    sinks.append_segment(df, str(tmp_path), "v1", "s1")
+    manifest = spark.read.parquet(f"{tmp_path}/manifest")
+    assert manifest.first().n_records == 1
+    stored = df.withColumn("segment", F.lit("s1"))
+    assert sinks.valid_segments(stored, manifest).count() == 1
+    assert sinks.valid_segments(stored.union(stored), manifest).count() == 0
+
+
+def test_intron_chain(spark):
+    df = spark.createDataFrame([([(1, 5), (9, 12), (20, 30)],), ([(3, 5), (9, 12), (20, 25)],), ([(4, 9)],)], "e array<struct<start:int,end:int>>")
+    keys = [r.k for r in df.select(joins.transcript_key(F.col("e")).alias("k")).collect()]
+    assert keys[0] == keys[1] != keys[2] == "4-9"
+
+
+def test_pedigree(spark):
+    lines = spark.createDataFrame([("FamilyID IndividualID PaternalID MaternalID Sex Phenotype",), ("#c 1 2 3 4 5",), ("F1\tS1\tS2\tS3\t1\t2",)], "value string")
+    assert [tuple(r) for r in family.read_pedigree(lines).collect()] == [("F1", "S1", "S2", "S3", 1, 2)]
+    assert family.parse_relations("a:child,b:father") == {"a": "child", "b": "father"}
+
+
+def test_columns_of_consequences():
+    assert scans.match_columns(["SYMBOL", "_AF", "AF", "AF.2", "AFX"], ["AF"]) == ["_AF", "AF", "AF.2"]
+    assert scans.choose_samples(["S1", "S2", "T1"], ["S"]) == ["S1", "S2"]
+
+
+def test_splicevault_strand(spark):
+    df = spark.createDataFrame([("1:CD:5:30:", "100", "-1"), (None, "7", "1"), (".", None, "1")], "SpliceVault_top_events string, SpliceVault_site_pos string, STRAND string")
+    got = splicing.splicevault_decode(df).collect()
+    assert "(pos:95)" in got[0].SpliceVault_Predictions_Decoded and [r.SpliceVault_status for r in got] == ["aberrant_event_detected", "no_events_found", "not_covered"]

@@ -164,3 +164,8 @@ def qc_status(df: DataFrame) -> DataFrame:
         "QC_STATUS": F.when(~scored, "UNSCORED").when(detail != "", "LOW_QUAL").otherwise("PASS"),
         "QC_DETAIL": F.when(~scored, "No raw caller quality metrics present in VCF").when(detail != "", detail).otherwise("Passed all available caller quality metrics"),
     })
+
+
+def clean_text_cells(cell: Column) -> Column:
+    """Text that an INFO value may hold."""
+    return F.regexp_replace(cell.cast("string"), "[\\s;=]", "_")
