@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once; a single longer text is taken whole.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _U = np.uint64
 _SEPARATOR = np.zeros(256, bool)

@@ -116,10 +116,9 @@ def bitmap(df: DataFrame, column: str, bits: int = 1 << 23) -> np.ndarray:
     """A filter of fixed size (bits) with the hash of each value of a long column set: at most bits / 64 rows come to the driver.
     It keeps rows that cannot match out of a shuffle; where too many values fill it, it only saves less."""
     at = F.pmod(F.col(column), F.lit(bits))
-    words = df.select(at.alias("at")).groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("set")).collect()
+    words = df.select(at.alias("at")).groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("set")).toArrow()
     out = np.zeros(bits // 64, np.int64)
-    for r in words:
-        out[r.word] = r.set
+    out[words.column("word").to_numpy()] = words.column("set").to_numpy()
     return out
 
 

@@ -146,6 +146,13 @@ def links(maps: list[np.ndarray], sizes: np.ndarray, sides: np.ndarray, labels:
     """Pairs that span the components: all pairs if sides has one value, else pairs across the two sides. Items with the same
     label are known to be joined. With sets a pair counts if its similarity is num / den or more; without, if it may be."""
     folded = _folded(maps)
+    if len(maps) == 2:  # most groups: two leaves, no tree
+        lost = min(sizes - np.bitwise_count(folded).sum(1).astype(int))
+        overlap = min(*sizes, int(np.bitwise_count(folded[0] & folded[1]).sum()) + lost)
+        if labels[0] == labels[1] or overlap * (den + num) < num * sizes.sum():
+            return []
+        both = len(np.intersect1d(*sets, assume_unique=True)) if sets is not None else overlap
+        return [(0, 1)] if both and both * (den + num) >= num * int(sizes.sum()) else []
     groups = [np.flatnonzero(sides == s) for s in np.unique(sides)]
     trees = [SignatureTree(folded[g], sizes[g]) for g in groups]
     if len(trees) == 1:
