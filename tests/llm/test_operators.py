@@ -387,6 +387,36 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(df.limit(0), bench).count() == 0 == decontaminate.contaminated(df, bench.limit(0)).count()
 
 
+def test_decontamination_replaced_terms():
+    """Random substitutions against brute force over all stretches of the passage's diagonal."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    def hashes(words):
+        return decontaminate.Words(pa.array([" ".join(words)]), lower=True, terms=True).hashes()
+
+    def run(item, passage):
+        before, after = ([f"other{rng.random()}".replace(".", "") for _ in range(15)] for _ in "ab")
+        seeds = decontaminate._seeds([SimpleNamespace(item_id=1, text=" ".join(item))], 0.8)
+        shorter = [len(item)] if len(item) < 9 else []
+        return decontaminate._found(hashes(before + passage + after), seeds, shorter, 0.8, 13)
+
+    rng = random.Random(12)
+    item = [f"w{k}" for k in range(14)]
+    assert run(item, [w if k != 3 else "new" for k, w in enumerate(item)]) == [(0, 15, 14, 13)]
+    counted = 0
+    for n in (4, 5, 6, 8, 9, 10, 12, 13, 14, 15, 17, 20, 25, 30):
+        for _ in range(40):
+            item, gone = [f"w{k}" for k in range(n)], set(rng.sample(range(n), rng.randint(0, n // 3)))
+            got = run(item, [w if k not in gone else f"x{k}" for k, w in enumerate(item)])
+            lengths = [b - a for a in range(n) for b in range(a + 1, n + 1) if 5 * sum(k not in gone for k in range(a, b)) >= 4 * (b - a)]
+            want = max(lengths, default=0)
+            assert [x[2] for x in got] == ([want] if want >= min(13, n) else []), (n, gone)
+            counted += len(got)
+    assert counted > 300
+
+
 def test_decontamination_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "MAX_SEEDS", 50)
     rng = random.Random(9)

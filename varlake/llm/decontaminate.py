@@ -2,7 +2,7 @@
 
 Fixed masks leave out some positions of a window of terms, so that a window still hits where words at those positions
 were replaced. Hashes of all windows of the documents are joined with those of the benchmark's items. Around each
-hit, document and item are laid on each other and compared term by term: the best stretch with at least
+hit, document and item are laid on each other and compared term by term: the longest stretch with at least
 `similarity` equal terms counts if it is long enough.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +19,9 @@ from pyspark.sql import functions as F
 
 from varlake.llm.arrays import Words, mix, slices, spans
 
-#: Fixed values. 1: the position must agree; 0: it is ignored. Span 9, weight 6.
-MASKS = ("111011001", "110100111", "101110011", "111111")
+#: Fixed values. 1: the position must agree; 0: it is ignored. Weight 6. Wherever at most a fifth of 9 or more terms in a
+#: row is replaced, at least one of the masks still hits.
+MASKS = ("111011001", "110100111", "101110011", "111111", "11101011", "1011111", "11100111")
 #: Seeds of the benchmark that are broadcast at once; a larger benchmark is taken in several blocks of items.
 MAX_SEEDS = 2_000_000
 #: Items of fewer terms say too little to be searched for.
@@ -53,18 +55,27 @@ def _masked(h: np.ndarray, mask: int) -> np.ndarray:
     return mix(total)
 
 
-def _short(h: np.ndarray, n: int) -> np.ndarray:
-    at = np.arange(max(0, len(h) - n + 1))
-    return spans(h, at, at + n)
+def _short(h: np.ndarray, n: int, similarity: float) -> list[np.ndarray]:
+    """Hashes of all windows of n terms, each without as many of its terms as may be replaced, for every choice of them."""
+    if len(h) < n:
+        return []
+    rest = n - int(n * (1 - similarity) + 1e-9)
+    out = []
+    for salt, kept in enumerate(combinations(range(n), rest)):
+        total = np.full(len(h) - n + 1, n * 1000 + salt, np.uint64)
+        for k, o in enumerate(kept):
+            total += h[o : o + len(total)] * np.uint64(pow(0xD1342543DE82EF95, k + 1, 1 << 64))
+        out.append(mix(total))
+    return out
 
 
-def _seeds(rows: list) -> Seeds:
+def _seeds(rows: list, similarity: float) -> Seeds:
     items, ids, keys, item, at = [], [], [], [], []
     for r in rows:
         h = Words(pa.array([r.text or ""], pa.string()), lower=True, terms=True).hashes()
         if len(h) < LEAST_TERMS:
             continue
-        found = [_masked(h, m) for m in range(len(MASKS))] if len(h) >= max(_SPAN) else [_short(h, len(h))]
+        found = [_masked(h, m) for m in range(len(MASKS))] if len(h) >= max(_SPAN) else _short(h, len(h), similarity)
         for f in found:
             keys.append(f)
             item.append(np.full(len(f), len(items)))
@@ -78,19 +89,20 @@ def _seeds(rows: list) -> Seeds:
     return Seeds(keys[order], item[order], at[order], quick, items, ids)
 
 
-def _best(equal: np.ndarray, similarity: float) -> tuple[int, int]:
-    """Start and end of the stretch with the largest sum, where an equal term adds 1 - similarity and another takes
-    similarity: of its terms at least that share is equal, at both ends, too."""
-    total = np.append(0.0, np.cumsum(np.where(equal, 1 - similarity, -similarity)))
-    low = np.minimum.accumulate(total)
-    end = int(np.argmax(total - low))
-    return int(np.argmax(total[: end + 1] == low[end])), end
+def _longest(equal: np.ndarray, similarity: float) -> tuple[int, int]:
+    """Start and end of the longest stretch of whose terms at least the share `similarity` is equal, the leftmost of equally long
+    ones. An equal term adds 1 - similarity and another takes similarity, in whole millionths: the sum is 0 at least."""
+    other = round(similarity * 1_000_000)
+    total = np.append(0, np.cumsum(np.where(equal, 1_000_000 - other, -other)))
+    start = np.searchsorted(-np.minimum.accumulate(total), -total)  # the first place where the sum was no higher
+    end = int(np.argmax(np.arange(len(total)) - start))
+    return int(start[end]), end
 
 
 def _found(h: np.ndarray, seeds: Seeds, shorter: list[int], similarity: float, min_words: int) -> list[tuple[int, int, int, int]]:
     """(item, start, terms, equal terms) of the overlaps in a document with term hashes h."""
     hits = set()
-    for found in [*(_masked(h, m) for m in range(len(MASKS))), *(_short(h, n) for n in shorter)]:
+    for found in [*(_masked(h, m) for m in range(len(MASKS))), *(f for n in shorter for f in _short(h, n, similarity))]:
         maybe = np.flatnonzero(seeds.quick[found & np.uint64(len(seeds.quick) - 1)])
         lo, hi = np.searchsorted(seeds.keys, found[maybe], "left"), np.searchsorted(seeds.keys, found[maybe], "right")
         for p, a, b in zip(maybe[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
@@ -100,11 +112,9 @@ def _found(h: np.ndarray, seeds: Seeds, shorter: list[int], similarity: float, m
         own = seeds.items[item]
         lo, hi = max(0, shift), min(len(h), shift + len(own))
         equal = h[lo:hi] == own[lo - shift : hi - shift]
-        a, b = _best(equal, similarity)
+        a, b = _longest(equal, similarity)
         if b - a >= min(min_words, len(own)):
             out.append((item, lo + a, b - a, int(equal[a:b].sum())))
-        elif hi - lo == len(own) and len(own) <= min_words and equal.mean() >= similarity:  # a short item with its ends replaced
-            out.append((item, lo, len(own), int(equal.sum())))
     return out
 
 
@@ -115,14 +125,14 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, similarity: float = SIM
     """One row for each stretch of a document (doc_id long, text) that an item of benchmark (item_id long, text) covers:
     doc_id, item_id, start (number of the first term), n_words, n_equal, item_words. Terms are lower-cased (A-Z) and end
     at ASCII punctuation; whole texts are searched. Null and empty texts have none, nor do items of fewer than
-    LEAST_TERMS terms; items shorter than the masks are sought as a whole. Repeated rows are found each by itself."""
+    LEAST_TERMS terms; items shorter than the masks are sought as a whole, with as many terms replaced as similarity lets. Repeated rows are found each by itself."""
     spark = documents.sparkSession
     size = benchmark.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-size * len(MASKS) // (2 * MAX_SEEDS)))  # a term takes two characters at least
     out = None
     for block in range(blocks):
         rows = benchmark.select("item_id", "text").where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()  # of MAX_SEEDS seeds or so
-        shared = spark.sparkContext.broadcast(_seeds(sorted(rows, key=lambda r: (r.item_id is None, r.item_id or 0, r.text or ""))))
+        shared = spark.sparkContext.broadcast(_seeds(sorted(rows, key=lambda r: (r.item_id is None, r.item_id or 0, r.text or "")), similarity))
 
         def searched(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             seeds = shared.value
