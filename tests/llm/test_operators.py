@@ -233,6 +233,31 @@ def test_substrings(docs, rows, monkeypatch):
     assert result() == expected
 
 
+def test_substrings_repeated_and_null_ids(spark, monkeypatch):
+    rng = random.Random(15)
+    p, q, r, u = (sentence(rng, 30) for _ in range(4))
+    rows = [(5, p), (5, p), (5, sentence(rng, 30)), (6, f"x {p}"), (None, q), (None, q), (None, sentence(rng, 40)), (None, f"y z {q}"), (7, f"{r} {u}"), (7, f"{r} {r}"), (8, f"{u} {q}"), (8, f"{u} {p}")]
+    first, expected = {}, []
+    for i, text in rows:
+        w = words_of(text)
+        for s in range(len(w) - 19):
+            key, at = tuple(w[s : s + 20]), (i is not None, i or 0, s)
+            first[key] = min(first.get(key, at), at)
+    for i, text in rows:
+        w = words_of(text)
+        gone = {k for s in range(len(w) - 19) if first[tuple(w[s : s + 20])] < (i is not None, i or 0, s) for k in range(s, s + 20)}
+        expected.append((str(i), len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+    def result():
+        return sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept) for r in substrings.dedup_substrings(df).collect())
+
+    assert expected[0][2] == expected[1][2] == expected[4][2] == 0 < expected[3][2]
+    assert result() == sorted(expected)
+    monkeypatch.setattr(substrings, "_repeated", _all_hot(substrings._repeated))
+    assert result() == sorted(expected)
+
+
 def _all_hot(plain):
     from pyspark.sql import functions as F
 

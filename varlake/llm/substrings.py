@@ -79,10 +79,10 @@ def _repeated(parts: DataFrame) -> tuple[np.ndarray | None, list[int]]:
 
 
 def repeated_windows(documents: DataFrame, n: int = 20) -> DataFrame | None:
-    """(doc_id, place): starts of the n-windows whose words also start earlier, in a document of a smaller doc_id or earlier
-    in the same. None where a level has no candidates left."""
+    """(doc_id, copy, place): starts of the n-windows whose words also start earlier, in a document of a smaller doc_id or earlier
+    in the same; copy is a hash of the row's text. None where a level has no candidates left."""
     context = documents.sparkSession.sparkContext
-    rows = documents.select(F.coalesce("doc_id", F.lit(_NULL)).alias("doc_id"), "text")
+    rows = documents.select(F.coalesce("doc_id", F.lit(_NULL)).alias("doc_id"), "text", F.xxhash64("text").alias("copy"))
     levels: list[np.ndarray] = []
     hot: list[int] = []
     for level in range(2):
@@ -113,34 +113,40 @@ def repeated_windows(documents: DataFrame, n: int = 20) -> DataFrame | None:
             ids = batch.column("doc_id").to_numpy()[document]
             salt = np.where(np.isin(c.short[c.part[keep]].view(np.int64), hot), ids % SALTS, -1)
             place = start - c.words.first[document]
-            yield pa.record_batch([signed(first), pa.array(second, pa.int32()), pa.array(salt, pa.int32()), pa.array(ids, pa.int64()), pa.array(place, pa.int32())], names=["first", "second", "salt", "doc_id", "place"])
+            yield pa.record_batch([signed(first), pa.array(second, pa.int32()), pa.array(salt, pa.int32()), pa.array(ids, pa.int64()), pa.array(place, pa.int32()), batch.column("copy").take(pa.array(document))], names=order)
 
-    found = rows.mapInArrow(survivors, "first long, second int, salt int, doc_id long, place int")
-    order = ["first", "second", "salt", "doc_id", "place"]
+    order = ["first", "second", "salt", "doc_id", "place", "copy"]
+    found = rows.mapInArrow(survivors, "first long, second int, salt int, doc_id long, place int, copy long")
 
     def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows that follow one of the same window; of windows that are dealt out over tasks the first rows, too, marked."""
-        last = None
+        """Rows that follow one of the same window at another place; of windows that are dealt out over tasks the first rows, too,
+        marked. Rows of the first one's doc_id and place are first as well; equal rows are one."""
+        last = head = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a, b, salt = (batch.column(k).to_numpy() for k in order[:3])
-            same = np.zeros(len(a), bool)
+            a, b, salt, ids, place, copy = (batch.column(k).to_numpy() for k in order)
+            same, equal = np.zeros(len(a), bool), np.zeros(len(a), bool)
             same[1:] = (a[1:] == a[:-1]) & (b[1:] == b[:-1]) & (salt[1:] == salt[:-1])
-            same[0] = last == (a[0], b[0], salt[0])
-            last = (a[-1], b[-1], salt[-1])
-            keep = same | (salt >= 0)
-            out = batch.select(["first", "second", "doc_id", "place"]).append_column("open", pa.array(~same))
-            yield out.filter(pa.array(keep))
+            same[0] = last is not None and last[:3] == (a[0], b[0], salt[0])
+            equal[1:] = same[1:] & (ids[1:] == ids[:-1]) & (place[1:] == place[:-1]) & (copy[1:] == copy[:-1])
+            equal[0] = last == (a[0], b[0], salt[0], ids[0], place[0], copy[0])
+            at = np.maximum.accumulate(np.where(same, -1, np.arange(len(a))))
+            id_, place_ = head or (ids[0], place[0])
+            opens = (ids == np.where(at < 0, id_, ids[at])) & (place == np.where(at < 0, place_, place[at]))
+            last = (a[-1], b[-1], salt[-1], ids[-1], place[-1], copy[-1])
+            head = (ids[at[-1]], place[at[-1]]) if at[-1] >= 0 else head
+            out = batch.select(["first", "second", "doc_id", "copy", "place"]).append_column("open", pa.array(opens))
+            yield out.filter(pa.array(~equal & (~opens | (salt >= 0))))
 
     sorted_ = found.repartition("first", "second", "salt").sortWithinPartitions(*order)
-    marked = sorted_.mapInArrow(later, "first long, second int, doc_id long, place int, open boolean")
+    marked = sorted_.mapInArrow(later, "first long, second int, doc_id long, copy long, place int, open boolean")
     if not hot:
-        return marked.select("doc_id", "place")
+        return marked.select("doc_id", "copy", "place")
     marked = stage(marked, "marked")
-    # the first rows of each task: all but the first of all are later ones
-    opens = marked.where("open").selectExpr("doc_id", "place", "row_number() OVER (PARTITION BY first, second ORDER BY doc_id, place) AS nth")
-    return marked.where("NOT open").select("doc_id", "place").union(opens.where("nth > 1").select("doc_id", "place"))
+    # the first rows of each task: all but those at the first place of all are later ones
+    opens = marked.where("open").selectExpr("doc_id", "copy", "place", "rank() OVER (PARTITION BY first, second ORDER BY doc_id, place) AS nth")
+    return marked.where("NOT open").select("doc_id", "copy", "place").union(opens.where("nth > 1").select("doc_id", "copy", "place"))
 
 
 def dedup_substrings(documents: DataFrame, n: int = 20) -> DataFrame:
@@ -148,15 +154,15 @@ def dedup_substrings(documents: DataFrame, n: int = 20) -> DataFrame:
     space. A word goes if a window of n words over it starts earlier in the corpus, too; windows are judged on the input.
 
     Words are [^\\x20\\x09-\\x0D]+, unchanged; null texts have none, texts of fewer than n words keep all. A null doc_id comes
-    first in the order. Rows that repeat a doc_id count as one document: equal windows at equal places are no
-    repeats of each other, and what is marked in one row is marked in all."""
+    first in the order. Rows that repeat a doc_id (or have none) count as one document: equal windows at equal
+    places are no repeats of each other; each row loses only words of its own repeats."""
     found = repeated_windows(documents, n)
-    rows = documents.select("doc_id", "text").withColumn("__id", F.coalesce("doc_id", F.lit(_NULL)))
+    rows = documents.select("doc_id", "text").withColumn("__id", F.coalesce("doc_id", F.lit(_NULL))).withColumn("__copy", F.xxhash64("text"))
     if found is None:
         rows = rows.select("doc_id", "text", F.array().cast("array<int>").alias("places"))
     else:
-        found = found.groupBy("doc_id").agg(F.collect_set("place").alias("places")).withColumnRenamed("doc_id", "__id")
-        rows = rows.join(found, "__id", "left").select("doc_id", "text", "places")
+        found = found.groupBy(F.col("doc_id").alias("__id"), F.col("copy").alias("__copy")).agg(F.collect_set("place").alias("places"))
+        rows = rows.join(found, ["__id", "__copy"], "left").select("doc_id", "text", "places")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
