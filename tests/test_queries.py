@@ -47,6 +47,20 @@ def test_query(name, spark, duck):
         assert got == rows(columns, found.fetchall())
 
 
+def test_structural_classes_hold_all_transcripts(spark, duck):
+    got = {r.o: (r.first, r.n) for r in QUERIES["structural_transcript_classes"](spark, DATA).collect()}
+    exons = {}
+    for o, s in duck.execute("SELECT DISTINCT l_orderkey, l_linenumber * 100 FROM lineitem").fetchall():
+        exons.setdefault(o, []).append(s)
+    classes = {}
+    for o, starts in exons.items():
+        starts.sort()
+        introns = tuple((a + 50, b) for a, b in zip(starts, starts[1:]))
+        classes.setdefault((o % 7, introns or starts[0]), []).append(o)
+    assert got == {o: (min(c), len(c)) for c in classes.values() for o in c}
+    assert all(got[r.a][0] == got[r.b][0] for r in QUERIES["structural_transcript_match"](spark, DATA).collect())
+
+
 @pytest.mark.parametrize("name", ["candidate_funnel", "spliceai_unpack", "compound_het_trans", "dedupe_merge", "region_restrict"])
 def test_partitions_do_not_matter(name, spark):
     results = []

@@ -80,6 +80,12 @@ def transcript_key(exons: Column) -> Column:
     return F.when(F.size(sorted_) == 1, bounds).otherwise(F.array_join(inner, ","))
 
 
+def structural_classes(transcripts: DataFrame, key: list[str], id_: str) -> DataFrame:
+    """Every transcript with first and n: the smallest id_ and the number of transcripts of equal key. One row stands for all
+    pairs that a transcript is in; the classes are aggregated before their shuffle."""
+    return transcripts.join(transcripts.groupBy(*key).agg(F.min(id_).alias("first"), F.count("*").alias("n")), key)
+
+
 def cache_split(df: DataFrame, cache: DataFrame, key: list[str] = ALLELE) -> DataFrame:
     """Rows with score and hit: a cached site without a score is a hit, too. The cache has one row a key."""
     return df.join(cache.select(*key, "score", F.lit(True).alias("__hit")), key, "left").withColumn("hit", F.coalesce("__hit", F.lit(False))).drop("__hit")

@@ -92,6 +92,18 @@ def _(spark, d):
     return a.join(b, ["strand", "chain"]).where("a < b").select("a", "b")
 
 
+_TRANSCRIPTS = """SELECT o, o % 7 AS strand, count(*) = 1 AS single, coalesce(string_agg(CASE WHEN nxt IS NOT NULL THEN CAST(e AS STRING) || '-' || CAST(nxt AS STRING) END, ',' ORDER BY s, e), CAST(min(s) AS STRING) || '-' || CAST(min(e) AS STRING)) AS chain
+ FROM (SELECT *, lead(s) OVER (PARTITION BY o ORDER BY s, e) AS nxt FROM (SELECT DISTINCT l_orderkey AS o, l_linenumber * 100 AS s, l_linenumber * 100 + 50 AS e FROM lineitem) a) b GROUP BY o"""
+
+
+@query("structural_transcript_classes", f"WITH t AS ({_TRANSCRIPTS}) SELECT o, first, n FROM t JOIN (SELECT strand, single, chain, min(o) AS first, count(*) AS n FROM t GROUP BY ALL) c USING (strand, single, chain)")
+def _(spark, d):
+    exons = table(spark, d, "lineitem").selectExpr("l_orderkey AS o", "l_linenumber * 100 AS start", "l_linenumber * 100 + 50 AS end").distinct()
+    t = exons.groupBy("o").agg(F.collect_list(F.struct("start", "end")).alias("exons"))
+    t = t.select("o", (F.col("o") % 7).alias("strand"), (F.size("exons") == 1).alias("single"), J.transcript_key(F.col("exons")).alias("chain"))
+    return J.structural_classes(t, ["strand", "single", "chain"], "o").select("o", "first", "n")
+
+
 @query("cache_split", f"SELECT row_key, score, s.POS IS NOT NULL AS hit FROM {{v_variants}} v LEFT JOIN ({_SITES}) s ON v.CHROM = s.CHROM AND v.POS = s.POS AND v.REF = s.REF AND v.ALT = s.ALT")
 def _(spark, d):
     return J.cache_split(table(spark, d, "v_variants"), _sites(spark, d)).select(*KEY, "score", "hit")
