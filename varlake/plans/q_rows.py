@@ -43,7 +43,7 @@ def _(spark, d):
 @query("remove_columns", "SELECT row_key, CHROM, POS, REF, ALT FROM {v_variants}")
 def _(spark, d):
     kept = R.remove_columns(table(spark, d, "v_variants"), "^(AF_|QUAL|SYMBOL|IMPACT)")
-    return R.remove_columns(kept, ["Gene", "Feature", "Consequence", "splice_score", "MANE_SELECT", "SpliceAI", "not_there"])
+    return R.remove_columns(kept, ["Gene", "Feature", "Consequence", "splice_score", "MANE_SELECT", "SpliceAI", "l_orderkey", "l_linenumber", "not_there"])
 
 
 @query("order_columns", "SELECT SYMBOL, POS, GT_S0, GT_S1, GT_S2, GQ_S0, GQ_S1, GQ_S2, row_key FROM {v_wide}")
@@ -123,9 +123,9 @@ def _(spark, d):
     return rows.select(*KEY, V.strip_version(F.col("Feature")).alias("base"), V.alt_from_locus(F.col("Locus")).alias("alt"), V.bare_chrom(V.chr_chrom(F.col("CHROM"))).alias("bare"), V.reverse_complement(F.concat("REF", "ALT")).alias("rc"), V.truncate(F.col("HGVSc"), 20).alias("short"), V.locus_parts(F.col("Locus"))["pos"].alias("pos"))
 
 
-@query("scalar_fold", "SELECT doc_id, regexp_replace(strip_accents(regexp_replace(substr(text, 1, 60), 'ß', 'ss', 'g')), '[\\s;=,]', '_', 'g') AS folded FROM documents")
+@query("scalar_fold", "SELECT doc_id, regexp_replace(strip_accents(regexp_replace(text, 'ß', 'ss', 'g')), '[\\s;=,]', '_', 'g') AS folded FROM documents")
 def _(spark, d):
-    return table(spark, d, "documents").select("doc_id", V.fold_accents(F.regexp_replace(F.substring("text", 1, 60), "ß", "ss")).alias("folded"))
+    return table(spark, d, "documents").select("doc_id", V.fold_accents(F.regexp_replace("text", "ß", "ss")).alias("folded"))
 
 
 @query("intron_offset", """SELECT row_key, off AS intron_offset_signed, CASE WHEN off > 0 THEN 'donor' WHEN off < 0 THEN 'acceptor' ELSE 'exonic' END AS splice_side FROM (

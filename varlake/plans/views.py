@@ -31,7 +31,7 @@ SELECT 'chr' || CAST(1 + l_suppkey % 22 AS STRING) AS CHROM,
   substr('ACGT', CAST(1 + (l_partkey + 1 + l_linenumber % 3) % 4 AS INT), 1) || '|G' || CAST(l_partkey % 50 AS STRING) || '|' || CAST(l_tax AS STRING) || '|' || CAST(l_discount AS STRING) || '|0.0|.|1|2|3|4&'
   || 'A|G' || CAST((l_partkey + 1) % 50 AS STRING) || '|0.5|0.0|0.0|.|1|2|3|4' END AS SpliceAI,
  l_orderkey, l_linenumber,
- CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) AS row_key
+ CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) || '-' || CAST(CAST(l_quantity AS INT) AS STRING) AS row_key
 FROM {lineitem}
 """
 
