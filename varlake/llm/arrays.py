@@ -26,7 +26,6 @@ _LOWER[65:91] += 32
 #: For bytes.translate: terms in lower case, all else blanks.
 NORMAL_BYTES = np.where(_PUNCTUATION, np.uint8(32), _LOWER).tobytes()
 _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
@@ -71,23 +70,20 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64, for i up to n."""
-    have = _powers.get(base)
-    if have is None or len(have[0]) <= n:
-        size = max(n + 1, 1 << 16)
-        have = tuple(np.concatenate([np.ones(1, _U), np.full(size, _U(b), _U)]).cumprod(dtype=_U) for b in (base, pow(base, -1, 1 << 64)))
-        if size <= 1 << 24:
-            _powers[base] = have
-    return have
-
-
 def _segments(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """Polynomial hash of values[start:end] for each pair, the same wherever the segment stands."""
-    up, down = powers(base, len(values))
-    total = np.zeros(len(values) + 1, _U)
-    np.cumsum(values * up[: len(values)], out=total[1:])
-    return (total[ends] - total[starts]) * down[starts]
+    """Polynomial hash of values[start:end] for each pair, the same wherever the segment stands. Segments are not empty, follow
+    each other, and values between them are 0."""
+    if not len(starts):
+        return np.zeros(0, _U)
+    begin, values = (starts - starts[0]).astype(np.int32), values[starts[0] : ends[-1]]
+    sizes = np.diff(np.append(begin, len(values)))
+    place = np.arange(len(values), dtype=np.int32)
+    place -= np.repeat(begin, sizes)
+    powers = np.full(int(sizes.max()), base, _U)
+    powers[0] = 1
+    out = powers.cumprod(dtype=_U)[place]
+    out *= values
+    return np.add.reduceat(out, begin)
 
 
 class Words:
@@ -107,12 +103,13 @@ class Words:
         self.starts, self.ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         self.first = np.searchsorted(self.starts, self.offsets)
         self.counts = np.diff(self.first)
-        self._lower = lower
+        self._lower, self._terms = lower, terms
 
     def hashes(self) -> np.ndarray:
         """64 bits for each word; equal words, equal hashes."""
-        data = _LOWER[self.data] if self._lower else self.data
-        h = _segments(data.astype(_U) + _U(1), self.starts, self.ends, _BYTE_BASE)
+        values = (_LOWER if self._lower else np.arange(256)).astype(_U) + _U(1)
+        values[_PUNCTUATION if self._terms else _SEPARATOR] = 0
+        h = _segments(values[self.data], self.starts, self.ends, _BYTE_BASE)
         return mix(h ^ ((self.ends - self.starts).astype(_U) * _U(0xA24BAED4963EE407)))
 
     def text(self, word: int) -> str:
@@ -123,8 +120,17 @@ def windows(h: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
     """Hash of each n consecutive values; entry i is that of h[i:i+n]."""
     if len(h) < n:
         return np.zeros(0, _U)
-    at = np.arange(len(h) - n + 1)
-    return mix(_segments(h, at, at + n, _WORD_BASE) + _U((salt * 0x9FB21C651E98DF25 + n) & (1 << 64) - 1))
+    # hashes of 1, 2, 4, ... values side by side give those of n
+    total, covered, part, size = None, 0, h, 1
+    while True:
+        if n & size:
+            own = part[covered : covered + len(h) - n + 1] * _U(pow(_WORD_BASE, covered, 1 << 64))
+            total, covered = own if total is None else total + own, covered + size
+        if covered == n:
+            break
+        part = part[:-size] + part[size:] * _U(pow(_WORD_BASE, size, 1 << 64))
+        size *= 2
+    return mix(total + _U((salt * 0x9FB21C651E98DF25 + n) & (1 << 64) - 1))
 
 
 def spans(h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
