@@ -106,33 +106,39 @@ def test_bpe_long_pieces(tokenizer):
 
 # --- 3
 
-def brute_lines(rows, similarity=0.8):
-    import numpy as np
-    import pyarrow as pa
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a):
+        new = [i + 1]
+        for j, d in enumerate(b):
+            new.append(min(new[-1] + 1, row[j + 1] + 1, row[j] + (c != d)))
+        row = new
+    return row[-1]
 
-    places, kinds = [], {}
-    for i, text in sorted(rows):
+
+def brute_lines(rows, similarity=0.8):
+    """Every pair of lines by plain edit distance; nothing of the operator is used."""
+    places, names = [], {}
+    for i, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
         for n, line in enumerate(text.split("\n") if text is not None else []):
-            one = lines.Lines(pa.array([line]))
-            if len(one.first):
-                places.append((i, n, one.text(0)))
-                kinds.setdefault(one.text(0), (int(one.near()[0]), int(one.last[0] - one.first[0])))
-    names = list(kinds)
-    parent = list(range(len(names)))
+            normal = " ".join(re.findall(r"[0-9a-z\x80-\U0010ffff]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in line)))
+            if normal:
+                places.append((i, n, names.setdefault(normal, len(names))))
+    parent, kinds = list(range(len(names))), list(names)
 
     def find(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    for a in range(len(names)):
+    for a in range(len(kinds)):
         for b in range(a):
-            (x, n), (y, m) = kinds[names[a]], kinds[names[b]]
-            if min(n, m) >= lines.FUZZY_TERMS and bin(x ^ y).count("1") <= lines.MAX_BITS and lines.alike(names[a], names[b], similarity):
+            most = int((1 - similarity) * max(len(kinds[a]), len(kinds[b])) + 1e-9)
+            if find(a) != find(b) and abs(len(kinds[a]) - len(kinds[b])) <= most and plain_distance(kinds[a], kinds[b]) <= most:
                 parent[find(a)] = find(b)
     first, gone = {}, {}
     for i, n, name in places:
-        if first.setdefault(find(names.index(name)), (i, n)) != (i, n):
+        if first.setdefault(find(name), (i, n)) != (i, n):
             gone.setdefault(i, set()).add(n)
     return {i: None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone.get(i, ())) for i, t in rows}
 
@@ -144,6 +150,46 @@ def test_line_dedup(docs, rows, monkeypatch):
     assert {r.doc_id: r.text for r in lines.dedup_lines(docs).collect()} == expected
 
 
+def test_line_dedup_finds_edited_lines(spark):
+    """Lines with replaced words, inserted or left out words, or changed letters, of the similarity asked for: at least nine in ten."""
+    rng = random.Random(21)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    vocabulary = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(4000)]
+    rows, kinds = [], {}
+    for k in range(400):
+        n = rng.choice((6, 8, 12, 20, 30, 60))
+        line = [rng.choice(vocabulary) for _ in range(n)]
+        other, kind = list(line), ("words", "letter", "indel", "several")[k % 4]
+        for _ in range(1 if kind != "several" else max(1, n // 10)):
+            at = rng.randrange(n)
+            if kind == "letter":
+                c = rng.randrange(len(other[at]))
+                other[at] = other[at][:c] + rng.choice("0123456789") + other[at][c + 1 :]
+            elif kind == "indel":
+                other.insert(at, rng.choice(vocabulary))
+            else:
+                other[at] = rng.choice(vocabulary)
+        a, b = " ".join(line), " ".join(other)
+        if a != b and plain_distance(a, b) <= 0.2 * max(len(a), len(b)):
+            rows += [(2 * k, a), (2 * k + 1, b)]
+            kinds.setdefault(kind, []).append(2 * k + 1)
+    got = {r.doc_id: r.n_removed for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any(got[i] for i, _ in rows if i % 2 == 0)
+    for own in kinds.values():
+        assert len(own) > 50 and sum(got[i] for i in own) >= 0.9 * len(own)
+
+
+def test_line_dedup_long_lines_and_rows_of_one_id(spark):
+    rng = random.Random(22)
+    long = sentence(rng, 30000)
+    changed = " ".join(w if k % 50 else "new" for k, w in enumerate(long.split()))
+    rows = [(1, long), (2, "x y z w\n" + changed), (3, "first line of three"), (3, "other words\nfirst line of three"), (3, "first line of three"), (None, "no id at all here"), (None, "no id at all here\nmore")]
+    got = sorted((str(r.doc_id), r.n_lines, r.n_removed) for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    assert [x for x in got if x[0] in "12"] == [("1", 1, 0), ("2", 2, 1)]
+    # of the texts of one id that come first in the order of their hashes all rows keep the line
+    assert sum(r for i, n, r in got if i == "3") in (1, 2) and sum(r for i, n, r in got if i == "None") == 1
+
+
 def test_line_dedup_edges(spark):
     df = spark.createDataFrame([(1, "A b!\n\n--\nA  b", 5, "z"), (None, "a B", 3, "z"), (2, None, None, "z")], "doc_id long, text string, n_chars long, n_lines string")
     got = {r.doc_id: (r.text, r.n_chars, r.n_lines, r.n_removed) for r in lines.dedup_lines(df).collect()}
