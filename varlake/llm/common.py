@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 from varlake.llm.arrays import root
 
 
+#: Bytes of the batches that go to Python workers. Spark's default (64 MB) counts for each task of an executor, in both processes.
+BATCH_BYTES = 8 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Sets the session's Arrow batches to BATCH_BYTES: rows are whole texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -127,19 +133,20 @@ def in_bitmap(filter_: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (filter_[at // 64] >> (at % 64)) & 1 == 1
 
 
-def component_links(members: DataFrame, compare, chunk: int, num: int, den: int) -> DataFrame:
+def component_links(members: DataFrame, compare, chunk: int, num: int, den: int, counted: DataFrame | None = None) -> DataFrame:
     """Links (src, dst) that span the true components within each candidate component, without a task that takes a whole one.
 
     members has component, node, size and what compare needs. compare(rows, deal) links nodes within each group that the
     columns deal name: rows have side (one value: all pairs of the group count; two: only pairs across) and label (nodes
-    of one label are known to be joined). Nodes can only be linked if size / other size >= num / den.
+    of one label are known to be joined). Nodes can only be linked if size / other size >= num / den. counted: the same rows
+    with component only, where members are dear to make; then they are made once.
 
     1. Components are cut into chunks, each compared with itself. 2. One node of each group found is compared with those
     of the component's other chunks. 3. Only nodes of different groups can still have unknown links: pairs of chunks that
     hold such nodes are compared, large groups in chunks of their own, small ones pooled.
     """
     zero = F.lit(0).cast("long")
-    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / chunk).alias("chunks"))
+    sizes = (members if counted is None else counted).groupBy("component").agg(F.ceil(F.count("*") / chunk).alias("chunks"))
     members = stage(members.join(sizes, "component").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks")), "members")
     found = stage(compare(members.select("*", zero.alias("side"), F.col("node").alias("label")), ["component", "chunk"]), "links")
     large = members.where("chunks > 1")
