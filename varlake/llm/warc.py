@@ -28,6 +28,10 @@ from varlake.llm.common import shared_folder, stage
 ARCHIVE_BYTES = 1 << 30
 #: Ranges no further apart than this are read at once, up to so many bytes a read (a longer record is read alone).
 GAP_BYTES, READ_BYTES = 64 << 10, 8 << 20
+#: Bytes of archive that a reading task gets at most, about.
+TASK_BYTES = 128 << 20
+#: Payloads of more rows than HOT_ROWS and more than one MOST_HOT-th of all repeated rows are joined apart.
+HOT_ROWS, MOST_HOT = 1000, 10_000
 #: A fixed capture time, as the tables have none.
 DATE = "2000-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -81,8 +85,18 @@ def roles(pages: DataFrame, revisit_bytes: int = 0) -> DataFrame:
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("sha", F.sha1(F.col("html").cast("binary"))).withColumn("size", F.octet_length("html"))
     repeated = rows.where(F.col("size") >= revisit_bytes).groupBy("sha", "size").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    repeated = stage(repeated.drop("n"), "repeated")  # its size is known to the planner, which broadcasts it only if small
-    return rows.join(repeated, ["sha", "size"], "left").select("page_id", "url", "html", F.expr("if(page_id <> first, first, NULL)").alias("refers_to"))
+    repeated = stage(repeated, "repeated")  # its size is known to the planner, which broadcasts it only if small
+    # payloads of so many rows are MOST_HOT at most; their rows need no shuffle
+    copies = repeated.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = repeated.where(F.col("n") > max(HOT_ROWS, copies // MOST_HOT)).select("sha", "size", "first")
+    joined = rows.join(repeated.select("sha", "size", "first"), ["sha", "size"], "left") if hot.isEmpty() else _apart(rows, repeated, hot)
+    return joined.select("page_id", "url", "html", F.expr("if(page_id <> first, first, NULL)").alias("refers_to"))
+
+
+def _apart(rows: DataFrame, repeated: DataFrame, hot: DataFrame) -> DataFrame:
+    few = F.broadcast(hot)
+    rest = rows.join(few, ["sha", "size"], "left_anti").join(repeated.select("sha", "size", "first"), ["sha", "size"], "left")
+    return rows.join(few, ["sha", "size"]).unionByName(rest)
 
 
 INDEX = "page_id long, url string, digest string, record_type string, path string, offset long, length long"
@@ -137,8 +151,11 @@ RECORDS = "page_id long, url string, record_type string, refers_to long, payload
 
 def read_warc(index: DataFrame, payload: bool = True) -> DataFrame:
     """The records that rows of index (path, offset, length) name, one row each; payload is null for revisits, and for all
-    if not wanted. Rows that are repeated are read again; no rows, no reads."""
-    places = index.select("path", "offset", "length").repartitionByRange("path", "offset").sortWithinPartitions("path", "offset")
+    if not wanted. Rows that are repeated are read again; no rows, no reads. Index rows are tiny, but what they name is not:
+    they are dealt out by their bytes, over all cores at least."""
+    total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    places = index.select("path", "offset", "length").repartitionByRange(tasks, "path", "offset").sortWithinPartitions("path", "offset")
     schema = RECORDS if payload else RECORDS.removesuffix(", payload binary")
     names = [c.split()[0] for c in schema.split(", ")]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
