@@ -390,27 +390,105 @@ def test_extract(spark):
 
 # --- 8
 
-def test_toxicity(spark):
+def brute_scores(rows, labels, k=15):
+    """Scores before calibration from plain dictionaries: every term of every text, every example."""
+    import math
+
+    counts = {i: {} for i, _ in rows}
+    for i, text in rows:
+        for w in re.findall(r"[0-9a-z\x80-\U0010ffff]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")):
+            counts[i][w] = counts[i].get(w, 0) + 1
+    df, total = {}, len(rows)
+    for own in counts.values():
+        for w in own:
+            df[w] = df.get(w, 0) + 1
+    known = {i: y for i, y in labels.items()}
+    n = [sum(y == v for y in known.values()) for v in (0, 1)]
+    seen = [{}, {}]
+    for i, y in known.items():
+        for w in counts[i]:
+            seen[y][w] = seen[y].get(w, 0) + 1
+
+    def weight(w):
+        if w not in seen[0] and w not in seen[1]:
+            return (math.log(1 + total) + 1) * 0.02
+        part = [seen[0].get(w, 0), seen[1].get(w, 0)]
+        rate, g = sum(part) / sum(n), 0
+        for have, size in zip(part, n):
+            g += have * math.log(have / (size * rate)) if have else 0
+            g += (size - have) * math.log((size - have) / (size * (1 - rate))) if size > have else 0
+        g = max(0, 2 * g)
+        return (math.log((1 + total) / (1 + df[w])) + 1) * (0.02 + 0.98 * (g / (g + 30)) ** 2)
+
+    def unit(own):
+        v = {w: (1 + math.log(c)) * weight(w) for w, c in own.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    vectors = {i: unit(counts[i]) for i in known if counts[i]}
+    prior, out = (n[1] + 0.5) / (sum(n) + 1), {}
+    for i, _ in rows:
+        if not counts[i]:
+            continue
+        own = unit(counts[i])
+        near = sorted(((round(sum(x * v.get(w, 0) for w, x in own.items()), 6), known[j]) for j, v in vectors.items()), reverse=True)
+        near = [(c, y) for c, y in near if c > 0 and c >= near[min(k, len(near)) - 1][0]]
+        if not near:
+            continue  # scored like a text without terms
+        share = [(1 / (1.05 - min(c, 1)), y) for c, y in near]
+        out[i] = (sum(w * y for w, y in share) + prior) / (sum(w for w, _ in share) + 1)
+    return out
+
+
+@pytest.fixture(scope="module")
+def toxic_rows():
     rng = random.Random(6)
-    rows, labels = [], []
+    rows, labels = [], {}
     for i in range(400):
         bad = i % 8 == 0
-        rows.append((i, sentence(rng, 40) + (" You Idiot, scum!" if bad else "")))
-        labels.append((i, int(bad), 0))
-    rows += [(900, None), (901, ""), (902, "scum idiot")]
-    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int, quality int")
-    model = toxicity.fit(docs, known.where("doc_id % 5 <> 0"))
-    got = {r.doc_id: r for r in toxicity.score(docs, model, ["doc_id"]).collect()}
-    assert sum(got[i].predicted == y for i, y, _ in labels) / len(labels) > 0.99
+        rows.append((i, sentence(rng, rng.randint(3, 60)) + (f" You {rng.choice(['Idiot', 'scum', 'moron'])}, {rng.choice(['loser', 'idiot', 'scum'])}!" if bad else "")))
+        labels[i] = int(bad)
+    rows += [(900, None), (901, ""), (902, "scum idiot"), (903, sentence(rng, 30000)), (904, "zzz unknown"), (905, rows[8][1]), (905, rows[8][1]), (None, "a loser and a scum")]
+    return rows, labels
+
+
+def test_toxicity(spark, toxic_rows):
+    rows, labels = toxic_rows
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "0.1D AS score", "'x' AS number").repartition(3)
+    train = {i: y for i, y in labels.items() if i % 5}
+    model = toxicity.fit(docs, spark.createDataFrame(list(train.items()), "doc_id long, toxic int"))
+    found = toxicity.score(docs, model).collect()
+    assert len(found) == len(rows) and "number" in found[0].__fields__
+    got = {r.doc_id: r for r in found}
+    held_out = {i: y for i, y in labels.items() if not i % 5}
+    assert sum(got[i].predicted for i, y in held_out.items() if y) >= 0.9 * sum(held_out.values()) and sum(got[i].predicted for i, y in held_out.items() if not y) <= 2
     assert got[900].score == got[901].score < 0.5 < got[902].score and got[902].evidence and "scum" in got[902].matched
-    # exact neighbours, whatever blocks are left out
-    import numpy as np
-
-    for i, (terms, weights) in enumerate(model.vectors[:20]):
-        query = np.zeros(len(model.terms))
-        query[terms] = weights
-        every = sorted(((-round(float(query[t] @ w), 9), j) for j, (t, w) in enumerate(model.vectors) if j != i))
-        assert toxicity.nearest(model, terms, weights, skip=i)[0].tolist() == [j for c, j in every if c < 0][: model.k]
+    # the same neighbours and votes as by brute force, whatever blocks are left out; ties at the k-th all vote
+    expected = brute_scores(rows, train)
+    for i, vote in expected.items():
+        assert abs(toxicity._calibrated(model, vote) - got[i].score) < 1e-4, i
+
+
+def test_toxicity_blocks(spark, toxic_rows, monkeypatch):
+    """Small blocks, so that many are left out, and postings for all terms; the sample bounded by bytes."""
+    monkeypatch.setattr(toxicity, "BLOCK", 2)
+    monkeypatch.setattr(toxicity, "ROUND", 3)
+    rows, labels = toxic_rows
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    train = {i: y for i, y in labels.items() if i % 5}
+    known = spark.createDataFrame(list(train.items()) + [(None, 1), (1, None), (77777, 1)], "doc_id long, toxic int")
+    for common in (2.0, 1 / 16):
+        monkeypatch.setattr(toxicity, "COMMON", common)
+        model = toxicity.fit(docs, known)
+        import pyarrow as pa
+
+        expected = brute_scores(rows, train)
+        for (h, n), (i, _) in zip(toxicity._counted(pa.array([t for _, t in rows], pa.string())), rows):
+            if i in expected and len(h):
+                assert abs(toxicity._vote(model, *toxicity.nearest(model, *toxicity._unit(model, h, n))) - expected[i]) < 1e-3
+    few = toxicity.examples(docs, known, max_bytes=2000).collect()
+    assert 1 < len(few) < len(train) and sum(len(r.text.encode()) for r in few) <= 2000
+    assert toxicity.examples(docs, known, max_examples=7).count() == 7
 
 
 def test_toxicity_without_labels(spark):
@@ -437,6 +515,16 @@ def test_warc(spark):
     assert warc.read_warc(warc.write_warc(df, revisit_bytes=1)).where("page_id = 5 AND record_type = 'response'").count() == 1
 
 
+def test_warc_common_payload(spark, monkeypatch):
+    """One payload of most rows, and a very long page."""
+    monkeypatch.setattr(warc, "HOT_ROWS", 5)
+    pages = [(k, "u", "<p>common</p>") for k in range(40)] + [(100 + k, "u", f"own {k // 2}") for k in range(6)] + [(None, None, "<p>common</p>"), (200, "l", "long " * 500_000)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4).selectExpr("*", "'clash' AS digest", "1 AS offset")
+    got = sorted(((r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in warc.read_warc(warc.write_warc(df)).collect()), key=str)
+    want = [(k, "revisit" if k else "response", 0 if k else None, 13) for k in range(40)] + [(100 + k, "revisit" if k % 2 else "response", 100 + k - 1 if k % 2 else None, 5) for k in range(6)] + [(None, "response", None, 13), (200, "response", None, 2_500_000)]
+    assert got == sorted(want, key=str)
+
+
 def test_coalesced():
     import numpy as np
 

@@ -62,7 +62,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
     model = toxicity.fit(documents, table(spark, sf_dir, "labels").where(~held_out))
-    return toxicity.score(documents, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+    return toxicity.score(documents, model, ["doc_id"], evidence=0).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,10 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine over a block-max inverted index.
 
-Fitting takes a bounded sample of labelled rows (max_examples) and picks the terms whose document frequency
-differs between the labels; document frequencies for IDF are then counted over all documents. Scoring finds
-each document's k nearest examples exactly: blocks of examples are visited in order of their upper bound, and
-the search ends when no block left can beat the k-th. Votes weighted by distance are calibrated by a logistic
-curve that is fitted on leave-one-out votes of the examples.
+Fitting takes a bounded sample of labelled rows. Every term of a text and of the examples counts; a term's weight is its IDF over all
+documents, more for terms whose document frequency differs between the labels. Scoring finds each document's k
+nearest examples exactly: blocks of examples are visited in order of their upper bound, which block maxima give, and the
+search ends when no block left can beat the k-th. Votes weighted by distance are calibrated by a logistic curve
+that is fitted on leave-one-out votes of the examples.
 """
 
 from __future__ import annotations
@@ -16,78 +16,124 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from varlake.llm.arrays import Words, mix, root, slices
+from varlake.llm.arrays import Words, ranges, signed, slices
 from varlake.llm.common import stage
 
-#: Labelled rows that a model is fitted on at most, and terms that it keeps at most: the bounds of what is broadcast.
-MAX_EXAMPLES, MAX_TERMS = 4096, 256
+#: Labelled rows that a model is fitted on at most, and bytes of their texts: the bounds of what is broadcast.
+MAX_EXAMPLES, MAX_EXAMPLE_BYTES = 4096, 16 << 20
 #: Neighbours that vote.
 NEIGHBOURS = 15
-#: Examples in a block of the index.
-BLOCK = 32
+#: Examples in a block of the index, and blocks that are looked at before the next bound is.
+BLOCK, ROUND = 32, 16
+#: A term without any contrast between the labels still has this share of its IDF as weight; G statistic that gives half of the
+#: rest, before it is squared.
+LEAST, HALF = 0.02, 30.0
+#: Terms of at least this share of the examples have a column of their own instead of postings.
+COMMON = 1 / 16
 
 
 @dataclass
 class Model:
-    terms: np.ndarray  # sorted 64-bit hashes of the vocabulary
-    words: list[str]
-    idf: np.ndarray
-    ids: list  # doc_id of each example that has a term of the vocabulary
+    terms: np.ndarray  # sorted 64-bit hashes of the examples' terms
+    weight: np.ndarray  # of each term
+    unknown: float  # weight of any other term
+    ids: np.ndarray  # doc_id of each example
     labels: np.ndarray
-    vectors: list[tuple[np.ndarray, np.ndarray]]  # term numbers and unit weights of each example
-    blocks: np.ndarray  # largest weight of each term in each block of examples
-    empty: float  # score of a text without a term of the vocabulary
+    number: np.ndarray  # where each example of the sample stands in the index
+    column: np.ndarray  # column of each common term, -1: it has postings
+    dense: np.ndarray  # common terms x examples
+    dense_most: np.ndarray  # common terms x blocks
+    at: np.ndarray  # postings of term t are at[t] to at[t + 1]
+    example: np.ndarray
+    own: np.ndarray  # unit weights of the postings
+    block_at: np.ndarray  # the same for the blocks of a term and its largest weight in each
+    block: np.ndarray
+    most: np.ndarray
+    prior: float
+    empty: float  # score of a text without terms
     curve: tuple[float, float] = (0.0, 1.0)
     k: int = NEIGHBOURS
 
 
-def _term_counts(column: pa.Array, terms: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each text the numbers of the vocabulary's terms in it, and how often each occurs."""
+def _counted(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text its distinct terms (hashes) and how often each occurs."""
     words = Words(column, lower=True, terms=True)
     h = words.hashes()
-    at = np.searchsorted(terms, h) if len(terms) else np.zeros(len(h), int)
-    hit = np.flatnonzero(terms[np.minimum(at, len(terms) - 1)] == h) if len(terms) else np.zeros(0, int)
-    cut = np.searchsorted(hit, words.first)
-    return [np.unique(at[hit[lo:hi]], return_counts=True) for lo, hi in zip(cut[:-1], cut[1:])]
+    for lo, hi in zip(words.first[:-1], words.first[1:]):
+        yield np.unique(h[lo:hi], return_counts=True)
 
 
-def _unit(counts: tuple[np.ndarray, np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    terms, n = counts
-    weight = (1 + np.log(n)) * idf[terms]
+def _known(terms: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the terms among h that the model has, and which of h they are."""
+    if not len(terms):
+        return np.zeros(0, int), np.zeros(0, int)
+    at = np.minimum(np.searchsorted(terms, h), len(terms) - 1)
+    on = np.flatnonzero(terms[at] == h)
+    return at[on], on
+
+
+def _unit(model: Model, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and unit weights of a text's known terms; its unknown ones count in the norm."""
+    at, on = _known(model.terms, h)
+    tf = 1 + np.log(n)
+    weight = tf * model.unknown
+    weight[on] = tf[on] * model.weight[at]
     norm = math.sqrt(float(weight @ weight))
-    return (terms, weight / norm) if norm else (terms[:0], weight[:0])
+    return at, weight[on] / norm if norm else weight[on]
 
 
 def nearest(model: Model, terms: np.ndarray, weights: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers and cosines of the k nearest examples with a cosine above 0; ties go to the earlier example.
+    """Numbers and cosines of the k nearest examples with a cosine above 0, and of all others as near as the k-th.
 
     Exact: a block is left out only if its upper bound, the query's weights times the block's largest weights,
-    is below the k-th cosine found.
+    is below the k-th cosine found. Cosines are compared to six digits.
     """
-    bound = weights @ model.blocks[terms]
-    query = np.zeros(len(model.terms))
-    query[terms] = weights
-    best: list[tuple[float, int]] = []
-    for block in np.argsort(-bound, kind="stable"):
-        if bound[block] <= 0 or len(best) == model.k and bound[block] < best[-1][0] - 1e-12:
+    column = model.column[terms]
+    common, rare = column >= 0, column < 0
+    column, wide = column[common], weights[common].astype(np.float32)
+    terms, weights = terms[rare], weights[rare]
+    size = model.block_at[terms + 1] - model.block_at[terms]
+    at = ranges(model.block_at[terms], size)
+    bound = wide @ model.dense_most[column] + np.bincount(model.block[at], model.most[at] * np.repeat(weights, size), model.dense_most.shape[1])
+    size = model.at[terms + 1] - model.at[terms]
+    at = ranges(model.at[terms], size)
+    rest = np.bincount(model.example[at], model.own[at] * np.repeat(weights, size), len(model.labels))
+    order = np.argsort(-bound, kind="stable")
+    found, cosines, least = [], [], 0.0
+    for visit in (order[:ROUND], order[ROUND:]):
+        visit = visit[(bound[visit] >= least - 2e-6) & (bound[visit] > 0)]
+        if not len(visit):
             break
-        for i in range(block * BLOCK, min((block + 1) * BLOCK, len(model.vectors))):
-            if i != skip:
-                own, weight = model.vectors[i]
-                cosine = round(float(query[own] @ weight), 9)
-                if cosine > 0:
-                    best.append((cosine, i))
-        best = sorted(best, key=lambda x: (-x[0], x[1]))[: model.k]
-    return np.array([i for _, i in best], int), np.array([c for c, _ in best])
+        if len(visit) * 2 < len(order):
+            examples = (visit[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
+            examples = examples[examples < len(model.labels)]
+            dense = wide @ model.dense[column[:, None], examples]
+        else:  # most blocks: all, of which those that were seen count for nothing
+            on = np.zeros(len(order), bool)
+            on[visit] = True
+            examples = np.flatnonzero(np.repeat(on, BLOCK)[: len(model.labels)])
+            dense = (wide @ model.dense[column])[examples]
+        cosine = np.round(dense + rest[examples], 6)
+        keep = np.flatnonzero((cosine > 0) & (cosine >= least) & (examples != skip))
+        found.append(examples[keep])
+        cosines.append(cosine[keep])
+        every = np.concatenate(cosines)
+        if len(every) >= model.k:
+            least = float(np.partition(every, len(every) - model.k)[len(every) - model.k])
+    found, cosines = (np.concatenate(x) if x else np.zeros(0) for x in (found, cosines))
+    on = np.flatnonzero(cosines >= least)
+    on = on[np.lexsort((found[on], -cosines[on]))]
+    return found[on].astype(int), cosines[on]
 
 
 def _vote(model: Model, at: np.ndarray, cosine: np.ndarray) -> float:
     """Share of label 1 among the neighbours, each weighted by the inverse of its distance."""
     weight = 1 / (1.05 - np.minimum(cosine, 1))
-    return float((weight @ model.labels[at] + model.empty) / (weight.sum() + 1))
+    return float((weight @ model.labels[at] + model.prior) / (weight.sum() + 1))
 
 
 def _calibrated(model: Model, vote: float) -> float:
@@ -111,111 +157,132 @@ def _curve(votes: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(max(w[1], 0.0))
 
 
-def _shares(hashes: list[np.ndarray], bands: int = 10, rows: int = 5) -> np.ndarray:
-    """1 / the size of each example's group of near copies, so that a group counts as one text when terms are chosen.
-    Two examples are in one group if all min-hashes of a band agree (word sets alike by 0.8: in 98 of 100 cases)."""
-    parent, last = np.arange(len(hashes)), {}
-    for i, own in enumerate(hashes):
-        if len(own):
-            low = [int(mix(own ^ np.uint64(seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1)).min()) for seed in range(1, bands * rows + 1)]
-            for b in range(bands):
-                other = last.setdefault((b, *low[b * rows : (b + 1) * rows]), i)
-                parent[root(parent, i)] = root(parent, other)
-    group = np.array([root(parent, i) for i in range(len(hashes))], int)
-    return 1 / np.bincount(group, minlength=len(hashes))[group] if len(group) else np.zeros(0)
-
+def examples(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_bytes: int = MAX_EXAMPLE_BYTES) -> DataFrame:
+    """The bounded sample (number, doc_id, toxic, text): labelled documents in the order of a hash of doc_id, at most max_examples,
+    and as many as max_bytes of text hold (one at least). Rows of equal doc_id and text are one."""
+    chosen = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = F.broadcast(chosen.orderBy(*order).limit(max_examples))  # at most max_examples rows
+    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("copy", F.xxhash64("text"))
+    keys = texts.join(chosen, "doc_id").groupBy("doc_id", "copy").agg(F.max("toxic").alias("toxic"), F.max(F.octet_length("text")).cast("long").alias("size"))
+    # windows over at most max_examples rows
+    by = W.orderBy(*order, "copy")
+    keys = keys.orderBy(*order, "copy").limit(max_examples).withColumns({"number": F.row_number().over(by), "upto": F.sum("size").over(by)})
+    keys = stage(keys.where((F.col("upto") <= max_bytes) | (F.col("number") == 1)).select("doc_id", "copy", "toxic", "number"), "chosen")
+    sample = texts.join(F.broadcast(keys), ["doc_id", "copy"]).dropDuplicates(["number"])
+    return sample.select("number", "doc_id", "toxic", "text")
 
-def examples(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> DataFrame:
-    """The bounded sample (doc_id, text, toxic): labelled documents in the order of a hash of doc_id, at most max_examples."""
-    chosen = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
-    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most max_examples rows
 
-
-def fit(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS, k: int = NEIGHBOURS) -> Model:
+def fit(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, k: int = NEIGHBOURS) -> Model:
     """A model from documents (doc_id, text) and labels (doc_id, toxic 0 or 1).
 
     Repeated labels of a document: the largest counts. Null labels and ids are left out; null texts are empty.
     Without usable labels every text gets 0.5; with one label only, nearly that label.
     """
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            words = Words(batch.column("text"), lower=True, terms=True)
-            h = words.hashes()
-            own = [np.unique(h[lo:hi]).view(np.int64) for lo, hi in zip(words.first[:-1], words.first[1:])]
-            yield pa.record_batch([batch.column("toxic"), pa.array(own, pa.list_(pa.int64()))], names=["toxic", "hashes"])
-
-    sample = stage(examples(documents, labels, max_examples).selectExpr("doc_id", "CAST(toxic AS int) AS toxic", "text"), "examples")
-    rows = sample.mapInArrow(hashed, "toxic int, hashes array<long>").toArrow().combine_chunks()  # at most max_examples rows
-    toxic, column = rows.column("toxic").to_numpy().astype(int), rows.column("hashes").combine_chunks()
-    ends = np.append(0, np.cumsum(column.value_lengths().to_numpy().astype(int))) if len(column) else [0]
-    flat = column.flatten().to_numpy().view(np.uint64)
-    hashes = [flat[lo:hi] for lo, hi in zip(ends[:-1], ends[1:])]
-    every = np.unique(flat)
-
-    # terms by the G statistic of their document frequencies under the two labels
-    counts, share = np.zeros((2, len(every))), _shares(hashes)
-    for own, y, weight in zip(hashes, toxic, share):
-        counts[y, np.searchsorted(every, own)] += weight
-    size = np.array([[max(1e-9, share[toxic == 0].sum())], [max(1e-9, share[toxic == 1].sum())]])
+            found = list(_counted(batch.column("text")))
+            number = np.repeat(batch.column("number").to_numpy(), [len(h) for h, _ in found])
+            yield pa.record_batch([pa.array(number, pa.int32()), signed(np.concatenate([h for h, _ in found])), pa.array(np.concatenate([n for _, n in found]), pa.int32())], names=["number", "term", "n"])
+
+    sample = stage(examples(documents, labels, max_examples), "examples")
+    known = sample.select("number", "doc_id", "toxic").orderBy("number").toArrow()  # max_examples rows at most
+    ids, toxic = known.column("doc_id").to_numpy(), known.column("toxic").to_numpy().astype(float)
+    row = np.full(int(known.column("number").to_numpy().max(initial=0)) + 1, -1)
+    row[known.column("number").to_numpy()] = np.arange(len(ids))
+    found = sample.select("number", "text").mapInArrow(counted, "number int, term long, n int").toArrow()  # of max_bytes of text
+    terms, at = np.unique(found.column("term").to_numpy().view(np.uint64), return_inverse=True)
+    example, tf = row[found.column("number").to_numpy()], 1 + np.log(found.column("n").to_numpy())
+
+    frequency, total = document_frequencies(documents, terms)
+    idf = np.log((1 + total) / (1 + frequency)) + 1
+    weight = idf * _contrast(at, toxic[example], len(terms), toxic)
+    unknown = (math.log(1 + total) + 1) * LEAST
+    model = _index(terms, weight, unknown, ids, toxic, example, at, tf, k)
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by max_examples and max_bytes
+
+    def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in slices(batches, "text"):
+            own = []
+            for number, (h, n) in zip(row[batch.column("number").to_numpy()], _counted(batch.column("text"))):
+                own.append(_vote(m, *nearest(m, *_unit(m, h, n), skip=int(m.number[number]))) if len(h) else None)
+            yield pa.record_batch([batch.column("toxic"), pa.array(own, pa.float64())], names=["toxic", "vote"])
+
+    left_out = sample.select("number", "toxic", "text").mapInArrow(votes, "toxic int, vote double").where("vote IS NOT NULL").toArrow()
+    shared.destroy()
+    model.curve = _curve(left_out.column("vote").to_numpy(), left_out.column("toxic").to_numpy())
+    return model
+
+
+def _contrast(term: np.ndarray, toxic: np.ndarray, n_terms: int, labels: np.ndarray) -> np.ndarray:
+    """LEAST to 1 for each term, by the G statistic of its document frequencies under the two labels."""
+    size = np.array([[(labels == 0).sum()], [(labels > 0).sum()]], float)
+    if not size.all():
+        return np.full(n_terms, LEAST)
+    counts = np.stack([np.bincount(term[toxic == 0], minlength=n_terms), np.bincount(term[toxic > 0], minlength=n_terms)]).astype(float)
     rate = counts.sum(0) / size.sum()
 
     def log_ratio(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
         return np.where(part > 0, part * np.log(np.maximum(part, 1e-12) / np.maximum(whole, 1e-12)), 0)
 
-    g = 2 * (log_ratio(counts, size * rate) + log_ratio(size - counts, size * (1 - rate))).sum(0) if 0 < toxic.sum() < len(toxic) else np.zeros(len(every))
-    order = np.lexsort((every, -g))
-    # of chance alone no term of so many passes 2 ln(n / 0.05); with few labels, the eight best above p = 0.01
-    strict, loose = (g >= 2 * math.log(max(len(every), 1) / 0.05)).sum(), (g >= 6.63).sum()
-    chosen = np.sort(every[order[: min(max_terms, max(strict, min(8, loose)))]])
-
-    frequency, total = document_frequencies(documents, chosen)
-    idf = np.log((1 + total) / (1 + frequency)) + 1
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            words = Words(batch.column("text"), lower=True, terms=True)
-            where = {int(h): i for i, h in enumerate(words.hashes()) if h in wanted}
-            own = _term_counts(batch.column("text"), chosen)
-            forms = [[words.text(where[int(chosen[t])]).lower() for t in terms] for terms, _ in own]
-            yield pa.record_batch([batch.column("doc_id"), batch.column("toxic"), pa.array([t for t, _ in own], pa.list_(pa.int64())), pa.array([n for _, n in own], pa.list_(pa.int64())), pa.array(forms, pa.list_(pa.string()))], names=["doc_id", "toxic", "terms", "counts", "words"])
-
-    wanted = set(chosen.tolist())
-    rows = sorted(sample.mapInArrow(counted, "doc_id long, toxic int, terms array<long>, counts array<long>, words array<string>").toArrow().to_pylist(), key=lambda r: (r["doc_id"], r["terms"], r["counts"]))
-    toxic, ids = np.array([r["toxic"] for r in rows], int), [r["doc_id"] for r in rows]
-    vectors = [_unit((np.array(r["terms"], int), np.array(r["counts"])), idf) for r in rows]
-    forms = {t: w for r in rows for t, w in zip(r["terms"], r["words"])}
-    has = [i for i, (terms, _) in enumerate(vectors) if len(terms)]
-    none = np.setdiff1d(np.arange(len(toxic)), has)
-    prior = (toxic.sum() + 0.5) / (len(toxic) + 1)
-    empty = float((toxic[none].sum() + prior) / (len(none) + 1))
-    # like examples side by side, so that the bounds of blocks are tight
-    has.sort(key=lambda i: (vectors[i][0].tolist(), i))
-    blocks = np.zeros((len(chosen), -(-len(has) // BLOCK)))
-    for n, i in enumerate(has):
-        terms, weights = vectors[i]
-        blocks[terms, n // BLOCK] = np.maximum(blocks[terms, n // BLOCK], weights)
-    model = Model(chosen, [forms[t] for t in range(len(chosen))], idf, [ids[i] for i in has], toxic[has].astype(float), [vectors[i] for i in has], blocks, empty, k=k)
-    votes = np.array([_vote(model, *nearest(model, *model.vectors[i], skip=i)) for i in range(len(has))])
-    model.curve = _curve(votes, model.labels)
-    return model
+    g = np.maximum(0, 2 * (log_ratio(counts, size * rate) + log_ratio(size - counts, size * (1 - rate))).sum(0))
+    return LEAST + (1 - LEAST) * (g / (g + HALF)) ** 2
+
+
+def _index(terms: np.ndarray, weight: np.ndarray, unknown: float, ids: np.ndarray, toxic: np.ndarray, example: np.ndarray, at: np.ndarray, tf: np.ndarray, k: int) -> Model:
+    """The block-max index of the examples that have terms: (example, at, tf) says that an example has a term, and its damped count."""
+    own = tf * weight[at]
+    norm = np.sqrt(np.bincount(example, own * own, minlength=len(ids)))
+    own = own / norm[example]
+    # like examples side by side, so that the bounds of blocks are tight: in order of their heaviest term
+    first = np.lexsort((own, example))[np.cumsum(np.bincount(example, minlength=len(ids)))[norm > 0] - 1]
+    has = np.flatnonzero(norm > 0)
+    has = has[np.lexsort((ids[has], own[first], at[first]))]
+    number = np.full(len(ids), -1)
+    number[has] = np.arange(len(has))
+    none = toxic[norm == 0]
+    prior = float((toxic.sum() + 0.5) / (len(toxic) + 1))
+    frequency = np.bincount(at, minlength=len(terms))
+    common = np.flatnonzero(frequency > max(BLOCK, COMMON * len(ids)))
+    column = np.full(len(terms), -1)
+    column[common] = np.arange(len(common))
+    blocks = -(-len(has) // BLOCK)
+    dense = np.zeros((blocks * BLOCK, len(common)), np.float32)
+    on = column[at] >= 0
+    dense[number[example[on]], column[at[on]]] = own[on]
+    at, example, own = at[~on], number[example[~on]], own[~on]
+    order = np.lexsort((example, at))
+    at, example, own = at[order], example[order], own[order]
+    pair = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (example[1:] // BLOCK != example[:-1] // BLOCK))) if len(at) else np.zeros(0, int)
+    return Model(
+        terms, weight, unknown, ids[has], toxic[has], number, column, np.ascontiguousarray(dense[: len(has)].T), np.ascontiguousarray(dense.reshape(blocks, BLOCK, len(common)).max(1).T),
+        np.searchsorted(at, np.arange(len(terms) + 1)), example, own, np.searchsorted(at[pair], np.arange(len(terms) + 1)), example[pair] // BLOCK,
+        np.maximum.reduceat(own, pair) if len(pair) else own, prior, float((none.sum() + prior) / (len(none) + 1)), k=k,
+    )
 
 
 def document_frequencies(documents: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, int]:
-    """In how many of all documents each term occurs, and the number of documents. One sum for each term and task is shuffled."""
+    """In how many of all documents each of terms (sorted) occurs, and the number of documents. One sum for each term and task is
+    shuffled; tasks are as many as four times the cores at most, so that this does not grow with the documents."""
+    context = documents.sparkSession.sparkContext
+    shared = context.broadcast(terms)
+
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, n = np.zeros(len(terms) + 1, np.int64), 0
+        terms, n = shared.value, 0
+        counts = np.zeros(len(terms) + 1, np.int64)
         for batch in slices(batches, "text"):
             n += batch.num_rows
-            own = [t for t, _ in _term_counts(batch.column("text"), terms)]
-            counts += np.bincount(np.concatenate(own).astype(int), minlength=len(terms) + 1)
+            own = np.concatenate([h for h, _ in _counted(batch.column("text"))])
+            counts += np.bincount(_known(terms, own)[0], minlength=len(terms) + 1)
         counts[-1] = n
-        yield pa.record_batch([pa.array(np.arange(len(terms) + 1)), pa.array(counts)], names=["term", "n"])
+        on = np.flatnonzero(counts)
+        yield pa.record_batch([pa.array(on, pa.int64()), pa.array(counts[on])], names=["term", "n"])
 
-    rows = documents.select("text").mapInArrow(tally, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    rows = documents.select("text").coalesce(4 * context.defaultParallelism).mapInArrow(tally, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    shared.destroy()
     out = np.zeros(len(terms) + 1, np.int64)
-    for r in rows:
-        out[r.term] = r.n
+    out[rows.column("term").to_numpy()] = rows.column("n").to_numpy()
     return out[:-1], int(out[-1])
 
 
@@ -223,27 +290,32 @@ RESULT = "score double, predicted int, evidence array<struct<doc_id: bigint, sim
 
 
 def score(documents: DataFrame, model: Model, keep: list[str] | None = None, evidence: int = 3) -> DataFrame:
-    """The columns named in keep (all, if None) with score, predicted (score >= 0.5), evidence (the nearest examples) and
-    matched (the vocabulary's terms in the text). Only text decides. A null text is an empty one; a text without a term
-    of the vocabulary has the share of label 1 among such examples. Columns of the input with these names give way."""
+    """The columns named in keep (all, if None) with score, predicted (score >= 0.5), evidence (the nearest examples, so many) and
+    matched (the terms of the text that count most, as many). Only text decides. A null text is an empty one; texts without terms
+    have the share of label 1 among such examples. Repeated rows are scored each by itself. Columns of the input
+    with these names give way."""
     names = [f.name for f in T._parse_datatype_string(RESULT)]
     keep = [c for c in (documents.columns if keep is None else keep) if c not in names]
     # a column may be called text as well as be kept: the copy to be scored has a name of its own
     source = documents.select(*keep, F.col("text").alias("__text"))
     schema = T.StructType([*documents.select(*keep).schema.fields, *T._parse_datatype_string(RESULT).fields])
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_EXAMPLES and MAX_TERMS
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_EXAMPLES and MAX_EXAMPLE_BYTES
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("label", pa.int32())]))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in slices(batches, "__text"):
             scores, near, matched = [], [], []
-            for counts in _term_counts(batch.column("__text"), m.terms):
-                terms, weights = _unit(counts, m.idf)
-                at, cosine = nearest(m, terms, weights) if len(terms) and m.vectors else ((), ())
+            words = Words(batch.column("__text"), lower=True, terms=True)
+            hashes = words.hashes()
+            for lo, hi in zip(words.first[:-1], words.first[1:]):
+                h, n = np.unique(hashes[lo:hi], return_counts=True)
+                terms, weights = _unit(m, h, n)
+                at, cosine = nearest(m, terms, weights) if len(h) and len(m.labels) else ((), ())
                 scores.append(_calibrated(m, _vote(m, at, cosine)) if len(at) else m.empty)
-                near.append([{"doc_id": m.ids[i], "similarity": float(c), "label": int(m.labels[i])} for i, c in zip(at[:evidence], cosine)])
-                matched.append([m.words[t] for t in terms])
+                near.append([{"doc_id": int(m.ids[i]), "similarity": float(c), "label": int(m.labels[i])} for i, c in zip(at[:evidence], cosine)])
+                heavy = terms[np.lexsort((terms, -weights))[:evidence]] if evidence else ()
+                matched.append([words.text(lo + int(np.argmax(hashes[lo:hi] == m.terms[t]))).lower() for t in heavy])
             columns = [batch.column(i) for i in range(len(keep))]
             columns += [pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(near, kind), pa.array(matched, pa.list_(pa.string()))]
             yield pa.record_batch(columns, names=[f.name for f in schema])
