@@ -7,13 +7,14 @@ one batch; Spark deals out the batches.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once; a single longer text is taken whole.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _U = np.uint64
 _SEPARATOR = np.zeros(256, bool)
@@ -29,15 +30,27 @@ _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about SLICE_BYTES of text, which bounds what numpy holds at once."""
-    for batch in batches:
-        _, offsets = text_bytes(batch.column(column))
-        at = 0
-        while at < batch.num_rows:
-            end = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1
-            end = min(max(end, at + 1), batch.num_rows)
-            yield batch.slice(at, end - at)
-            at = end
+    """The same rows in batches of about SLICE_BYTES of text, which bounds what numpy holds at once. Worker processes run many
+    tasks: what this one freed is given back to the system."""
+    try:
+        for batch in batches:
+            _, offsets = text_bytes(batch.column(column))
+            at = 0
+            while at < batch.num_rows:
+                end = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1
+                end = min(max(end, at + 1), batch.num_rows)
+                yield batch.slice(at, end - at)
+                at = end
+    finally:
+        give_back()
+
+
+def give_back() -> None:
+    """Memory that Arrow and the C library hold free goes back to the system, where the library can do that."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

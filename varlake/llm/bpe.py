@@ -26,7 +26,7 @@ _NONE = np.int32(2**31 - 1)
 #: Bytes of a piece beyond which a heap merges it; a matrix would take a round for each of its merges.
 LONG = 512
 #: Pieces that a task remembers at most; then it forgets all.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 
 
 class Vocabulary:
@@ -198,6 +198,7 @@ def _shared(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
+#: The last vocabulary used.
 _loaded: dict[tuple[int, int], Vocabulary] = {}
 
 
@@ -205,6 +206,7 @@ def _vocabulary(lines: bytes) -> Vocabulary:
     """One for each worker process, however many tasks it runs."""
     key = (len(lines), hash(lines))
     if key not in _loaded:
+        _loaded.clear()
         _loaded[key] = Vocabulary(lines)
     return _loaded[key]
 
