@@ -370,22 +370,54 @@ def test_labeller_gradients():
         assert abs((up - down) / (2 * step) - grad[key][at]) < 2e-3
 
 
+def made_pages(rng, n, first=0):
+    """(page_id, url, html, main text) of pages with an article of their own."""
+    pages = []
+    for i in range(first, first + n):
+        paragraphs = [sentence(rng, rng.randint(5, 40)).capitalize() + "." for _ in range(rng.randint(2, 7))]
+        title = sentence(rng, 4)
+        body = "".join(f"<p>{x}</p>" for x in paragraphs)
+        pages.append((i, f"u{i}", f"<html><head><title>{sentence(rng, 3)}</title></head><body><nav><ul><li><a href=x>{sentence(rng, 1)}</a></li></ul></nav><div class='ad'>{sentence(rng, 6)}</div><article><h1>{title}</h1>{body}</article><footer>{sentence(rng, 5)}</footer></body></html>", "\n\n".join([title, *paragraphs])))
+    return pages
+
+
+def plain_pages(rng, n, first):
+    """The same, in layouts without any telling tag, with comments, links and a notice around."""
+    pages = []
+    for i in range(first, first + n):
+        paragraphs = [sentence(rng, rng.randint(15, 60)).capitalize() + "." for _ in range(rng.randint(3, 8))]
+        title = sentence(rng, rng.randint(3, 8)).capitalize()
+        menu = "".join(f"<li><a href='/{k}'>{sentence(rng, 1)}</a>" for k in range(rng.randint(3, 7)))
+        remarks = "".join(f"<div class='comment'><div class='comment-author'>{sentence(rng, 2)}</div><p>{sentence(rng, rng.randint(4, 25))}</p></div>" for _ in range(rng.randint(0, 4)))
+        html = f"""<html><head><title>{title}</title></head><body><div><ul>{menu}</ul></div><div class="cookie-notice"><p>We use cookies. {sentence(rng, 6)}</p></div><div><h1>{title}</h1>{"".join(f"<p>{x}" for x in paragraphs)}</div>
+<div class="comments">{"<h3>Comments</h3>" + remarks if remarks else ""}</div><div class="footer"><p>&copy; {sentence(rng, 5)}</p></div></body></html>"""
+        pages.append((i, f"u{i}", html, "\n\n".join([title, *paragraphs])))
+    return pages
+
+
 def test_extract(spark):
     rng = random.Random(4)
-    pages = []
-    for i in range(40):
-        body = "".join(f"<p>{sentence(rng, rng.randint(5, 40)).capitalize()}.</p>" for _ in range(rng.randint(2, 7)))
-        pages.append((i, f"u{i}", f"<html><head><title>{sentence(rng, 3)}</title></head><body><nav><ul><li><a href=x>{sentence(rng, 1)}</a></li></ul></nav><div class='ad'>{sentence(rng, 6)}</div><article><h1>{sentence(rng, 4)}</h1>{body}</article><footer>{sentence(rng, 5)}</footer></body></html>"))
-    pages += [(90, None, None), (91, "e", ""), (92, "u", PAGE)]
-    df = spark.createDataFrame(pages, "page_id long, url string, html string").selectExpr("*", "'clash' AS text")
-    got = {r.page_id: r for r in markup.extract(df, markup.fit(df), ["page_id", "url", "text"]).collect()}
-    right = 0
-    for i, _, page in pages[:40]:
-        inner = re.search("<article>(.*)</article>", page)[1]
-        want = "\n\n".join(re.findall(r"<(?:p|h1)>(.*?)</", inner))
-        right += got[i].text == want and got[i].n_chars == len(want)
-    assert right >= 38 and got[90].text == "" == got[91].text
+    train, other = made_pages(rng, 40), plain_pages(rng, 60, 200)
+    pages = [p[:3] for p in train] + [(90, None, None), (91, "e", ""), (92, "u", PAGE), (93, "l", "<article>" + "<p>A long page of many words.</p>" * 20_000 + "</article>"), (None, "n", "<p>"), (5, train[5][1], train[5][2])]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").selectExpr("*", "'clash' AS text", "7 AS size", "1 AS copy")
+    assert len(markup.sample(df)) == 42 and sum(map(len, markup.sample(df, max_bytes=5000))) <= 5000  # the long page is none to train on
+    model = markup.fit(df)
+    got = {r.page_id: r for r in markup.extract(df, model, ["page_id", "url", "text"]).collect()}
+    right = sum(got[i].text == want and got[i].n_chars == len(want) for i, _, _, want in train)
+    assert right >= 38 and got[90].text == "" == got[91].text and got[None].text == ""
+    assert got[93].n_blocks == 20_000
     assert markup.extract(df.limit(0), markup.fit(df.limit(0)), ["page_id"]).count() == 0
+    # layouts that name nothing: blocks found of those wanted, and wanted of those found
+    unseen = spark.createDataFrame([p[:3] for p in other], "page_id long, url string, html string")
+    got = {r.page_id: r.text.split("\n\n") for r in markup.extract(unseen, model, ["page_id"]).collect()}
+    both = sum(len(set(got[i]) & set(want.split("\n\n"))) for i, _, _, want in other)
+    assert both >= 0.9 * sum(len(want.split("\n\n")) for *_, want in other) and both >= 0.9 * sum(map(len, got.values()))
+
+
+def test_masked():
+    page = markup.blocks("<main class=a><p id=b>x</main><div class=c>y</div>")
+    assert [b.path for b in markup.masked(page, True, True)] == [(("div", ""), ("p", "")), (("div", ""),)]
+    assert [b.path for b in markup.masked(page, False, True)] == [(("main", ""), ("p", "")), (("div", ""),)]
 
 
 # --- 8

@@ -5,7 +5,8 @@ and hashed words of class and id), its hashed words and a few measures. A bidire
 blocks in both directions and labels each with the whole page in view. Blocks labelled as main text are joined.
 
 It is trained on a bounded sample of pages whose own markup says where the article is, and on variants of them: the same
-texts in other layouts, with menus, notices, forms, sidebars and comments around and inside the article.
+texts in other layouts, with menus, notices, forms, sidebars and comments around and inside the article. Many of these
+pages are masked: telling tags and names are taken out, so that texts, layout and order must decide.
 """
 
 from __future__ import annotations
@@ -245,12 +246,16 @@ def _padded(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(pages: list[tuple[list[Block], list[int]]], epochs: int = 14, seed: int = 7) -> Labeller:
-    """Adam on batches of pages of like length."""
+    """Adam on batches of pages of like length: 24, or as many as 20,000 padded blocks hold."""
     model, rng = Labeller(seed=seed), random.Random(seed)
     pages = [p for p in pages if p[0]]
     rows = [vectors([b]) for b, _ in pages]
     order = sorted(range(len(rows)), key=lambda i: len(rows[i]))
-    batches = [order[i : i + 24] for i in range(0, len(order), 24)]
+    batches: list[list[int]] = []
+    for i in order:
+        if not batches or len(batches[-1]) == 24 or len(rows[i]) * (len(batches[-1]) + 1) > 20_000:
+            batches.append([])
+        batches[-1].append(i)
     m, v, step = {k: np.zeros_like(w) for k, w in model.w.items()}, {k: np.zeros_like(w) for k, w in model.w.items()}, 0
     for epoch in range(epochs):
         rng.shuffle(batches)
@@ -384,29 +389,67 @@ def labelled(page: list[Block]) -> list[int] | None:
     return [int(r and not any(t in _AROUND or _AROUND_NAMES & set(n.split()) for t, n in b.path)) for b, r in zip(page, roots)]
 
 
-#: Pages that training takes at most, blocks of each, and variants made of each.
-MAX_PAGES, MAX_BLOCKS, VARIANTS = 160, 60, 3
+#: Tags that say what a part is for. Where they are masked, all are div.
+_TELLING = {"article", "main", "nav", "aside", "header", "footer", "section", "form", "figure", "figcaption", "button", "menu"}
 
 
-def fit(pages: DataFrame, max_pages: int = MAX_PAGES, variants: int = VARIANTS, seed: int = 7) -> Labeller:
-    """A labeller from pages (page_id, html): the first max_pages in the order of a hash of page_id. Pages that say
-    nothing are left out; without any, variants are made of the texts of fixed words."""
-    rows = pages.where("html IS NOT NULL AND page_id IS NOT NULL").select("page_id", F.substring("html", 1, 200_000).alias("html"))
-    rows = rows.orderBy(F.xxhash64("page_id"), "page_id").limit(max_pages).collect()
-    known = []
+def masked(page: list[Block], tags: bool, names: bool) -> list[Block]:
+    """The page without telling tags, or without names, or without both: what is left is its texts and their layout."""
+    known: dict[tuple, tuple] = {}
+
+    def path(own: tuple) -> tuple:
+        if own not in known:
+            known[own] = tuple(("div" if tags and t in _TELLING else t, "" if names else n) for t, n in own)
+        return known[own]
+
+    return [Block(path(b.path), b.text, b.linked) for b in page]
+
+
+#: Pages that training takes at most, bytes of all of them and of one, and variants made of each.
+MAX_PAGES, MAX_BYTES, MAX_PAGE_BYTES, VARIANTS = 160, 4 << 20, 256 << 10, 4
+
+
+def sample(pages: DataFrame, max_pages: int = MAX_PAGES, max_bytes: int = MAX_BYTES, max_page_bytes: int = MAX_PAGE_BYTES) -> list[str]:
+    """HTML of the pages to train on, whole: of those of at most max_page_bytes the first in the order of a hash of page_id, at most max_pages,
+    as many as max_bytes hold. They are chosen by id and size before any HTML is fetched."""
+    known = pages.where("html IS NOT NULL AND page_id IS NOT NULL").select("page_id", F.xxhash64("html").alias("copy"), F.octet_length("html").cast("long").alias("size"))
+    rows = known.where(F.col("size") <= max_page_bytes).orderBy(F.xxhash64("page_id"), "page_id", "copy").limit(max_pages).collect()
+    wanted, total = [], 0
     for r in rows:
-        own = blocks(r.html)[:MAX_BLOCKS]
+        total += r["size"]
+        if total <= max_bytes:
+            wanted.append((r.page_id, r["copy"]))
+    if not wanted:
+        return []
+    keys = F.broadcast(pages.sparkSession.createDataFrame(wanted, "page_id long, copy long").distinct())
+    found = pages.select(F.col("page_id").cast("long").alias("page_id"), F.xxhash64("html").alias("copy"), "html").join(keys, ["page_id", "copy"], "left_semi")
+    # rows of equal id and HTML are one
+    return [r.html for r in sorted(found.dropDuplicates(["page_id", "copy"]).collect(), key=lambda r: (crc32(str(r.page_id).encode()), r.html))]
+
+
+def examples(htmls: list[str], variants: int = VARIANTS, seed: int = 7) -> list[tuple[list[Block], list[int]]]:
+    """Labelled pages to train on: those whose markup names the article, as they are and masked, and variants of their texts, of which
+    two thirds are masked. Pages that say nothing are left out; without any, variants are made of fixed words."""
+    known, rng = [], random.Random(seed)
+    for page in htmls:
+        own = blocks(page)
         labels = labelled(own)
         if labels and sum(labels):
             known.append((own, labels))
-    rng = random.Random(seed)
     texts = [[b.text for b, y in zip(own, labels) if y] for own, labels in known] or [["A title", "Some words of text.", "More words, and an end."]] * 8
     pool = [t for ts in texts for t in ts]
+    known += [(masked(own, True, True), labels) for own, labels in known]
     for ts in texts:
         for _ in range(variants):
-            cut = ts[: rng.randint(1, len(ts))] if len(ts) > 1 and rng.random() < 0.7 else ts
-            known.append(_variant(cut[:30], pool, rng))
-    return train(known, seed=seed)
+            own, labels = _variant(ts[: rng.randint(1, len(ts))] if len(ts) > 1 and rng.random() < 0.7 else ts, pool, rng)
+            kind = rng.randrange(3)
+            known.append((masked(own, kind > 1, kind > 0) if kind else own, labels))
+    return known
+
+
+def fit(pages: DataFrame, max_pages: int = MAX_PAGES, variants: int = VARIANTS, seed: int = 7) -> Labeller:
+    """A labeller from pages (page_id, html), trained on a bounded sample of them."""
+    return train(examples(sample(pages, max_pages), variants, seed), seed=seed)
 
 
 RESULT = "text string, n_chars long, n_blocks int, n_kept int"
