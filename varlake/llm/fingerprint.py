@@ -5,8 +5,9 @@ vectors modulo powers of two. So it does not depend on the order of paragraphs,
 deleted by adding or subtracting their vectors. A vector has two parts:
 
 - DIGEST lanes modulo 2**32, cut from the paragraph's SHA-512: equal sums mean equal multisets of paragraphs;
-- SKETCH lanes modulo 2**16, in which each phrase (words up to punctuation or a word in a, e, é, o, s or y; in short paragraphs each word) adds 1 or -1 in a lane that its hash
-  names: the squared distance of two sketches estimates how many phrases two texts do not share.
+- SKETCH lanes modulo 2**16, in which each different pair of neighbouring words of the paragraph (a lone word by itself) adds 1 or
+  -1 in a lane that its hash names: the squared distance of two sketches estimates how many pairs two texts do not
+  share. A word ends at white space, and after WORD characters: a text without blanks has words, too.
 
 The string form has 8 hex digits for each digest lane and 4 for each sketch lane.
 """
@@ -20,8 +21,7 @@ from pyspark.sql import functions as F
 from varlake.llm.common import stage
 
 DIGEST, SKETCH = 16, 120
-#: Characters below which a paragraph's sketch is made of words.
-SHORT = 64
+WORD = 12
 
 
 def _digest(text: str) -> Column:
@@ -32,9 +32,9 @@ def _digest(text: str) -> Column:
 
 
 def _sketch(text: str) -> Column:
-    # a phrase's lane is a character: lanes of a long text are then counted by lengths of strings
-    units = f"""flatten(transform(split({text}, '\\n', -1), p -> if(length(p) < {SHORT}, split(p, '\\\\s+', -1), split(p, '[.!?,;:|]+\\\\s*|(?<=[aeéosy])\\\\s+', -1))))"""
-    hashes = f"transform(filter({units}, u -> u <> ''), u -> xxhash64(u))"
+    # a pair's lane is a character: lanes of a long text are then counted by lengths of strings
+    pairs = "if(size(w) < 2, transform(w, x -> xxhash64(x)), array_distinct(transform(sequence(0, size(w) - 2), i -> xxhash64(w[i], w[i + 1]))))"
+    hashes = f"""flatten(transform(transform(split({text}, '\\n', -1), p -> regexp_extract_all(p, '\\\\S{{1,{WORD}}}', 0)), w -> {pairs}))"""
     marks = [f"array_join(transform(filter(h, x -> x {sign} 0), x -> chr(1 + pmod(x, {SKETCH}))), '')" for sign in (">=", "<")]
     count = "(length(m.{0}) - length(replace(m.{0}, chr(1 + i), '')))"
     return F.expr(f"""element_at(transform(transform(array({hashes}), h -> named_struct('up', {marks[0]}, 'down', {marks[1]})),
@@ -73,8 +73,8 @@ def from_string(text: str) -> Column:
 
 
 def likeness(a: str, b: str) -> Column:
-    """From two vectors, 0 to 1: 1 for equal multisets of paragraphs, else an estimate of twice the phrases shared over all
-    phrases of both."""
+    """From two vectors, 0 to 1: 1 for equal multisets of paragraphs, else an estimate of twice the word pairs shared over all
+    word pairs of both. Its standard error is about 1 / sqrt(SKETCH), 0.09."""
     signed = "(({0} + 32768L) & 65535L) - 32768L"
     both = f"zip_with(slice({a}, {DIGEST + 1}, {SKETCH}), slice({b}, {DIGEST + 1}, {SKETCH}), (x, y) -> named_struct('x', {signed.format('x')}, 'd', {signed.format('x - y')}, 'y', {signed.format('y')}))"
     sums = f"aggregate({both}, named_struct('d', 0L, 'all', 0L), (s, v) -> named_struct('d', s.d + v.d * v.d, 'all', s.all + v.x * v.x + v.y * v.y), s -> if(s.all = 0, 0D, greatest(0D, 1D - s.d / s.all)))"
