@@ -55,3 +55,38 @@ def resolve_gene_names(names: DataFrame, genes: DataFrame, aliases: DataFrame) -
     reason = F.when(F.col("exact").isNotNull(), "exact").when(F.col("__nf") == 1, "case").when(F.col("own").isNotNull(), "id").when(F.col("__na") == 1, "alias").when(F.col("__na") > 1, "ambiguous").otherwise("not_found")
     gene = F.coalesce("exact", F.when(F.col("__nf") == 1, F.col("folded")), "own", F.when(F.col("__na") == 1, F.col("alias")))
     return rows.select("name", gene.alias("gene_id"), reason.alias("reason"))
+
+
+def normalize_indel(df: DataFrame, blocks: DataFrame, tiles: DataFrame, size: int, bin_size: int = 10_000) -> DataFrame:
+    """Deletions and insertions of another build (key, chrom, pos, ref, alt, description) as anchored alleles of the target build: all
+    columns with norm_chrom, norm_pos, norm_ref, norm_alt, null where nothing can be read, lifted or found.
+
+    The description (g.10_12del, g.10del, g.10_11insACG, g.10_12delinsAC) counts first, else alleles of which one is empty or -. The base
+    before the change is lifted through blocks, and bases are taken from tiles (contig, tile, seq; 1-based) of size bases.
+    key must be unique."""
+    text = F.coalesce(F.trim("description"), F.lit(""))
+    ref, alt = (F.when(F.trim(c) != "-", F.trim(c)).otherwise("") for c in ("ref", "alt"))
+    ref, alt = F.coalesce(ref, F.lit("")), F.coalesce(alt, F.lit(""))
+
+    def found(pattern: str, group: int) -> Column:
+        value = F.regexp_extract(text, pattern, group)
+        return F.when(value != "", value)
+
+    span, one, between = r"g\.(\d+)_(\d+)del", r"g\.(\d+)del", r"g\.(\d+)_(\d+)ins([ACGTN]+)"
+    first, last, single = found(span, 1).cast("long"), found(span, 2).cast("long"), found(one, 1).cast("long")
+    kind = F.when(first.isNotNull() | single.isNotNull(), "del").when(found(between, 3).isNotNull(), "ins").when((alt == "") & (ref != ""), "del").when((ref == "") & (alt != ""), "ins")
+    named = first.isNotNull() | single.isNotNull() | found(between, 3).isNotNull()
+    start = F.coalesce(first, single, F.when(found(between, 3).isNotNull(), found(between, 1).cast("long")), F.col("pos").cast("long"))
+    gone = F.when(kind == "ins", 0).otherwise(F.coalesce(last - first + 1, F.when(single.isNotNull(), 1), F.length(ref)))
+    put = F.when(first.isNotNull(), F.coalesce(found(r"ins([ACGTN]+)", 1), F.lit(""))).when(single.isNotNull(), "").when(named, found(between, 3)).otherwise(F.when(kind == "ins", alt).otherwise(""))
+    rows = df.select("key", "chrom", F.when(kind == "del", start - 1).otherwise(start).alias("__at"), gone.cast("long").alias("__gone"), put.alias("__put")).where(F.lit(True) & kind.isNotNull() & F.col("__at").isNotNull())
+    lifted = liftover(rows.select("key", "chrom", (F.col("__at") - 1).alias("pos"), F.lit("N").alias("ref"), F.lit("N").alias("alt")), blocks, bin_size).where("reason IS NULL")
+    rows = rows.drop("chrom").join(lifted.select("key", "lifted_chrom", (F.col("lifted_pos") + 1).alias("lifted_pos")), "key")
+    # the preceding base and what is deleted, from as many tiles as they touch
+    low, high = (F.floor((c - 1) / size) for c in (F.col("lifted_pos"), F.col("lifted_pos") + F.col("__gone")))
+    wanted = rows.withColumn("tile", F.explode(F.sequence(low, high))).withColumnRenamed("lifted_chrom", "contig")
+    pieces = wanted.join(tiles, ["contig", "tile"]).groupBy("key", "contig", "lifted_pos", "__gone", "__put").agg(F.array_sort(F.collect_list(F.struct("tile", "seq"))).alias("__t"))
+    joined = F.array_join(F.transform("__t", lambda x: x["seq"]), "")
+    bases = F.upper(F.substr(joined, (F.col("lifted_pos") - 1 - F.col("__t")[0]["tile"] * size + 1).cast("int"), (F.col("__gone") + 1).cast("int")))
+    pieces = pieces.select("key", F.col("contig").alias("norm_chrom"), F.col("lifted_pos").alias("norm_pos"), bases.alias("norm_ref"), F.concat(F.left(bases, F.lit(1)), "__put").alias("norm_alt")).where("norm_ref <> ''")
+    return df.join(pieces, "key", "left")

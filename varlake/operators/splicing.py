@@ -187,3 +187,25 @@ def splice_unified(df: DataFrame) -> DataFrame:
     failed = true(state == "error") | true(column(df, "spliceai_custom_match") == "predictor_error")
     best = F.coalesce(custom, vep)
     return df.withColumns({"SPLICE_MAX_UNIFIED": best, "SPLICEAI_METHOD": F.when(custom.isNotNull(), CUSTOM).when(vep.isNotNull(), STANDARD).otherwise(UNCOVERED), "SPLICEAI_STATUS": F.when(best.isNotNull(), "scored").when(failed, "error").otherwise("not_covered")})
+
+
+# Columns of an unpacked splice entry, after its allele, and the columns beside which they stand.
+BACKFILLED = ("SYMBOL", "DS_AG", "DS_AL", "DS_DG", "DS_DL", "DP_AG", "DP_AL", "DP_DG", "DP_DL", "MAX")
+ANCHORS = ("SpliceAI_status", "spliceAI_MAX", "IMPACT")
+
+
+def backfill_columns(df: DataFrame, source: str = "SpliceAI", prefix: str = "spliceai_custom_") -> DataFrame:
+    """A table that lacks the unpacked splice columns, with them: the fields of the first entry (entries are parted by commas) and the
+    largest delta score, beside the first anchor column that is there. An entry of fewer fields, or with an unreadable number, gives nulls."""
+    if source not in df.columns or f"{prefix}MAX" in df.columns:
+        return df
+    parts = F.split(F.trim(F.substring_index(F.trim(F.col(source).cast("string")), ",", 1)), "\\|")
+    cells = {n: F.when(F.get(parts, F.lit(i + 1)) != ".", F.get(parts, F.lit(i + 1))) for i, n in enumerate(BACKFILLED[:-1])}
+    readable = F.size(parts) >= 10
+    for name in BACKFILLED[1:-1]:
+        readable &= cells[name].isNull() | cells[name].try_cast("double").isNotNull()
+    values = {n: F.when(readable, c if n == "SYMBOL" else c.try_cast("double")) for n, c in cells.items()}
+    values["MAX"] = F.greatest(*(values[n] for n in BACKFILLED[1:5]))
+    anchor = next((a for a in ANCHORS if a in df.columns), df.columns[-1])
+    at = df.columns.index(anchor) + 1
+    return df.select(*df.columns[:at], *(values[n].alias(prefix + n) for n in BACKFILLED), *df.columns[at:])
