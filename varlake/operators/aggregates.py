@@ -11,10 +11,12 @@ CONTIGS = [*map(str, range(1, 23)), "X", "Y", "MT"]
 
 
 def funnel(df: DataFrame, steps: dict[str, Column], distinct: str = "Locus") -> DataFrame:
-    """Rows and distinct values that pass each condition, in one pass: step, n_rows, n_loci."""
+    """Rows and distinct values that pass each condition, in one pass: step, n_rows, n_loci. Each value is grouped once, with its
+    counts of all steps: distinct counts would make a row for each step."""
     names = list(steps)
-    sums = [x for i, n in enumerate(names) for x in (F.count_if(steps[n]).alias(f"r{i}"), F.count_distinct(F.when(steps[n], F.col(distinct))).alias(f"l{i}"))]
-    one = df.agg(*sums)
+    by = df.groupBy(distinct).agg(*(F.count_if(steps[n]).alias(f"r{i}") for i, n in enumerate(names)))
+    loci = {i: F.count_if((F.col(f"r{i}") > 0) & F.col(distinct).isNotNull()).alias(f"l{i}") for i in range(len(names))}
+    one = by.agg(*(x for i in range(len(names)) for x in (F.coalesce(F.sum(f"r{i}"), F.lit(0)).alias(f"r{i}"), loci[i])))
     rows = F.explode(F.array(*(F.struct(F.lit(n).alias("step"), F.col(f"r{i}").alias("n_rows"), F.col(f"l{i}").alias("n_loci")) for i, n in enumerate(names))))
     return one.select(rows.alias("x")).select("x.*")
 

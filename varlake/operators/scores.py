@@ -93,8 +93,9 @@ def priority(df: DataFrame, freq_col: str = GRPMAX, hpo_genes: list[str] | None
         "model": _text(out, "INHERITANCE_MODEL"), "pair": _text(out, "COMPOUND_HET_STATUS"), "gene_tier": _text(out, "GENE_TIER"),
         "pathogenic": clinvar_masks(_text(out, "CLINVAR_SELECTED_CLNSIG"))[0], "benign": clinvar_masks(_text(out, "CLINVAR_SELECTED_CLNSIG"))[1],
     }
-    out = out.withColumn("__p", F.struct(*(v.alias(k) for k, v in parts.items())))
-    p = {k: F.col(f"__p.{k}") for k in parts}
+    # columns, not a struct: what is used often is then worked out once
+    out = out.withColumns({f"__p_{k}": v for k, v in parts.items()})
+    p = {k: F.col(f"__p_{k}") for k in parts}
     expert = p["pathogenic"] & true(number(column(out, "ClinVar_Stars")) >= 3)
     ba1 = true(p["rarity"] >= p["ba1_from"])
     bs1 = ~ba1 & true(p["rarity"] >= p["bs1_from"])
@@ -115,7 +116,8 @@ def priority(df: DataFrame, freq_col: str = GRPMAX, hpo_genes: list[str] | None
     total = total + F.when(expert, 50.0).when(p["pathogenic"], 45.0).otherwise(0.0) - points(p["benign"], 40.0) + frequency - points(p["low_qual"], 25.0) + model + pair + _score(out, "DISEASE_EVIDENCE_SCORE") + points(p["hpo"], 15.0)
     tier_c, tier_d = p["gene_tier"] == "Tier_C", p["gene_tier"] == "Tier_D"
     total = F.when(tier_c, F.least(total, F.lit(45.0))).when(tier_d, F.least(total, F.lit(35.0))).otherwise(total)
-    out = out.withColumn("VARIANT_PRIORITY_SCORE", F.bround(F.greatest(F.lit(0.0), F.least(F.lit(100.0), total)), 1))
+    out = out.withColumn("__total", total)
+    out = out.withColumn("VARIANT_PRIORITY_SCORE", F.bround(F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.col("__total"))), 1))
     score = F.col("VARIANT_PRIORITY_SCORE")
     bent = true(p["splice"] >= 0.2) | (p["spip"] >= 0.2) | (p["pangolin"] >= 0.2)
     signal = bent | p["aberrant"] | p["utr"] | (p["revel"] >= 0.25) | (p["am"] >= 0.34) | p["lof"] | p["pathogenic"] | F.upper(_text(out, "NEW_IMPACT")).isin("MODERATE", "HIGH") | consequence.rlike(FUNCTIONAL)
@@ -152,7 +154,7 @@ def priority(df: DataFrame, freq_col: str = GRPMAX, hpo_genes: list[str] | None
     last = F.when(ba1, F.concat(F.lit("Stand-Alone Benign: AF ("), fixed(af, 4), F.lit(") Exceeds FAF_PopMax Threshold ("), fixed(p["ba1_from"], 4), F.lit(")"))).when(bs1, F.concat(F.lit("Strong Benign: AF ("), fixed(af, 4), F.lit(") Exceeds FAF_BS1 Threshold ("), fixed(p["bs1_from"], 4), F.lit(")"))).when(p["benign"], "ClinVar Benign / Likely Benign Entry").otherwise(F.concat(F.lit("Low Priority Composite Score ("), fixed(score, 1), F.lit("/100 < 25.0) Without Functional Evidence")))
     why = F.when(tier == TIERS[0], top).when(tier == TIERS[1], strong).when(tier == TIERS[2], middle).otherwise(last)
     warned = F.when(p["low_qual"], F.concat(F.lit(" [⚠️ LOW_QUAL Caller Warning: "), quality, F.lit("]"))).otherwise("")
-    return out.withColumns({"SCORE_EXPLANATION": F.when(text == "", "Neutral Rarity / Benign").otherwise(text), "TIER_RATIONALE": F.concat(why, warned)}).drop("__p")
+    return out.withColumns({"SCORE_EXPLANATION": F.when(text == "", "Neutral Rarity / Benign").otherwise(text), "TIER_RATIONALE": F.concat(why, warned)}).drop(*(f"__p_{k}" for k in parts), "__total")
 
 
 def dominant_rank(df: DataFrame, thresholds: dict = DOMINANT) -> DataFrame:

@@ -19,10 +19,9 @@ def intron_offsets(df: DataFrame) -> DataFrame:
     return df.withColumns({"intron_offset_signed": offset, "splice_side": F.when(offset > 0, "donor").when(offset < 0, "acceptor").otherwise("exonic")})
 
 
-def resolve_symbol(df: DataFrame, symbol: str, coordinates: DataFrame, aliases: DataFrame) -> DataFrame:
-    """resolved_gene and resolve_status of a symbol by two routes that must agree: coordinates (symbol, ensg) and the alias
-    edges (symbol, ensg, tier: 0 current, 1 previous or alias). Each symbol is resolved once."""
-    wanted = df.select(F.col(symbol).alias("__symbol")).distinct()
+def symbol_routes(coordinates: DataFrame, aliases: DataFrame) -> DataFrame:
+    """gene and state of each symbol (__symbol) by two routes that must agree: coordinates (symbol, ensg) and the alias
+    edges (symbol, ensg, tier: 0 current, 1 previous or alias). A symbol that neither has is unresolved."""
     current = F.collect_set(F.when(F.col("tier") == 0, F.col("ensg")))
     other = F.collect_set(F.when(F.col("tier") == 1, F.col("ensg")))
     edges = aliases.groupBy(F.col("symbol").alias("__symbol")).agg(F.when(F.size(current) > 0, current).otherwise(other).alias("__genes"))
@@ -30,17 +29,24 @@ def resolve_symbol(df: DataFrame, symbol: str, coordinates: DataFrame, aliases:
     genes, place = F.coalesce("__genes", F.array().cast("array<string>")), F.col("__by_place")
     gene = F.when(place.isNotNull(), F.when((F.size(genes) == 0) | F.array_contains(genes, place), place)).when(F.size(genes) == 1, F.element_at(genes, 1))
     state = F.when(gene.isNotNull(), "alias_resolved").when(place.isNotNull() | (F.size(genes) > 1), "ambiguous").otherwise("unresolved")
-    found = wanted.join(routes, "__symbol", "left").join(edges, "__symbol", "left").select("__symbol", gene.alias("resolved_gene"), state.alias("resolve_status"))
-    return df.join(found, F.col(symbol) == F.col("__symbol"), "left").drop("__symbol")
+    return routes.join(edges, "__symbol", "full_outer").select("__symbol", gene.alias("resolved_gene"), state.alias("resolve_status"))
+
+
+def resolve_symbol(df: DataFrame, symbol: str, coordinates: DataFrame, aliases: DataFrame) -> DataFrame:
+    """resolved_gene and resolve_status of a symbol, as symbol_routes has them."""
+    found = symbol_routes(coordinates, aliases)
+    out = df.join(found, F.col(symbol) == F.col("__symbol"), "left").drop("__symbol")
+    return out.withColumn("resolve_status", F.coalesce("resolve_status", F.lit("unresolved")))
 
 
-def pick_gene_entry(df: DataFrame, entries: DataFrame, key: list[str]) -> DataFrame:
+def pick_gene_entry(df: DataFrame, entries: DataFrame, key: list[str], extra: dict[str, Column] | None = None) -> DataFrame:
     """For each row the entry of its own gene and match, the reason. entries has key, ordinal, is_symbol (the entry's symbol is the row's),
-    gene, resolve_status and entry; df has key and row_gene. Of several the first counts."""
+    gene, resolve_status and entry; df has key and row_gene. Of several the first counts. extra: more aggregates of
+    the entries, taken in the same pass."""
     own = F.when(F.col("is_symbol"), "matched").when(F.col("gene") == F.col("row_gene"), "alias_resolved")
     worst = F.when(F.col("resolve_status") == "ambiguous", 2).when(F.col("resolve_status") == "unresolved", 1).otherwise(0)
     ranked = entries.withColumn("own", own).groupBy(*key).agg(
-        F.min(F.when(F.col("own").isNotNull(), F.struct("ordinal", "own", "entry"))).alias("hit"), F.max(worst).alias("worst"))
+        F.min(F.when(F.col("own").isNotNull(), F.struct("ordinal", "own", "entry"))).alias("hit"), F.max(worst).alias("worst"), *(c.alias(n) for n, c in (extra or {}).items()))
     out = df.join(ranked, key, "left")
     state = F.when(F.col("row_gene").isNull(), "no_row_gene").when(F.col("hit").isNotNull(), F.col("hit.own")).when(F.col("worst") == 2, "ambiguous").when(F.col("worst") == 1, "unresolved").otherwise("no_entry_for_row_gene")
     return out.withColumns({"match": state, "entry": F.when(F.col("row_gene").isNotNull(), F.col("hit.entry"))}).drop("hit", "worst")
@@ -57,8 +63,7 @@ def spliceai_unpack(df: DataFrame, key: list[str], coordinates: DataFrame, alias
     entries = entries.withColumn("__symbol_text", F.get("__p", F.lit(1)))
     entries = resolve_symbol(entries, "__symbol_text", coordinates, aliases).withColumnRenamed("resolved_gene", "gene")
     entries = entries.withColumn("is_symbol", true(F.col("__symbol_text") == F.col("__own")))
-    most = entries.groupBy(*key).agg(F.max("entry.MAX").alias("spliceai_custom_anygene_MAX"))
-    picked = pick_gene_entry(df.withColumn("row_gene", strip_version(known(F.col("Gene")))), entries, key).join(most, key, "left")
+    picked = pick_gene_entry(df.withColumn("row_gene", strip_version(known(F.col("Gene")))), entries, key, {"spliceai_custom_anygene_MAX": F.max("entry.MAX")})
     cells = {f"spliceai_custom_{n}": F.col(f"entry.{n}") for n in ["SYMBOL", *names, "MAX"]}
     return picked.withColumns(cells | {"spliceai_custom_match": F.when(known(F.col(raw)).isNull(), "no_prediction").otherwise(F.col("match"))}).drop("entry", "match", "row_gene")
 
@@ -74,13 +79,15 @@ def pangolin_unpack(df: DataFrame, raw: str = "Pangolin") -> DataFrame:
     only a score from before, it passes."""
     text, gene = known(column(df, raw)), strip_version(known(F.col("Gene")))
     before = number(column(df, "Pangolin_max_score"))
-    blocks = split_entries(text)
+    df = df.withColumns({"__text": text, "__gene": gene, "__before": before, "__blocks": split_entries(text)})
+    text, gene, before, blocks = (F.col(f"__{n}") for n in ("text", "gene", "before", "blocks"))
     ids = F.transform(blocks, lambda b: strip_version(F.substring_index(b, "|", 1)))
-    place = F.nullif(F.array_position(ids, gene), F.lit(0).cast("long")).cast("int")
+    df = df.withColumn("__place", F.nullif(F.array_position(ids, gene), F.lit(0).cast("long")).cast("int"))
+    place = F.col("__place")
     own = F.when(text.isNotNull(), _pangolin_best(F.try_element_at(blocks, place))).otherwise(before)
     most = F.when(text.isNotNull(), F.array_max(F.filter(F.transform(blocks, _pangolin_best), lambda v: v.isNotNull()))).otherwise(before)
     match = F.when(text.isNull(), F.when(before.isNotNull(), "preparsed").otherwise("no_prediction")).when(gene.isNull(), "no_row_gene").when(place.isNotNull(), "matched").otherwise("no_entry_for_row_gene")
-    return df.withColumns({"Pangolin_max_score": own, "Pangolin_status": F.when(own.isNotNull(), "scored").otherwise("not_covered"), "Pangolin_match": match, "Pangolin_anygene_max": most})
+    return df.withColumns({"Pangolin_max_score": own, "Pangolin_status": F.when(own.isNotNull(), "scored").otherwise("not_covered"), "Pangolin_match": match, "Pangolin_anygene_max": most}).drop("__text", "__gene", "__before", "__blocks", "__place")
 
 
 SPIP = "struct<interpretation:string,ci:string,prediction:double,mechanism:string,status:string>"

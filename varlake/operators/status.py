@@ -27,15 +27,18 @@ def resolve_population_af(df: DataFrame, freq_col: str = GRPMAX) -> DataFrame:
     """POPULATION_AF, _SOURCE and _STATUS: grpmax, else joint; a custom column by itself. Values must lie in [0, 1]; an
     allele without a joint frequency and number is absent from the database, not zero."""
     names = [c for c in ((GRPMAX, JOINT) if freq_col == GRPMAX else (freq_col,)) if c in df.columns]
-    raw = {c: known(F.col(c), MISSING_FREQUENCY) for c in names}
-    valid = {c: F.when(number(raw[c]).between(0, 1), number(raw[c])) for c in names}
+    # columns of their own are worked out once, however often they are used
+    df = df.withColumns({f"__raw_{i}": known(F.col(c), MISSING_FREQUENCY) for i, c in enumerate(names)})
+    raw = {c: F.col(f"__raw_{i}") for i, c in enumerate(names)}
+    df = df.withColumns({f"__number_{i}": number(raw[c]) for i, c in enumerate(names)})
+    valid = {c: F.when(F.col(f"__number_{i}").between(0, 1), F.col(f"__number_{i}")) for i, c in enumerate(names)}
     invalid = reduce(lambda a, b: a | b, [raw[c].isNotNull() & valid[c].isNull() for c in names], F.lit(False))
     af = F.coalesce(*valid.values(), F.lit(None).cast("double"))
     status = F.when(af.isNotNull(), "available_frequency").when(invalid, "invalid_frequency")
     if freq_col in (GRPMAX, JOINT) and JOINT in df.columns:
         status = status.when(known(F.col(JOINT), MISSING_FREQUENCY).isNull() & known(column(df, AN_JOINT), MISSING_FREQUENCY).isNull(), ABSENT)
     source = reduce(lambda w, c: w.when(valid[c].isNotNull(), c), names, F.when(F.lit(False), ""))
-    return df.withColumns({"POPULATION_AF": af, "POPULATION_AF_SOURCE": source.otherwise(""), "POPULATION_AF_STATUS": status.otherwise("missing_frequency")})
+    return df.withColumns({"POPULATION_AF": af, "POPULATION_AF_SOURCE": source.otherwise(""), "POPULATION_AF_STATUS": status.otherwise("missing_frequency")}).drop(*(f"__{k}_{i}" for k in ("raw", "number") for i in range(len(names))))
 
 
 def rarity() -> Column:
@@ -94,8 +97,7 @@ def annotate_clinvar(df: DataFrame, order: list[str] | None = None) -> DataFrame
 def clinvar_masks(sig: Column) -> tuple[Column, Column]:
     """(pathogenic, benign): one of the tokens says so and nothing conflicts."""
     plain = F.replace(F.lower(sig), F.lit("_"), F.lit(" "))
-    tokens = F.transform(F.split(plain, "[&/|;,]"), lambda x: F.trim(x))
-    pathogenic, benign = (true(F.exists(tokens, lambda t: t.isin(*words))) for words in (("pathogenic", "likely pathogenic"), ("benign", "likely benign")))
+    pathogenic, benign = (true(plain.rlike(f"(?:^|[&/|;,]) *(?:likely )?{word} *(?:[&/|;,]|$)")) for word in ("pathogenic", "benign"))
     conflict = true(plain.rlike("conflicting|uncertain significance")) | (pathogenic & benign)
     return pathogenic & ~conflict, benign & ~conflict
 
@@ -164,6 +166,8 @@ def utr5_status(df: DataFrame, consequence: str = "5UTR_consequence", annotation
     text = F.trim(F.coalesce(F.col(f"`{consequence}`"), F.lit("")))
     entries = F.filter(F.split(F.coalesce(column(df, annotation), F.lit("")), "[&,]"), lambda e: F.contains(e, F.lit("=")))
     terms = F.filter(F.transform(F.split(F.lower(text), "[&,]"), lambda t: F.trim(t)), lambda t: t != "")
+    df = df.withColumns({"__text": text, "__entries": entries, "__terms": terms})
+    text, entries, terms = F.col("__text"), F.col("__entries"), F.col("__terms")
     linked = F.exists(entries, lambda e: e.rlike("(?:^|:)\\s*consequence\\s*="))
 
     def get(e: Column, key: str) -> Column:
@@ -187,11 +191,11 @@ def utr5_status(df: DataFrame, consequence: str = "5UTR_consequence", annotation
         graded = F.when(F.size(own) > 0, F.transform(own, lambda e: grade(t, e))).otherwise(F.array(F.lit("unclassified")))
         return F.when(F.contains(t, F.lit("premature_start_codon_loss")) | F.contains(t, F.lit("uorf_stop_codon_gain")), F.array(F.lit("other"))).otherwise(graded)
 
-    all_ = F.flatten(F.transform(terms, classes))
+    all_ = F.col("__classes")
     worst = F.when(F.array_contains(all_, "high_impact"), "high_impact").when(F.array_contains(all_, "unclassified"), "unclassified").when(F.array_contains(all_, "other"), "other").otherwise("unclassified")
     utr5 = true(F.contains(column(df, "Consequence"), F.lit("5_prime_UTR_variant")))
     state = F.when(~text.isin("", "-", ".", "nan"), worst).when(utr5 & column(df, "Existing_uORFs").isNotNull(), "no_uorf_effect").when(utr5, "not_evaluated").otherwise("not_applicable")
-    return df.withColumn("UTRAnnotator_status", state)
+    return df.withColumn("__classes", F.when(text != "", F.flatten(F.transform(terms, classes)))).withColumn("UTRAnnotator_status", state).drop("__classes", "__text", "__entries", "__terms")
 
 
 def tag_transcript_tier(df: DataFrame, curated: DataFrame, mane: str = "MANE_SELECT") -> DataFrame:
