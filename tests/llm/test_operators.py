@@ -245,6 +245,23 @@ def test_near_duplicates(docs, rows, n, num, den, chunk, monkeypatch):
     assert got == brute_components(rows, n, num, den)
 
 
+def test_near_duplicates_null_and_repeated_ids(spark):
+    """Links that run through rows without an id, exact copies in plenty, a very long text, and clashing columns."""
+    rng = random.Random(31)
+    base = sentence(rng, 60)
+    words = base.split()
+    near, further = list(words), list(words)
+    near[0], further[0], further[-1] = "x", "x", "y"
+    long = sentence(rng, 40000)
+    rows = [(5, base), (None, " ".join(near)), (9, " ".join(further)), (7, long), (8, long + " tail"), (3, sentence(rng, 20)), (3, sentence(rng, 20))] + [(20 + k, base) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS component", "'c' AS copy", "2 AS size").repartition(4)
+    got = jaccard.near_duplicates(docs, 4, (94, 100)).collect()
+    by = {r.doc_id: r.component_id for r in got if r.doc_id != 3}
+    # base and further link only over the row without an id
+    assert brute_components([(5, base), (9, " ".join(further))], 4, 94, 100)[9][1] == 9
+    assert len(got) == len(rows) and by == {5: 5, None: 5, 9: 5, 7: 7, 8: 7} | {20 + k: 5 for k in range(30)}
+
+
 def test_near_duplicates_empty(spark):
     assert jaccard.near_duplicates(empty(spark)).count() == 0
 
@@ -574,7 +591,8 @@ def test_decontamination(spark):
     texts = [f"{plain[0]} {items[1][1]} {plain[1]}", f"{plain[2]} {changed}", f"{items[4][1].upper()}!", f"{plain[3]} {' '.join(items[0][1].split()[:16])} {plain[4]}", *plain[5:], None, "", items[5][1]]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    assert {r.doc_id: r["items"] for r in decontaminate.contaminated(df, bench).collect()} == {0: [1], 1: [0], 2: [4], 3: [0]}
+    # the last text is the item of three terms as a whole; within other texts it would not count
+    assert {r.doc_id: r["items"] for r in decontaminate.contaminated(df, bench).collect()} == {0: [1], 1: [0], 2: [4], 3: [0], len(texts) - 1: [5]}
     assert decontaminate.contaminated(df.limit(0), bench).count() == 0 == decontaminate.contaminated(df, bench.limit(0)).count()
 
 
@@ -608,6 +626,19 @@ def test_decontamination_replaced_terms():
     assert counted > 300
 
 
+def test_decontamination_rows(spark):
+    """Rows without an id or with a repeated one are told apart by their texts; short items count as whole lines; very long texts."""
+    rng = random.Random(18)
+    item, short = sentence(rng, 20), "Paris, France"
+    rows = [(None, f"a b {item}"), (None, "clean"), (3, item), (3, item), (3, "clean, too"), (4, f"x\n{short.lower()}!\ny"), (5, f"in {short} it was"), (6, sentence(rng, 30000) + " " + item + " " + sentence(rng, 30000)), (7, f"{item[:60]} and no more")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "9 AS item_id", "'z' AS copy").repartition(3)
+    bench = spark.createDataFrame([(1, item), (2, short), (2, None), (None, "")], "item_id long, text string")
+    got = sorted((str(r.doc_id), r["items"], r.n_overlaps) for r in decontaminate.contaminated(df, bench).collect())
+    assert got == [("3", [1], 2), ("4", [2], 1), ("6", [1], 1), ("None", [1], 1)]
+    kept = decontaminate.without_leaks(df, bench)
+    assert kept.columns == df.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["3", "5", "7", "None"]
+
+
 def test_decontamination_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "MAX_SEEDS", 50)
     rng = random.Random(9)

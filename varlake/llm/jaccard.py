@@ -146,13 +146,6 @@ def links(maps: list[np.ndarray], sizes: np.ndarray, sides: np.ndarray, labels:
     """Pairs that span the components: all pairs if sides has one value, else pairs across the two sides. Items with the same
     label are known to be joined. With sets a pair counts if its similarity is num / den or more; without, if it may be."""
     folded = _folded(maps)
-    if len(maps) == 2:  # most groups: two leaves, no tree
-        lost = min(sizes - np.bitwise_count(folded).sum(1).astype(int))
-        overlap = min(*sizes, int(np.bitwise_count(folded[0] & folded[1]).sum()) + lost)
-        if labels[0] == labels[1] or overlap * (den + num) < num * sizes.sum():
-            return []
-        both = len(np.intersect1d(*sets, assume_unique=True)) if sets is not None else overlap
-        return [(0, 1)] if both and both * (den + num) >= num * int(sizes.sum()) else []
     groups = [np.flatnonzero(sides == s) for s in np.unique(sides)]
     trees = [SignatureTree(folded[g], sizes[g]) for g in groups]
     if len(trees) == 1:
@@ -200,6 +193,12 @@ def tree_links(members: DataFrame, deal: list[str], num: int, den: int, payload:
     return members.select(*deal, "side", "label", "node", "size", payload).repartition(*deal).sortWithinPartitions(*deal).mapInArrow(walked, "src long, dst long")
 
 
+#: Stands for a null doc_id where rows are looked up by it.
+_NULL = -(1 << 63)
+#: Classes that a task remembers having dealt out; then it forgets all.
+REMEMBERED = 200_000
+
+
 def carried(documents: DataFrame, bearers: DataFrame, n: int, lower: bool, payload: str) -> DataFrame:
     """class, size and payload (hashes or bits) of the classes that bearers (class, doc_id) name, one row each. A bitmap of
     the wanted ids keeps other documents out of the shuffle."""
@@ -207,30 +206,30 @@ def carried(documents: DataFrame, bearers: DataFrame, n: int, lower: bool, paylo
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").fill_null(0).to_numpy()
+            ids = batch.column("doc_id").to_numpy()
             batch = batch.filter(pa.array(in_bitmap(wanted.value, ids)))
             for part in slices(iter([batch]), "text") if batch.num_rows else ():
                 own = shingles(part.column("text"), n, lower)
                 values = [(s if payload == "hashes" else token_bitmap(s)).view(np.int64) for s in own]
                 yield pa.record_batch([part.column("doc_id"), pa.array([set_class(s) for s in own], pa.int64()), pa.array([len(s) for s in own], pa.int64()), pa.array(values, pa.list_(pa.int64()))], names=["doc_id", "class", "size", payload])
 
-    rows = documents.select("doc_id", "text").mapInArrow(read, f"doc_id long, class long, size long, {payload} array<long>")
+    rows = documents.select(F.coalesce("doc_id", F.lit(_NULL)).alias("doc_id"), "text").mapInArrow(read, f"doc_id long, class long, size long, {payload} array<long>")
     return rows.join(bearers, ["doc_id", "class"], "left_semi").dropDuplicates(["class"]).drop("doc_id")
 
 
 def shingle_sets(documents: DataFrame, n: int, lower: bool) -> DataFrame:
-    """doc_id, n_shingles and class (0: the empty set) of each document."""
+    """doc_id, copy (a hash of the text), n_shingles and class (0: the empty set) of each document."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = shingles(batch.column("text"), n, lower)
-            yield pa.record_batch([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_class(s) for s in sets], pa.int64())], names=["doc_id", "n_shingles", "class"])
+            yield pa.record_batch([batch.column("doc_id"), batch.column("copy"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_class(s) for s in sets], pa.int64())], names=["doc_id", "copy", "n_shingles", "class"])
 
-    return documents.select("doc_id", "text").mapInArrow(counted, "doc_id long, n_shingles long, class long")
+    return documents.select("doc_id", F.xxhash64("text").alias("copy"), "text").mapInArrow(counted, "doc_id long, copy long, n_shingles long, class long")
 
 
 def near_duplicates(documents: DataFrame, n: int = 5, threshold: tuple[int, int] = (80, 100), lower: bool = True) -> DataFrame:
-    """For each row of documents (doc_id long, text): doc_id, n_shingles and component_id, the smallest doc_id reachable over
-    links. Sets are the distinct n-word shingles of the whole text (A-Z lower-cased if lower); a text of fewer words is
+    """For each row of documents (doc_id long, text): doc_id, n_shingles, component_id, the smallest doc_id reachable over links, component
+    (one number for each component; null for empty sets) and copy (a hash of the text). Sets are the distinct n-word shingles of the whole text (A-Z lower-cased if lower); a text of fewer words is
     one shingle. Sets link when intersection / union >= threshold, a ratio of integers.
 
     Null and empty texts link with nothing: their component_id is their doc_id. Equal texts are linked, rows that repeat
@@ -239,16 +238,21 @@ def near_duplicates(documents: DataFrame, n: int = 5, threshold: tuple[int, int]
     """
     num, den = threshold
     sets = stage(shingle_sets(documents, n, lower), "sets")
+    # min leaves nulls out: a class has the null id only where it has no other
     classes = stage(sets.where("class <> 0").groupBy("class").agg(F.min("doc_id").alias("doc_id")), "classes")
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(num, den)
+        bands, seen = Bands(num, den), set()
         for batch in slices(batches, "text"):
             keys, owner = [], []
             for own in shingles(batch.column("text"), n, lower):
-                if len(own):
+                name = set_class(own)
+                if name and name not in seen:  # copies of a text are dealt out once by a task
+                    seen.add(name)
                     keys.append(bands.keys(own))
-                    owner.append(np.full(len(keys[-1]), set_class(own)))
+                    owner.append(np.full(len(keys[-1]), name))
+            if len(seen) > REMEMBERED:
+                seen.clear()
             if keys:
                 yield pa.record_batch([signed(np.concatenate(keys)), signed(np.concatenate(owner))], names=["key", "class"])
 
@@ -264,15 +268,31 @@ def near_duplicates(documents: DataFrame, n: int = 5, threshold: tuple[int, int]
 
     def bearers(wanted: DataFrame) -> DataFrame:
         """A document that brings each class's set."""
-        return stage(classes.join(wanted, "class", "left_semi").where("doc_id IS NOT NULL"), "bearers")
+        return stage(classes.join(wanted, "class", "left_semi").select("class", F.coalesce("doc_id", F.lit(_NULL)).alias("doc_id")), "bearers")
 
     named = members.join(carried(documents, bearers(members.select("class")), n, lower, "bits"), "class").withColumnRenamed("class", "node")
-    candidates = component_links(named, lambda rows, deal: tree_links(rows, deal, num, den, "bits"), CHUNK, num, den)
+    candidates = component_links(named, lambda rows, deal: tree_links(rows, deal, num, den, "bits"), CHUNK, num, den, counted=members)
     candidates = stage(components(candidates), "candidates").withColumnRenamed("node", "class")
-    members = candidates.join(carried(documents, bearers(candidates.select("class")), n, lower, "hashes"), "class").withColumnRenamed("class", "node")
-    found = component_links(members, lambda rows, deal: tree_links(rows, deal, num, den, "hashes"), CHUNK, num, den)
+    named = candidates.join(carried(documents, bearers(candidates.select("class")), n, lower, "hashes"), "class").withColumnRenamed("class", "node")
+    found = component_links(named, lambda rows, deal: tree_links(rows, deal, num, den, "hashes"), CHUNK, num, den, counted=candidates)
     groups = components(found).withColumnRenamed("node", "class")
     named = classes.join(groups, "class", "left").withColumn("component", F.coalesce("component", "class"))
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(smallest, "component").select("class", "component_id")
-    return sets.join(named, "class", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = named.join(smallest, "component").select("class", "component_id", "component")
+    return sets.join(named, "class", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "component", "copy")
+
+
+def representatives(documents: DataFrame, n: int = 5, threshold: tuple[int, int] = (80, 100), lower: bool = True) -> DataFrame:
+    """documents less all but one row of each component of near_duplicates: the one with the smallest doc_id stays (null counts as the
+    largest; of rows of one id that whose text has the smallest hash), once if it is repeated. Rows with empty sets all stay."""
+    groups = stage(near_duplicates(documents, n, threshold, lower).where("component IS NOT NULL").select("doc_id", "copy", "component"), "near")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy")
+    first = groups.groupBy("component").agg(F.min(key).alias("first"), F.count("*").alias("n")).where("n > 1")
+    gone = groups.join(first, "component").where("NOT (doc_id <=> first.doc_id AND copy = first.copy)").select(F.coalesce("doc_id", F.lit(_NULL)).alias("__doc"), F.col("copy").alias("__copy")).distinct()
+    rows = documents.withColumns({"__doc": F.coalesce("doc_id", F.lit(_NULL)), "__copy": F.xxhash64("text")})
+    rows = rows.join(stage(gone, "gone"), ["__doc", "__copy"], "left_anti")
+    again = groups.groupBy(F.coalesce("doc_id", F.lit(_NULL)).alias("__doc"), F.col("copy").alias("__copy")).agg(F.count("*").alias("n")).where("n > 1").select("__doc", "__copy")
+    again = stage(again, "again")
+    if not again.isEmpty():  # only rows that are repeated go through a shuffle
+        rows = rows.join(again, ["__doc", "__copy"], "left_anti").unionByName(rows.join(again, ["__doc", "__copy"], "left_semi").dropDuplicates(["__doc", "__copy"]))
+    return rows.select(*documents.columns)

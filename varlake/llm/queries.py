@@ -34,7 +34,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 4-word shingles have a Jaccard similarity of 0.85 or more."""
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), n=4, threshold=(85, 100))
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), n=4, threshold=(85, 100)).select("doc_id", "n_shingles", "component_id")
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
