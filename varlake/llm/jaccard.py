@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from varlake.llm.arrays import mix, root, shingles, signed, slices
+from varlake.llm.arrays import mix, shingles, signed, slices
 from varlake.llm.common import bitmap, component_links, components, in_bitmap, runs, stage
 
 #: Sets in a chunk: a task holds two chunks at most.
@@ -104,9 +104,10 @@ class SignatureTree:
     sets stand together; each node above covers FANOUT nodes below. A node has the OR of its sets' bitmaps, the
     range of their sizes and the most bits that one of its sets lost to collisions."""
 
-    def __init__(self, maps: np.ndarray, sizes: np.ndarray):
-        self.order = np.lexsort((maps[:, 0], sizes)).tolist()
-        maps, size = maps[self.order], sizes[self.order]
+    def __init__(self, maps: np.ndarray, sizes: np.ndarray, names: np.ndarray):
+        order = np.lexsort((maps[:, 0], sizes))
+        self.sets = names[order]  # the set of each leaf
+        maps, size = maps[order], sizes[order]
         lost = size - np.bitwise_count(maps).sum(1).astype(int)
         self.levels = [(maps, size, size, lost)]
         while len(self.levels[-1][0]) > 1:
@@ -115,13 +116,17 @@ class SignatureTree:
             self.levels.append((np.bitwise_or.reduceat(maps, cut), np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut), np.maximum.reduceat(lost, cut)))
 
 
-def walk(a: SignatureTree, b: SignatureTree, num: int, den: int, joined) -> Iterator[tuple[int, int]]:
-    """Pairs of sets that may reach num / den, from walking both trees at once; of one tree with itself, each pair once.
-    joined(i, j): whether the pair needs no look any more."""
+def walk(a: SignatureTree, b: SignatureTree, num: int, den: int, labels: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Pairs of sets that may reach num / den, from walking both trees at once; of one tree with itself, each pair once. Sets are
+    numbered as labels are, which tell those that are joined (the caller joins while this runs): pairs of nodes whose
+    sets are all joined are not descended either."""
     same = a is b
     stack = [(len(a.levels) - 1, 0, len(b.levels) - 1, 0)]
     while stack:
         la, i, lb, j = stack.pop()
+        own, other = labels[a.sets[i * FANOUT**la : (i + 1) * FANOUT**la]], labels[b.sets[j * FANOUT**lb : (j + 1) * FANOUT**lb]]
+        if own[0] == other[0] and (own == own[0]).all() and (other == own[0]).all():
+            continue
         ma, low_a, high_a, lost_a = (x[i] for x in a.levels[la])
         mb, low_b, high_b, lost_b = (x[j] for x in b.levels[lb])
         if high_a * den < low_b * num or high_b * den < low_a * num:
@@ -130,8 +135,8 @@ def walk(a: SignatureTree, b: SignatureTree, num: int, den: int, joined) -> Iter
         if overlap * (den + num) < num * (low_a + low_b):
             continue  # the largest possible overlap is too small
         if la == lb == 0:
-            if (not same or i < j) and not joined(a.order[i], b.order[j]):
-                yield a.order[i], b.order[j]
+            if not same or i < j:
+                yield int(a.sets[i]), int(b.sets[j])
             continue
         if la >= lb:
             below = [(la - 1, k, lb, j) for k in range(i * FANOUT, min((i + 1) * FANOUT, len(a.levels[la - 1][0])))]
@@ -145,24 +150,16 @@ def walk(a: SignatureTree, b: SignatureTree, num: int, den: int, joined) -> Iter
 def links(maps: list[np.ndarray], sizes: np.ndarray, sides: np.ndarray, labels: np.ndarray, num: int, den: int, sets: list[np.ndarray] | None = None) -> list[tuple[int, int]]:
     """Pairs that span the components: all pairs if sides has one value, else pairs across the two sides. Items with the same
     label are known to be joined. With sets a pair counts if its similarity is num / den or more; without, if it may be."""
-    folded = _folded(maps)
+    folded, labels = _folded(maps), np.array(labels)
     groups = [np.flatnonzero(sides == s) for s in np.unique(sides)]
-    trees = [SignatureTree(folded[g], sizes[g]) for g in groups]
-    if len(trees) == 1:
-        trees, groups = trees * 2, groups * 2
-    _, first, label = np.unique(labels, return_index=True, return_inverse=True)
-    parent, out = first[label], []
-
-    def joined(i: int, j: int) -> bool:
-        return root(parent, groups[0][i]) == root(parent, groups[1][j])
-
-    for i, j in walk(trees[0], trees[1], num, den, joined):
-        x, y = int(groups[0][i]), int(groups[1][j])
+    trees = [SignatureTree(folded[g], sizes[g], g) for g in groups]
+    out = []
+    for x, y in walk(trees[0], trees[-1], num, den, labels):
         if sets is not None:
             both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
             if den * both < num * (len(sets[x]) + len(sets[y]) - both) or not both:
                 continue
-        parent[root(parent, x)] = root(parent, y)
+        labels[labels == labels[y]] = labels[x]
         out.append((x, y))
     return out
 
