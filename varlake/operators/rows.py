@@ -142,11 +142,12 @@ def text_findings(df: DataFrame, columns: list[str], patterns: list[str], exampl
     cells = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns)))
     long = df.select(cells.alias("cell")).select("cell.*").withColumn("pattern", F.explode(F.array(*map(F.lit, patterns))))
     hits = long.where(F.contains("value", "pattern")).groupBy("column", "pattern", "value").agg(F.count("*").alias("n"))
-    # distinct values first: what is gathered for a pattern is bounded by a running minimum, not by its rows
     from pyspark.sql import Window as W
 
-    ranked = hits.withColumn("nth", F.row_number().over(W.partitionBy("column", "pattern").orderBy("value")))
-    return ranked.groupBy("column", "pattern").agg(F.sum("n").alias("n_rows"), F.array_join(F.array_sort(F.collect_list(F.when(F.col("nth") <= examples, F.col("value")))), "; ").alias("examples"))
+    # only the least few values of a pattern reach one task: a limit on the rank is applied before the shuffle, too
+    least = hits.withColumn("nth", F.row_number().over(W.partitionBy("column", "pattern").orderBy("value"))).where(F.col("nth") <= examples)
+    texts = least.groupBy("column", "pattern").agg(F.array_join(F.array_sort(F.collect_list("value")), "; ").alias("examples"))
+    return hits.groupBy("column", "pattern").agg(F.sum("n").alias("n_rows")).join(texts, ["column", "pattern"])
 
 
 def qc_status(df: DataFrame) -> DataFrame:

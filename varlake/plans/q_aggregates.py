@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from varlake.operators import reports as P
 from varlake.operators import aggregates as G
 from varlake.operators import family
 from varlake.operators.rows import build_locus
@@ -50,10 +51,7 @@ def _(spark, d):
 
 @query("anonymous_rank", "SELECT dense_rank() OVER (ORDER BY sample_id) AS sample_no, n FROM (SELECT sample_id, count(*) AS n FROM {v_genotypes} GROUP BY ALL) t")
 def _(spark, d):
-    from pyspark.sql import Window as W
-
-    counts = table(spark, d, "v_genotypes").groupBy("sample_id").agg(F.count("*").alias("n"))  # as many rows as samples
-    return counts.select(F.dense_rank().over(W.orderBy("sample_id")).alias("sample_no"), "n")
+    return P.anonymous_rank(table(spark, d, "v_genotypes"), "sample_id")
 
 
 @query("status_value_counts", "SELECT 'IMPACT' AS \"column\", IMPACT AS value, count(*) AS n FROM {v_variants} GROUP BY ALL UNION ALL SELECT 'Consequence', Consequence, count(*) FROM {v_variants} GROUP BY ALL")
@@ -68,14 +66,12 @@ def _(spark, d):
 
 @query("schema_consistency", "SELECT name, count(*) AS n_tables FROM (SELECT column_name AS name FROM (DESCRIBE documents) UNION ALL SELECT column_name FROM (DESCRIBE labels) UNION ALL SELECT column_name FROM (DESCRIBE benchmark)) t GROUP BY name HAVING count(*) < 3")
 def _(spark, d):
-    rows = [(t, c) for t in ("documents", "labels", "benchmark") for c in table(spark, d, t).columns]
-    return spark.createDataFrame(rows, "t string, name string").groupBy("name").agg(F.count("*").alias("n_tables")).where("n_tables < 3")
+    return P.schema_consistency({t: table(spark, d, t) for t in ("documents", "labels", "benchmark")})
 
 
 @query("table_completeness", f"SELECT count(DISTINCT Locus) AS n_loci, count(*) AS n_rows, count(*) - count(DISTINCT Locus) AS repeats, CASE WHEN count(*) = count(DISTINCT Locus) THEN 'match' ELSE 'mismatch' END AS state FROM ({_V}) v")
 def _(spark, d):
-    one = build_locus(table(spark, d, "v_variants")).agg(F.count_distinct("Locus").alias("n_loci"), F.count("*").alias("n_rows"))
-    return one.select("n_loci", "n_rows", (F.col("n_rows") - F.col("n_loci")).alias("repeats"), F.when(F.col("n_rows") == F.col("n_loci"), "match").otherwise("mismatch").alias("state"))
+    return P.completeness(build_locus(table(spark, d, "v_variants")), "Locus")
 
 
 @query("cache_conflicts", "SELECT CHROM, POS, REF, ALT, count(*) AS n, count(DISTINCT coalesce(CAST(score AS STRING), 'null')) > 1 AS conflict FROM {v_cache} GROUP BY ALL HAVING count(*) > 1")
@@ -96,7 +92,7 @@ def _(spark, d):
 
 @query("table_profile", "SELECT IMPACT, count(*) AS n, round(avg(QUAL), 4) AS mean_qual, median(QUAL) AS median_qual, min(AF_joint) AS low, max(AF_joint) AS high, round(count(*) FILTER (AF_joint IS NULL) * 100.0 / count(*), 2) AS missing FROM {v_variants} GROUP BY ALL")
 def _(spark, d):
-    return table(spark, d, "v_variants").groupBy("IMPACT").agg(F.count("*").alias("n"), F.round(F.avg("QUAL"), 4).alias("mean_qual"), F.median("QUAL").alias("median_qual"), F.min("AF_joint").alias("low"), F.max("AF_joint").alias("high"), F.round(F.count_if(F.col("AF_joint").isNull()) * 100.0 / F.count("*"), 2).alias("missing"))
+    return P.profile(table(spark, d, "v_variants"), "IMPACT", "QUAL", "AF_joint")
 
 
 @query("histogram", "SELECT CAST(least(10, floor((l_quantity - lo) * 10 / (hi - lo)) + 1) AS INT) AS bin, count(*) AS n FROM lineitem, (SELECT min(l_quantity) AS lo, max(l_quantity) AS hi FROM lineitem) e GROUP BY ALL")
@@ -125,18 +121,17 @@ def _(spark, d):
 
 @query("run_summary", f"SELECT hostname, count(*) AS attempts, count(*) FILTER (status = 'FAILED') AS failed, round(sum(ms) / 3600000, 3) AS task_hours FROM ({_TASKS}) t GROUP BY hostname")
 def _(spark, d):
-    return _tasks(spark, d).groupBy("hostname").agg(F.count("*").alias("attempts"), F.count_if(F.col("status") == "FAILED").alias("failed"), F.round(F.sum("ms") / 3_600_000, 3).alias("task_hours"))
+    return P.run_summary(_tasks(spark, d), "hostname")
 
 
 @query("failed_attempts", f"SELECT name, process, ms FROM ({_TASKS}) t WHERE status = 'FAILED'")
 def _(spark, d):
-    return _tasks(spark, d).where("status = 'FAILED'").select("name", "process", "ms")
+    return P.failed_attempts(_tasks(spark, d)).select("name", "process", "ms")
 
 
 @query("node_outcome_stats", f"SELECT hostname, count(*) FILTER (status = 'COMPLETED') AS COMPLETED, count(*) FILTER (status = 'FAILED') AS FAILED, median(ms) AS median_ms FROM ({_TASKS}) t GROUP BY hostname")
 def _(spark, d):
-    t = _tasks(spark, d)
-    return t.groupBy("hostname").agg(F.count_if(F.col("status") == "COMPLETED").alias("COMPLETED"), F.count_if(F.col("status") == "FAILED").alias("FAILED"), F.median("ms").alias("median_ms"))
+    return P.outcome_stats(_tasks(spark, d), "hostname")
 
 
 @query("spearman", "SELECT l_returnflag, round(corr(ra, rb), 6) AS rho, count(*) AS n FROM (SELECT l_returnflag, rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_returnflag, l_quantity) - 1) / 2.0 AS ra, rank() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY l_returnflag, l_extendedprice) - 1) / 2.0 AS rb FROM lineitem) t GROUP BY ALL")
@@ -151,7 +146,7 @@ def _(spark, d):
 
 @query("crosstab", "SELECT IMPACT, count(*) FILTER (REF = 'A') AS A, count(*) FILTER (REF = 'C') AS C, count(*) FILTER (REF = 'G') AS G, count(*) FILTER (REF = 'T') AS T FROM {v_variants} GROUP BY IMPACT")
 def _(spark, d):
-    return table(spark, d, "v_variants").groupBy("IMPACT").pivot("REF", ["A", "C", "G", "T"]).count().na.fill(0)
+    return P.crosstab(table(spark, d, "v_variants"), "IMPACT", "REF", ["A", "C", "G", "T"])
 
 
 @query("reparse_diff", "SELECT count(*) FILTER (AF_grpmax IS NULL AND AF_joint IS NOT NULL) AS gained, count(*) FILTER (AF_grpmax IS NOT NULL AND AF_joint IS NULL) AS lost, count(*) FILTER (AF_grpmax <> AF_joint) AS changed, count(*) FILTER (coalesce(AF_grpmax >= 0.0005, FALSE) <> coalesce(AF_joint >= 0.0005, FALSE)) AS flips FROM {v_variants}")
@@ -166,7 +161,7 @@ def _(spark, d):
 
 @query("count_by_pair", "SELECT SYMBOL, MANE_SELECT, count(*) AS n FROM {v_variants} GROUP BY ALL")
 def _(spark, d):
-    return table(spark, d, "v_variants").groupBy("SYMBOL", "MANE_SELECT").agg(F.count("*").alias("n"))
+    return P.count_by(table(spark, d, "v_variants"), ["SYMBOL", "MANE_SELECT"])
 
 
 @query("column_profile", "SELECT 'SYMBOL' AS \"column\", count(SYMBOL) AS n, count(DISTINCT SYMBOL) AS n_distinct, CAST(sum(strlen(SYMBOL)) AS BIGINT) AS bytes FROM {v_variants} UNION ALL SELECT 'MANE_SELECT', count(MANE_SELECT), count(DISTINCT MANE_SELECT), CAST(sum(strlen(MANE_SELECT)) AS BIGINT) FROM {v_variants}")
@@ -187,9 +182,7 @@ def _(spark, d):
 
 @query("duplicate_flag_keep_all", f"SELECT row_key, count(*) OVER (PARTITION BY Locus) > 1 AS repeated FROM ({_V}) v")
 def _(spark, d):
-    from pyspark.sql import Window as W
-
-    return build_locus(table(spark, d, "v_variants")).select(*KEY, (F.count("*").over(W.partitionBy("Locus")) > 1).alias("repeated"))
+    return P.flag_repeated(build_locus(table(spark, d, "v_variants")), ["Locus"]).select(*KEY, "repeated")
 
 
 @query("coordinate_order_check", """SELECT SYMBOL, count(DISTINCT CHROM) AS contigs, count(*) FILTER (b IS NULL OR b <> CHROM) AS contig_blocks, count(*) FILTER (b = CHROM AND POS < a) AS position_decreases, count(DISTINCT CHROM) = count(*) FILTER (b IS NULL OR b <> CHROM) AND count(*) FILTER (b = CHROM AND POS < a) = 0 AS ordered
@@ -221,7 +214,7 @@ def _(spark, d):
 
 @query("topk_novel", "SELECT row_key, splice_score FROM {v_variants} WHERE NOT coalesce(AF_joint * 400 >= 0.2, FALSE) ORDER BY splice_score DESC, row_key LIMIT 15")
 def _(spark, d):
-    return table(spark, d, "v_variants").where(~F.coalesce(F.col("AF_joint") * 400 >= 0.2, F.lit(False))).orderBy(F.desc("splice_score"), *KEY).limit(15).select(*KEY, "splice_score")
+    return P.top_novel(table(spark, d, "v_variants"), F.col("AF_joint") * 400 >= 0.2, [F.desc("splice_score"), *KEY], 15).select(*KEY, "splice_score")
 
 
 @query("seeded_sample", "SELECT CHROM, POS FROM (SELECT DISTINCT CHROM, POS FROM {v_cache}) t ORDER BY md5(CHROM || '|' || CAST(POS AS STRING) || '|' || '7'), CHROM, POS LIMIT 100")

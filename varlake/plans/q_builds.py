@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from varlake.operators import reports as P
 from varlake.operators import builds as B
 from varlake.operators import family, joins
 from varlake.operators.aggregates import contig_rank
@@ -78,15 +79,12 @@ def _(spark, d):
 
 @query("check_row_parity", "SELECT 'variants' AS stage, count(*) AS n, CASE WHEN count(*) = (SELECT count(*) FROM lineitem) THEN 'DONE' ELSE 'INCOMPLETE' END AS state FROM {v_variants} UNION ALL SELECT 'cache', count(*), CASE WHEN count(*) = (SELECT count(*) FROM lineitem) THEN 'DONE' ELSE 'INCOMPLETE' END FROM {v_cache}")
 def _(spark, d):
-    counts = [table(spark, d, v).agg(F.count("*").alias("n")).select(F.lit(s).alias("stage"), "n") for v, s in (("v_variants", "variants"), ("v_cache", "cache"))]
-    expected = table(spark, d, "lineitem").agg(F.count("*").alias("e"))  # one row
-    return counts[0].union(counts[1]).crossJoin(expected).select("stage", "n", F.when(F.col("n") == F.col("e"), "DONE").otherwise("INCOMPLETE").alias("state"))
+    return P.row_parity({s: table(spark, d, v) for v, s in (("v_variants", "variants"), ("v_cache", "cache"))}, table(spark, d, "lineitem"))
 
 
 @query("write_bed", "SELECT DISTINCT c || chr(9) || CAST(greatest(start_pos - 100, 0) AS STRING) || chr(9) || CAST(end_pos + 100 AS STRING) AS value FROM (SELECT unnest([chrom, substr(chrom, 4)]) AS c, start_pos, end_pos FROM {v_regions}) t")
 def _(spark, d):
-    rows = table(spark, d, "v_regions").select(F.explode(F.array("chrom", F.expr("substr(chrom, 4)"))).alias("c"), F.greatest(F.col("start_pos") - 100, F.lit(0)).alias("s"), (F.col("end_pos") + 100).alias("e")).distinct()
-    return rows.orderBy("c", "s", "e").select(F.concat_ws("\t", "c", F.col("s").cast("string"), F.col("e").cast("string")).alias("value"))
+    return P.bed_lines(table(spark, d, "v_regions"), F.array("chrom", F.expr("substr(chrom, 4)")), "start_pos", "end_pos", 100)
 
 
 @query("read_pedigree", "SELECT 'F' || CAST(c_nationkey AS STRING) AS FamilyID, CAST(c_custkey AS STRING) AS IndividualID, CAST(c_custkey % 3 AS INT) AS Phenotype FROM customer")
@@ -97,31 +95,26 @@ def _(spark, d):
 
 @query("gtf_parity", "SELECT chrom, count(*) FILTER (strand = '+') AS plus, count(*) AS n, count(DISTINCT gene) AS genes FROM {v_regions} GROUP BY chrom")
 def _(spark, d):
-    return table(spark, d, "v_regions").groupBy("chrom").agg(F.count_if(F.col("strand") == "+").alias("plus"), F.count("*").alias("n"), F.count_distinct("gene").alias("genes"))
+    return P.gene_counts(table(spark, d, "v_regions"))
 
 
 @query("mapping_agreement", "SELECT CASE WHEN g IS NULL THEN 'none' WHEN list_contains(g, symbol) THEN 'same' ELSE 'different' END AS class, count(*) AS n FROM (SELECT p_partkey, 'G' || CAST(p_partkey % 50 AS STRING) AS symbol, 'OLD' || CAST(p_partkey % 90 AS STRING) AS o FROM part) p LEFT JOIN (SELECT prev_symbol, list(DISTINCT symbol) AS g FROM {v_alias} GROUP BY ALL) a ON a.prev_symbol = p.o GROUP BY ALL")
 def _(spark, d):
-    known = table(spark, d, "v_alias").groupBy(F.col("prev_symbol").alias("o")).agg(F.collect_set("symbol").alias("g"))
-    rows = table(spark, d, "part").selectExpr("'G' || CAST(p_partkey % 50 AS STRING) AS symbol", "'OLD' || CAST(p_partkey % 90 AS STRING) AS o").join(known, "o", "left")
-    return rows.groupBy(F.when(F.col("g").isNull(), "none").when(F.array_contains("g", F.col("symbol")), "same").otherwise("different").alias("class")).agg(F.count("*").alias("n"))
+    rows = table(spark, d, "part").selectExpr("'G' || CAST(p_partkey % 50 AS STRING) AS symbol", "'OLD' || CAST(p_partkey % 90 AS STRING) AS o")
+    return P.mapping_agreement(rows, table(spark, d, "v_alias").select(F.col("prev_symbol").alias("o"), "symbol"))
 
 
 @query("mapping_audit", "SELECT prev_symbol, symbol, count(*) OVER (PARTITION BY prev_symbol) AS n_edges, concat_ws('; ', CASE WHEN count(*) OVER (PARTITION BY prev_symbol, symbol) > 1 THEN 'repeated' END, CASE WHEN symbol LIKE '%7' THEN 'suffix' END) AS issues FROM {v_alias}")
 def _(spark, d):
-    from pyspark.sql import Window as W
-
-    several = F.count("*").over(W.partitionBy("prev_symbol", "symbol")) > 1
-    return table(spark, d, "v_alias").select("prev_symbol", "symbol", F.count("*").over(W.partitionBy("prev_symbol")).alias("n_edges"), F.concat_ws("; ", F.when(several, "repeated"), F.when(F.col("symbol").like("%7"), "suffix")).alias("issues"))
+    return P.mapping_audit(table(spark, d, "v_alias"), "prev_symbol", "symbol", F.col("symbol").like("%7"), "suffix")
 
 
 @query("filter_by_missing_list", "SELECT row_key FROM {v_variants} WHERE SYMBOL IN (SELECT 'G' || CAST(n_nationkey AS STRING) FROM nation WHERE n_nationkey % 2 = 1)")
 def _(spark, d):
     listed = table(spark, d, "nation").where("n_nationkey % 2 = 1").selectExpr("'G' || CAST(n_nationkey AS STRING) AS SYMBOL")
-    return table(spark, d, "v_variants").join(listed, "SYMBOL", "left_semi").select(*KEY)
+    return P.listed_only(table(spark, d, "v_variants"), listed, "SYMBOL").select(*KEY)
 
 
 @query("attribution_audit", "SELECT count(*) FILTER (len(string_split(SpliceAI, '&')) > 1) AS multi_entry, count(*) FILTER (split_part(split_part(SpliceAI, '&', 1), '|', 2) = SYMBOL) AS own_entry, count(*) FILTER (split_part(split_part(SpliceAI, '&', 1), '|', 2) <> SYMBOL) AS other_entry FROM {v_variants}")
 def _(spark, d):
-    first = F.split(F.split("SpliceAI", "&")[0], "\\|")[1]
-    return table(spark, d, "v_variants").agg(F.count_if(F.size(F.split("SpliceAI", "&")) > 1).alias("multi_entry"), F.count_if(first == F.col("SYMBOL")).alias("own_entry"), F.count_if(first != F.col("SYMBOL")).alias("other_entry"))
+    return P.attribution_audit(table(spark, d, "v_variants"))
\ No newline at end of file

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from varlake.operators import reports as P
 from varlake.operators import joins as J
 from varlake.plans.registry import KEY, QUERIES, query
 from varlake.plans.views import table
@@ -64,10 +65,9 @@ def _(spark, d):
 
 @query("classify_alias_pairs", f"SELECT CASE WHEN p_partkey IS NULL THEN 'unresolved' WHEN b.ensg = 'T' || CAST(p_partkey % 300 AS STRING) THEN 'alias' ELSE 'neighbour' END AS cls, count(*) AS n FROM ({_BEST}) b LEFT JOIN (SELECT min(p_partkey) AS p_partkey, 'G' || CAST(p_partkey % 50 AS STRING) AS symbol FROM part WHERE p_partkey % 3 = 0 GROUP BY ALL) p USING (symbol) GROUP BY ALL")
 def _(spark, d):
-    best = QUERIES["best_overlap_gene"](spark, d)
     known = table(spark, d, "part").where("p_partkey % 3 = 0").groupBy(F.expr("'G' || CAST(p_partkey % 50 AS STRING)").alias("symbol")).agg(F.min("p_partkey").alias("p"))
-    cls = F.when(F.col("p").isNull(), "unresolved").when(F.col("ensg") == F.expr("'T' || CAST(p % 300 AS STRING)"), "alias").otherwise("neighbour")
-    return best.join(known, "symbol", "left").groupBy(cls.alias("cls")).agg(F.count("*").alias("n"))
+    known = known.select("symbol", F.expr("'T' || CAST(p % 300 AS STRING)").alias("known"))
+    return P.classify_pairs(QUERIES["best_overlap_gene"](spark, d), known).groupBy("cls").agg(F.count("*").alias("n"))
 
 
 @query("nearby_branchpoint", """SELECT row_key, max(score) AS score, count(*) AS n FROM (SELECT row_key, r.p_size AS score, CASE WHEN strand = '-' THEN v.POS - e ELSE s - v.POS END AS dist, s < v.POS AND v.POS <= e AS inside
@@ -79,17 +79,15 @@ def _(spark, d):
 
 @query("ism_effect", f"SELECT row_key, d_best, n FROM {{v_variants}} JOIN (SELECT {A}, min(score) AS d_best, count(*) AS n FROM {{v_cache}} WHERE score IS NOT NULL GROUP BY ALL) t USING ({A})")
 def _(spark, d):
-    worst = table(spark, d, "v_cache").where("score IS NOT NULL").groupBy(*J.ALLELE).agg(F.min("score").alias("d_best"), F.count("*").alias("n"))
-    return table(spark, d, "v_variants").join(worst, J.ALLELE).select(*KEY, "d_best", "n")
+    return P.best_effect(table(spark, d, "v_variants"), table(spark, d, "v_cache"), J.ALLELE, "score").select(*KEY, "d_best", "n")
 
 
 @query("structural_transcript_match", """WITH t AS (SELECT l_suppkey % 7 AS strand, o, string_agg(CASE WHEN nxt IS NOT NULL THEN CAST(e AS STRING) || '-' || CAST(nxt AS STRING) END, ',' ORDER BY s) AS chain FROM (SELECT *, lead(s) OVER (PARTITION BY o ORDER BY s, e) AS nxt, min(sk) OVER (PARTITION BY o) AS l_suppkey FROM (SELECT DISTINCT l_orderkey AS o, l_linenumber * 100 AS s, l_linenumber * 100 + 50 AS e, l_orderkey % 7 AS sk FROM lineitem) a) b GROUP BY ALL)
- SELECT a.o AS a, b.o AS b FROM t a JOIN t b ON a.strand = b.strand AND a.chain = b.chain AND a.o < b.o WHERE a.o % 50 = 1 AND b.o % 50 = 2""")
+ SELECT first AS a, o AS b FROM t JOIN (SELECT strand, chain, min(o) AS first FROM t WHERE chain IS NOT NULL GROUP BY ALL) c USING (strand, chain) WHERE o <> first""")
 def _(spark, d):
     exons = table(spark, d, "lineitem").selectExpr("l_orderkey AS o", "l_linenumber * 100 AS start", "l_linenumber * 100 + 50 AS end").distinct()
     t = exons.groupBy("o").agg(F.collect_list(F.struct("start", "end")).alias("exons")).where("size(exons) > 1").select("o", (F.col("o") % 7).alias("strand"), J.transcript_key(F.col("exons")).alias("chain"))
-    a, b = t.where("o % 50 = 1").withColumnRenamed("o", "a"), t.where("o % 50 = 2").withColumnRenamed("o", "b")
-    return a.join(b, ["strand", "chain"]).where("a < b").select("a", "b")
+    return J.structural_classes(t, ["strand", "chain"], "o").where("o <> first").select(F.col("first").alias("a"), F.col("o").alias("b"))
 
 
 _TRANSCRIPTS = """SELECT o, o % 7 AS strand, count(*) = 1 AS single, coalesce(string_agg(CASE WHEN nxt IS NOT NULL THEN CAST(e AS STRING) || '-' || CAST(nxt AS STRING) END, ',' ORDER BY s, e), CAST(min(s) AS STRING) || '-' || CAST(min(e) AS STRING)) AS chain
@@ -133,12 +131,12 @@ def _(spark, d):
 
 @query("except_keys", f"SELECT row_key FROM {{v_variants}} ANTI JOIN (SELECT DISTINCT {A} FROM {{v_cache}}) c USING ({A})")
 def _(spark, d):
-    return table(spark, d, "v_variants").join(table(spark, d, "v_cache").select(*J.ALLELE), J.ALLELE, "left_anti").select(*KEY)
+    return P.except_keys(table(spark, d, "v_variants"), table(spark, d, "v_cache"), J.ALLELE).select(*KEY)
 
 
 @query("intersect_keys", f"SELECT row_key FROM {{v_variants}} SEMI JOIN (SELECT DISTINCT {A} FROM {{v_cache}}) c USING ({A})")
 def _(spark, d):
-    return table(spark, d, "v_variants").join(table(spark, d, "v_cache").select(*J.ALLELE), J.ALLELE, "left_semi").select(*KEY)
+    return P.intersect_keys(table(spark, d, "v_variants"), table(spark, d, "v_cache"), J.ALLELE).select(*KEY)
 
 
 _CA, _CO = (f"SELECT {A}, min(cdna) AS cdna, min(gene) AS gene FROM {{{v}}} WHERE CHROM IS NOT NULL GROUP BY ALL" for v in ("v_cases", "v_controls"))
@@ -156,14 +154,12 @@ def _(spark, d):
 
 @query("unmapped_report", f"SELECT {A}, cdna, 'cases' AS side FROM {{v_cases}} WHERE CHROM IS NULL UNION ALL SELECT {A}, cdna, 'controls' FROM {{v_controls}} WHERE CHROM IS NULL")
 def _(spark, d):
-    parts = [table(spark, d, v).where("CHROM IS NULL").select(*J.ALLELE, "cdna", F.lit(s).alias("side")) for v, s in (("v_cases", "cases"), ("v_controls", "controls"))]
-    return parts[0].unionByName(parts[1])
+    return P.unmapped({s: table(spark, d, v).select(*J.ALLELE, "cdna") for v, s in (("v_cases", "cases"), ("v_controls", "controls"))}, "CHROM")
 
 
 @query("map_coordinates_with_fallback", "SELECT c.cdna, c.POS, coalesce(t.pos2, c.POS + 1000) AS pos38, t.pos2 IS NOT NULL AS by_table FROM {v_cases} c LEFT JOIN (SELECT cdna, min(POS) AS pos2 FROM {v_controls} GROUP BY ALL) t USING (cdna)")
 def _(spark, d):
-    lookup = table(spark, d, "v_controls").groupBy("cdna").agg(F.min("POS").alias("pos2"))
-    return table(spark, d, "v_cases").join(lookup, "cdna", "left").select("cdna", "POS", F.coalesce("pos2", F.col("POS") + 1000).alias("pos38"), F.col("pos2").isNotNull().alias("by_table"))
+    return P.mapped_or(table(spark, d, "v_cases"), table(spark, d, "v_controls"), "cdna", "POS", F.col("POS") + 1000, "pos38", "by_table").select("cdna", "POS", "pos38", "by_table")
 
 
 @query("compare_runs", "WITH a AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 5 <> 0), b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 4 <> 0) SELECT 'only_old' AS measure, count(*) AS n FROM a ANTI JOIN b USING (o_orderkey) UNION ALL SELECT 'only_new', count(*) FROM b ANTI JOIN a USING (o_orderkey) UNION ALL SELECT 'differs_o_orderstatus', count(*) FROM a JOIN b USING (o_orderkey) WHERE a.o_orderstatus IS DISTINCT FROM b.o_orderstatus UNION ALL SELECT 'differs_o_totalprice', 0")
@@ -190,17 +186,14 @@ def _(spark, d):
 
 @query("map_external_ids", "SELECT p_partkey, n_name FROM part LEFT JOIN (SELECT CAST(n_nationkey AS STRING) AS id, n_name FROM nation) n ON split_part(CAST(p_partkey % 40 AS STRING) || '.7', '.', 1) = n.id")
 def _(spark, d):
-    from varlake.functions.values import strip_version
-
     ids = table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("id"), "n_name")
-    return table(spark, d, "part").withColumn("id", strip_version(F.expr("CAST(p_partkey % 40 AS STRING) || '.7'"))).join(ids, "id", "left").select("p_partkey", "n_name")
+    return P.map_ids(table(spark, d, "part").withColumn("external", F.expr("CAST(p_partkey % 40 AS STRING) || '.7'")), ids, "external").select("p_partkey", "n_name")
 
 
 @query("gene_set_filter", "SELECT row_key FROM {v_variants} WHERE upper(SYMBOL) IN ('G1', 'G7') OR upper(split_part(Feature, '.', 1)) IN (SELECT 'ENST' || lpad(CAST(n_nationkey AS STRING), 11, '0') FROM nation)")
 def _(spark, d):
-    wanted = table(spark, d, "nation").select(F.expr("'ENST' || lpad(CAST(n_nationkey AS STRING), 11, '0')").alias("name")).union(spark.createDataFrame([("g1",), ("G7",)], "name string")).select(F.upper("name").alias("name")).distinct()
-    v = table(spark, d, "v_variants")
-    return v.join(wanted, (F.upper("SYMBOL") == F.col("name")) | (F.upper(F.substring_index("Feature", ".", 1)) == F.col("name")), "left_semi").select(*KEY)
+    wanted = table(spark, d, "nation").select(F.expr("'ENST' || lpad(CAST(n_nationkey AS STRING), 11, '0')").alias("name")).union(spark.createDataFrame([("g1",), ("G7",)], "name string"))
+    return P.with_any_name(table(spark, d, "v_variants"), [F.col("SYMBOL"), F.substring_index("Feature", ".", 1)], wanted).select(*KEY)
 
 
 @query("pad_and_dedupe_regions", "SELECT DISTINCT c AS chrom, greatest(start_pos - 1 - 500, 0) AS s, end_pos + 500 AS e FROM (SELECT unnest([chrom, substr(chrom, 4)]) AS c, start_pos, end_pos FROM {v_regions}) t")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from varlake.operators import reports as P
 from varlake.operators import family, rows, scores, splicing, status
 from varlake.plans.registry import KEY, query
 from varlake.plans.views import table
@@ -142,9 +143,9 @@ def _(spark, d):
 @query("symbol_is_row_gene", f"WITH edges AS (SELECT DISTINCT symbol, ensembl_gene_id AS ensg FROM {{v_alias}} UNION SELECT DISTINCT prev_symbol, ensembl_gene_id FROM {{v_alias}}) SELECT p_partkey, (p.symbol = 'G' || CAST(p_partkey % 7 AS STRING) OR e.ensg IS NOT NULL) AS is_row_gene FROM (SELECT p_partkey, {_SYMS} AS symbol, 'ENSG' || lpad(CAST(p_partkey % 50 AS STRING), 11, '0') AS gene FROM part) p LEFT JOIN edges e ON e.symbol = p.symbol AND e.ensg = p.gene")
 def _(spark, d):
     a = table(spark, d, "v_alias")
-    edges = a.select("symbol", F.col("ensembl_gene_id").alias("gene")).union(a.select("prev_symbol", "ensembl_gene_id")).distinct().withColumn("edge", F.lit(True))
+    edges = a.select("symbol", F.col("ensembl_gene_id").alias("gene")).union(a.select("prev_symbol", "ensembl_gene_id"))
     rows_ = table(spark, d, "part").selectExpr("p_partkey", f"{_SYMS} AS symbol", "'ENSG' || lpad(CAST(p_partkey % 50 AS STRING), 11, '0') AS gene", "'G' || CAST(p_partkey % 7 AS STRING) AS own")
-    return rows_.join(edges, ["symbol", "gene"], "left").select("p_partkey", ((F.col("symbol") == F.col("own")) | F.coalesce("edge", F.lit(False))).alias("is_row_gene"))
+    return P.symbol_is_row_gene(rows_, edges).select("p_partkey", "is_row_gene")
 
 
 _ENTRIES = """ent AS (SELECT row_key, SYMBOL AS own, ALT, split_part(Gene, '.', 1) AS row_gene, unnest(string_split(SpliceAI, '&')) AS e, generate_subscripts(string_split(SpliceAI, '&'), 1) AS ord FROM {v_wide} WHERE SpliceAI IS NOT NULL),

@@ -63,8 +63,9 @@ def explode_csq(df: DataFrame, fields: list[str], genes: DataFrame | None = None
     rows = rows.withColumns({f: F.when(F.get("__p", F.lit(fields.index(f))) != "", F.get("__p", F.lit(fields.index(f)))) for f in {*chosen, *([] if genes is None else ["SYMBOL", "Feature"])}}).drop("__e", "__p")
     if genes is None:
         return rows
-    upper = genes.select(F.upper("name").alias("__name")).distinct()
-    return rows.join(upper, (F.upper("SYMBOL") == F.col("__name")) | (F.upper("Feature") == F.col("__name")), "left_semi")
+    from varlake.operators.reports import with_any_name
+
+    return with_any_name(rows, [F.col("SYMBOL"), F.col("Feature")], genes)
 
 
 def sample_format_columns(df: DataFrame, samples: list[str], keys: tuple[str, ...] = ("GT", "GQ", "DP", "AD")) -> DataFrame:
