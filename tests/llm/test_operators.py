@@ -73,6 +73,38 @@ def test_fingerprint_repeated_and_null_rows(spark):
     assert fingerprint.edits(empty(spark)).count() == 0
 
 
+def test_fingerprint_likeness(spark):
+    """Likenesses against the exact share of word pairs, for texts of all lengths, with and without blanks and line ends."""
+    rng = random.Random(41)
+    texts = [sentence(rng, n).replace(" of", "\n") for n in (4, 9, 15, 30, 60, 120, 400, 3000)] * 2 + ["x" * 500, "".join(rng.choice("abcdefg") for _ in range(3000)), sentence(rng, 20000), "a", ""]
+    texts = [t if k % 3 else t.replace(" ", "\n", 2) for k, t in enumerate(texts)]
+    rows = list(enumerate(texts))
+
+    def pairs(text):
+        out = {}
+        for p in text.split("\n"):
+            w = re.findall(r"\S{1,12}", p)
+            for u in set(zip(w, w[1:])) if len(w) > 1 else w:
+                out[u] = out.get(u, 0) + 1
+        return out
+
+    def share(a, b):
+        if sorted(a.split("\n")) == sorted(b.split("\n")):
+            return 1.0
+        x, y = pairs(a), pairs(b)
+        squares = sum(v * v for v in (*x.values(), *y.values()))
+        return 1 - sum((x.get(u, 0) - y.get(u, 0)) ** 2 for u in {*x, *y}) / squares if squares else 0.0
+
+    got = {r.doc_id: r for r in fingerprint.edits(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'c' AS hash", "1 AS lanes")).collect()}
+    errors = []
+    for i, text in rows:
+        after = texts[(i + 1) % len(texts)]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        errors += [got[i].near_edited - max(0, share(text, edited)), got[i].near_next - max(0, share(text, after))]
+    assert max(map(abs, errors)) < 0.35 and (sum(e * e for e in errors) / len(errors)) ** 0.5 < 0.12
+
+
 # --- 2
 
 @pytest.fixture(scope="module")
@@ -96,6 +128,18 @@ def test_bpe(docs, rows, tokenizer):
         assert digests[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
 
 
+def test_bpe_rows(spark, tokenizer):
+    """Repeated rows, rows without an id, a very long text, clashing columns, an empty table."""
+    path, pattern, reference = tokenizer
+    long = sentence(random.Random(3), 40000)
+    rows = [(1, "same"), (1, "same"), (None, "x"), (None, None), (2, long)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'t' AS tokens", "0 AS n_tokens", "'d' AS decoded")
+    got = bpe.decode(bpe.encode(df, path, pattern, ["doc_id", "text", "tokens", "decoded"]), path).collect()
+    assert sorted((str(r.doc_id), r.n_tokens) for r in got) == sorted((str(i), len(reference.encode_ordinary(t or ""))) for i, t in rows)
+    assert all(bytes(r.decoded).decode() == (r.text or "") for r in got)
+    assert bpe.round_trip(df.limit(0), path, pattern, ["doc_id"]).count() == 0
+
+
 def test_bpe_long_pieces(tokenizer):
     path, pattern, reference = tokenizer
     rng = random.Random(1)
@@ -332,6 +376,14 @@ def _all_hot(plain):
     return repeated
 
 
+def test_substrings_long_texts(spark):
+    rng = random.Random(51)
+    passage, long = sentence(rng, 60), sentence(rng, 40000)
+    rows = [(1, long), (2, f"{sentence(rng, 30000)} {passage}"), (3, f"a {passage} b"), (4, f"x {long} y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'p' AS places", "1 AS copy")
+    assert {r.doc_id: (r.n_removed, r.kept if r.doc_id > 2 else "") for r in substrings.dedup_substrings(df).collect()} == {1: (0, ""), 2: (0, ""), 3: (60, "a b"), 4: (40000, "x y")}
+
+
 def test_substrings_without_repeats(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     assert {r.doc_id: r.kept for r in substrings.dedup_substrings(df).collect()} == {1: "a b", 2: ""}
@@ -356,6 +408,16 @@ def test_chat(spark):
     assert chat.digests(chat.format_conversations(df.limit(0))).count() == 0
 
 
+def test_chat_long_texts(spark):
+    """A text longer than a part, a conversation of many parts, clashing columns."""
+    rows = [(1, k, "assistant" if k % 2 else "user", f"<|im_end|> {k} " * (20000 if k == 3 else 50)) for k in range(60)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "0 AS part", "'f' AS formatted")
+    parts = sorted(chat.format_conversations(df, 4000).collect(), key=lambda r: r.part)
+    assert len(parts) > 10 and [t for p in parts for t in chat.read_back(p.formatted)] == [(r, t) for _, _, r, t in rows]
+    own = chat.digests(chat.format_conversations(df, 4000)).first()
+    assert own.n_turns == 60 and own.turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for _, _, r, t in rows).encode()).hexdigest()
+
+
 # --- 7
 
 PAGE = """<html><head><title>T</title></head><body><div class="cookie-banner"><p>We use cookies here.</p></div><nav><ul><li><a href=x>One</a><li><a>Two</a></ul></nav>
