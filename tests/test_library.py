@@ -93,3 +93,39 @@ def test_splicevault_strand(spark):
     df = spark.createDataFrame([("1:CD:5:30:", "100", "-1"), (None, "7", "1"), (".", None, "1")], "SpliceVault_top_events string, SpliceVault_site_pos string, STRAND string")
     got = splicing.splicevault_decode(df).collect()
     assert "(pos:95)" in got[0].SpliceVault_Predictions_Decoded and [r.SpliceVault_status for r in got] == ["aberrant_event_detected", "no_events_found", "not_covered"]
+
+
+def test_spip_by_either_accession(spark):
+    def entry(nm, score, gene):
+        return f"G|NTR|x|y|{score}" + "|" * 7 + f"{nm}|{gene}" + "|" * 13
+
+    raw = "&".join([entry("NM_1.2", 0.3, "G1"), entry("NM_2.1", 0.5, "G1"), entry("NM_3.1", 0.9, "G2")])
+    rows_ = [(1, raw, "ENST1.1", None, "NM_2.9", "chr1:1-A-G", "G1", "E1"), (2, raw, "ENST1.1", "NM_1.1", "NM_2.9", "chr1:1-A-G", "G1", "E1"), (3, raw, "ENST1.1", None, None, "chr1:1-A-G", "G1", "E1"), (4, None, "ENST1.1", None, None, "chr1:1-A-G", "G1", "E1")]
+    df = spark.createDataFrame(rows_, "k int, SPiP string, Feature string, MANE_SELECT string, MANE_PLUS_CLINICAL string, Locus string, SYMBOL string, Gene string")
+    none = spark.createDataFrame([], "enst string, spip_nm string"), spark.createDataFrame([], "symbol string, ensg string")
+    got = {r.k: (r.SPiP_match, r.SPiP_prediction, r.SPiP_samegene_n_transcripts, r.SPiP_samegene_transcript) for r in splicing.spip_unpack(df, *none).collect()}
+    assert got == {1: ("matched", 0.5, 2, "NM_2"), 2: ("matched", 0.3, 2, "NM_2"), 3: ("not_applicable_transcript", None, 2, "NM_2"), 4: ("no_prediction", None, 0, None)}
+
+
+def test_input_columns_and_genotypes(spark):
+    from varlake.operators import checks
+    from varlake.sources import tables
+
+    assert tables.find_columns(["Gene", "HGVS", "pos"]) == {"cdna": "HGVS", "ids": None}
+    assert tables.find_columns(["CHR", "Start", "Reference", "alt"])["ids"] == ["CHR", "Start", "Reference", "alt"]
+    assert tables.find_columns(["x", "Locus"])["ids"] == ["Locus"] and tables.find_columns(["x"])["ids"] is None
+    df = spark.createDataFrame([([], ["GT"]), (["a"], ["DP"]), (["a"], ["GT"]), (["a", "b", "a"], ["GT"]), (None, None)], "s array<string>, f array<string>")
+    got = [(r.m, r.d) for r in df.select(checks.genotype_mode(F.col("s"), F.col("f")).alias("m"), checks.repeated_names(F.col("s")).alias("d")).collect()]
+    assert got == [("no_samples", []), ("samples_without_GT", []), ("single_sample", []), ("multi_sample", ["a"]), ("no_samples", None)]
+
+
+def test_stamp_and_scan(spark, tmp_path):
+    from varlake.sources import tables
+
+    df = tables.with_stamp(spark.createDataFrame([("1", "x", ".", "True")], "a string, b string, c string, d string"), {"b": 1, "a": "x"})
+    sinks.save_table(df, f"{tmp_path}/t.parquet")
+    assert tables.read_stamp(tables.scan_table(spark, f"{tmp_path}/t.parquet")) == {"a": "x", "b": 1} and tables.read_stamp(spark.range(1)) is None
+    sinks.save_table(df, f"{tmp_path}/t.tsv")
+    assert dict(tables.scan_table(spark, f"{tmp_path}/t.tsv").dtypes) == {"a": "bigint", "b": "string", "c": "string", "d": "boolean"}
+    with pytest.raises(ValueError):
+        tables.scan_table(spark, "x.feather")

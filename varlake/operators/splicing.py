@@ -94,8 +94,9 @@ SPIP = "struct<interpretation:string,ci:string,prediction:double,mechanism:strin
 
 
 def spip_unpack(df: DataFrame, structure: DataFrame, gene_edges: DataFrame, raw: str = "SPiP") -> DataFrame:
-    """SPiP_* of the row's own transcript: by the accession of MANE_SELECT, else by exon structure (structure: enst, spip_nm); SPiP_match, the
-    maximum over all transcripts, and the same gene's maximum with its transcript (gene_edges: symbol, ensg)."""
+    """SPiP_* of the row's own transcript: by the accession of MANE_SELECT or MANE_PLUS_CLINICAL, else by exon structure (structure: enst,
+    spip_nm); SPiP_match, the maximum over all transcripts, and the same gene's maximum with its transcript and the number
+    of the gene's transcripts (gene_edges: symbol, ensg)."""
     text = known(F.col(raw))
     error = true(F.contains(text, F.lit("caused an error in SPiP execution")))
     alt = alt_from_locus(F.col("Locus"))
@@ -109,8 +110,8 @@ def spip_unpack(df: DataFrame, structure: DataFrame, gene_edges: DataFrame, raw:
     def first(test) -> Column:
         return F.get(F.filter("__e", test), F.lit(0))
 
-    own = strip_version(known(column(df, "MANE_SELECT")))
-    exact = first(lambda p: true(strip_version(p[11]) == own))
+    own = F.filter(F.array(*(strip_version(known(column(df, c))) for c in ("MANE_SELECT", "MANE_PLUS_CLINICAL"))), lambda x: x.isNotNull())
+    exact = first(lambda p: F.array_contains(own, strip_version(p[11])))
     like = first(lambda p: true(F.array_contains("__near", strip_version(p[11]))))
     hit = F.coalesce(exact, like)
 
@@ -121,12 +122,13 @@ def spip_unpack(df: DataFrame, structure: DataFrame, gene_edges: DataFrame, raw:
     mechanism = F.when(true(cryptic >= 0.2) | true(at(25).isin("Cryptic", "High Risk", "Medium Risk")), "cryptic_site").when(true(F.lower(at(20)).isin("1", "true", "yes")), "bp_disruption").when(true(F.abs(esr) > 0.05), "esr_alteration").when(true(prediction >= 0.2), "complex_splicing").otherwise("none")
     gene_own = F.filter("__e", lambda p: true((F.trim(p[12]) == F.col("SYMBOL")) | F.array_contains("__symbols", F.trim(p[12]))) & p[4].try_cast("double").isNotNull())
     gene_best = F.array_max(F.transform(gene_own, lambda p: F.struct(p[4].try_cast("double").alias("prediction"), strip_version(p[11]).alias("nm"))))
-    match = F.when(text.isNull(), "no_prediction").when(error, "predictor_error").when(own.isNull() & F.col("__near").isNull(), "not_applicable_transcript").when(exact.isNotNull(), "matched").when(like.isNotNull(), "matched_by_exon_structure").otherwise("no_entry_for_row_gene")
+    match = F.when(text.isNull(), "no_prediction").when(error, "predictor_error").when((F.size(own) == 0) & F.col("__near").isNull(), "not_applicable_transcript").when(exact.isNotNull(), "matched").when(like.isNotNull(), "matched_by_exon_structure").otherwise("no_entry_for_row_gene")
     return rows.withColumns({
         "SPiP_interpretation": F.when(error, "Error").otherwise(at(2)), "SPiP_prediction": prediction,
         "SPiP_mechanism": F.when(error, "error").otherwise(mechanism), "SPiP_status": F.when(error, "error").when(prediction.isNotNull(), "scored").otherwise("not_covered"),
         "SPiP_match": match, "SPiP_anygene_max_prediction": F.array_max(numbers(F.transform("__e", lambda p: p[4]))),
         "SPiP_samegene_prediction": gene_best["prediction"], "SPiP_samegene_transcript": gene_best["nm"],
+        "SPiP_samegene_n_transcripts": F.coalesce(F.when(F.col("__e").isNotNull(), F.size(F.array_distinct(F.transform(gene_own, lambda p: strip_version(p[11]))))), F.lit(0)),
     }).drop("__e", "__near", "__symbols", "__enst", "__gene")
 
 
