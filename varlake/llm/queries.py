@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varlake.llm import bpe, chat, decontaminate, fingerprint, jaccard, lines, markup, substrings, toxicity, warc
+from varlake.llm import bpe, chat, decontaminate, fingerprint, jaccard, lines, markup, repair, substrings, topk, toxicity, vafile, warc
 from varlake.llm.common import table
+from varlake.llm.oracles import ORACLE_SQL  # noqa: F401
 
 
 def _tokenizer() -> tuple[str, str]:
@@ -77,6 +78,27 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.array_join(F.col("items").cast("array<string>"), ",").alias("items"), "n_overlaps", "longest")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged: its faults, the cheapest edits and a digest of what they leave."""
+    repairs, turns = repair.repair(table(spark, sf_dir, "conversations"))
+    digests = repair.digests(turns).withColumnRenamed("conv_id", "id")
+    found = repairs.join(digests, F.col("conv_id").eqNullSafe(F.col("id")), "left")
+    digest = F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256")
+    return found.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", digest)
+
+
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest inner products of every embedding whose id is divisible by 50 with all other embeddings."""
+    embeddings = table(spark, sf_dir, "embeddings")
+    return topk.top_k(embeddings.where("vec_id % 50 = 0"), embeddings, k=5, scale=256)
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings in 16 clusters after three rounds, with distances and inertia."""
+    assigned, centroids, _ = vafile.cluster(table(spark, sf_dir, "embeddings"), count=16, rounds=3, size=64, scale=64)
+    return vafile.with_inertia(assigned, centroids)
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_bpe": op2_bpe,
@@ -88,5 +110,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
     "op10_decontamination": op10_decontamination,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_topk_search": op12_topk_search,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
-ORACLE_SQL: dict[str, str] = {}
