@@ -35,7 +35,8 @@ def kept(embeddings: DataFrame, size: int, scale: int) -> DataFrame:
     hold one that is null, not finite or (scaled) above 2^27 (squared distances may not fit in a long) are left out."""
     rows = embeddings.where(F.size("embedding") == size).select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("wide"))
     rows = rows.where(F.forall("wide", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x * scale) <= MOST)))
-    return rows.select("vec_id", F.transform("wide", lambda x: F.floor(x * scale).cast("int")).alias("v"))
+    # the planner may ask for v of rows that are left out
+    return rows.select("vec_id", F.transform("wide", lambda x: F.floor(x * scale).try_cast("int")).alias("v"))
 
 
 def matrix(column: pa.Array) -> np.ndarray:
