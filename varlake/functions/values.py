@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Texts that stand for "no value".
@@ -10,6 +10,8 @@ MISSING_PREDICTOR = ("", ".", "nan", "N/A")
 MISSING_FREQUENCY = ("", ".", "-", "nan", "None", "<NA>", "NA")
 MISSING_CLINVAR = ("", ".", "-", "nan", "none", "<na>", "na", "not_provided", "not provided")
 
+_DIGITS = "0123456789"
+
 
 def known(column: Column, missing: tuple[str, ...] = MISSING_PREDICTOR) -> Column:
     """The trimmed text, or null if it stands for no value."""
@@ -17,6 +19,13 @@ def known(column: Column, missing: tuple[str, ...] = MISSING_PREDICTOR) -> Colum
     return F.when(~text.isin(*missing), text)
 
 
+def once(df: DataFrame, columns: dict[str, Column], drop: list[str] | None = None) -> DataFrame:
+    """df with columns that are evaluated once a row, however often later ones use them: the planner merges projections and would
+    write a column's expression into each of its uses, but not through a generator (here, of one row). drop: old columns that new ones replace."""
+    made = F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items()))))
+    return df.select(*(c for c in df.columns if c not in (drop or [])), made)
+
+
 def true(column: Column) -> Column:
     """A condition under which unknown is false."""
     return F.coalesce(column, F.lit(False))
@@ -110,17 +119,21 @@ def key_values(text: Column, item: str = ":", equals: str = "=") -> Column:
 
 
 def intron_offset(hgvs: Column) -> Column:
-    """Signed offset of the first intronic end of an HGVS c. or n. description; 0 if there is none."""
-    body = F.regexp_extract(hgvs, "(?:^|[:\\s])[cn]\\.(\\S+)", 1)
-    sign, size = (F.regexp_extract(body, "(?<![\\d*])[-*]?\\d+([+-])(\\d+)", g) for g in (1, 2))
-    value = size.try_cast("int")
-    return F.coalesce(F.when(sign == "-", -value).otherwise(value), F.lit(0))
-
-
-def simple_cdna_offset(hgvs: Column) -> Column:
-    """N of c.x+N or c.x-N, signed; null otherwise."""
-    found = F.regexp_extract(hgvs, "c\\.[-*]?\\d+([+-]\\d+)", 1)
-    return F.when(found != "", F.regexp_replace(found, "^\\+", "").try_cast("int"))
+    """Signed offset of the first intronic end of an HGVS c. or n. description; 0 if there is none.
+
+    The description is what follows c. or n. up to a blank. It is a list of ends, parted by _; an end is a place (digits, - or *
+    before them) that an offset may follow, and what comes after the digits (bases, del, ins and so on) does not count.
+    """
+    text = F.coalesce(hgvs, F.lit(""))
+    typed = F.filter(F.split(text, r"[:\s]"), lambda part: F.left(part, F.lit(2)).isin("c.", "n."))
+    ends = F.split(F.substring(F.get(typed, F.lit(0)), 3, 1 << 30), "[_;]")
+    # an end without what may stand before its place; then the place's digits go, and a sign is left where an offset follows
+    after = F.transform(ends, lambda end: F.ltrim(F.ltrim(end, F.lit("([-*")), F.lit(_DIGITS)))
+    signed = F.filter(F.arrays_zip(ends.alias("end"), after.alias("after")), lambda x: F.left(x["after"], F.lit(1)).isin("+", "-") & (F.length(x["after"]) < F.length(F.ltrim(x["end"], F.lit("([-*")))))
+    offset = F.get(signed, F.lit(0))["after"]
+    digits = F.substring(offset, 2, 1 << 30)
+    size = F.left(digits, F.length(digits) - F.length(F.ltrim(digits, F.lit(_DIGITS)))).try_cast("int")
+    return F.coalesce(F.when(F.left(offset, F.lit(1)) == "-", -size).otherwise(size), F.lit(0))
 
 
 def duration_ms(text: Column) -> Column:
