@@ -55,13 +55,6 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     return df.where(F.col(column).isNotNull()).crossJoin(F.broadcast(edges)).groupBy(F.coalesce(place, F.lit(1)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
 
-def spearman(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
-    """Rank correlation within each group; ties share their mean rank."""
-    counts = [df.groupBy(group, c).agg(F.count("*").alias("n")).withColumn("r", F.sum("n").over(W.partitionBy(group).orderBy(c)) - (F.col("n") - 1) / 2).select(group, c, F.col("r").alias(f"r_{c}")) for c in (x, y)]
-    ranked = df.join(counts[0], [group, x]).join(counts[1], [group, y])
-    return ranked.groupBy(group).agg(F.corr(f"r_{x}", f"r_{y}").alias("rho"), F.count("*").alias("n"))
-
-
 def process_stats(tasks: DataFrame) -> DataFrame:
     """Per process: outcomes, hours (total, median, largest), peak memory, hosts. Needs ms and bytes."""
     hours = F.col("ms") / 3_600_000
@@ -76,23 +69,6 @@ def running_number(df: DataFrame, group: list[str], order: list[str], name: str
     return df.withColumn(name, F.row_number().over(W.partitionBy(*group).orderBy(*order)))
 
 
-def peak_concurrency(df: DataFrame, group: str, start: str, end: str) -> DataFrame:
-    """Most intervals open at once in each group; an end frees its place before a start at the same time takes one."""
-    events = df.select(group, F.col(start).alias("t"), F.lit(1).alias("d")).union(df.select(group, F.col(end), F.lit(-1)))
-    events = events.groupBy(group, "t", "d").agg(F.sum("d").alias("d2"))
-    open_ = events.withColumn("open", F.sum("d2").over(W.partitionBy(group).orderBy("t", "d").rowsBetween(W.unboundedPreceding, 0)))
-    return open_.groupBy(group).agg(F.max("open").alias("peak"))
-
-
-def coordinate_order(df: DataFrame, file: str, order: str, chrom: str = "CHROM", pos: str = "POS") -> DataFrame:
-    """Per file: contigs, contig blocks, position decreases, and whether rows are in order."""
-    w = W.partitionBy(file).orderBy(order)
-    before, at = F.lag(chrom).over(w), F.lag(pos).over(w)
-    marked = df.withColumns({"__new": before.isNull() | (before != F.col(chrom)), "__less": F.coalesce((before == F.col(chrom)) & (F.col(pos) < at), F.lit(False))})
-    out = marked.groupBy(file).agg(F.count_distinct(chrom).alias("contigs"), F.count_if("__new").alias("contig_blocks"), F.count_if("__less").alias("position_decreases"))
-    return out.withColumn("ordered", (F.col("contigs") == F.col("contig_blocks")) & (F.col("position_decreases") == 0))
-
-
 def contig_rank(chrom: Column) -> Column:
     bare = F.regexp_replace(chrom, "^chr", "")
     place = F.array_position(F.array(*map(F.lit, CONTIGS)), F.when(bare == "M", "MT").otherwise(bare))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varlake.functions.values import bare_chrom, reverse_complement
+from varlake.functions.values import bare_chrom, once, reverse_complement
 from varlake.operators.joins import interval_join
 
 
@@ -79,7 +79,8 @@ def normalize_indel(df: DataFrame, blocks: DataFrame, tiles: DataFrame, size: in
     start = F.coalesce(first, single, F.when(found(between, 3).isNotNull(), found(between, 1).cast("long")), F.col("pos").cast("long"))
     gone = F.when(kind == "ins", 0).otherwise(F.coalesce(last - first + 1, F.when(single.isNotNull(), 1), F.length(ref)))
     put = F.when(first.isNotNull(), F.coalesce(found(r"ins([ACGTN]+)", 1), F.lit(""))).when(single.isNotNull(), "").when(named, found(between, 3)).otherwise(F.when(kind == "ins", alt).otherwise(""))
-    rows = df.select("key", "chrom", F.when(kind == "del", start - 1).otherwise(start).alias("__at"), gone.cast("long").alias("__gone"), put.alias("__put")).where(F.lit(True) & kind.isNotNull() & F.col("__at").isNotNull())
+    rows = once(df.select("key", "chrom", "pos", "ref", "alt", "description"), {"__kind": kind, "__at": F.when(kind == "del", start - 1).otherwise(start), "__gone": gone.cast("long"), "__put": put})
+    rows = rows.where("__kind IS NOT NULL AND __at IS NOT NULL").select("key", "chrom", "__at", "__gone", "__put")
     lifted = liftover(rows.select("key", "chrom", (F.col("__at") - 1).alias("pos"), F.lit("N").alias("ref"), F.lit("N").alias("alt")), blocks, bin_size).where("reason IS NULL")
     rows = rows.drop("chrom").join(lifted.select("key", "lifted_chrom", (F.col("lifted_pos") + 1).alias("lifted_pos")), "key")
     # the preceding base and what is deleted, from as many tiles as they touch

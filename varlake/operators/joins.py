@@ -27,28 +27,52 @@ def merge_predictors(base: DataFrame, others: list[tuple[DataFrame, list[str]]],
     return base
 
 
-def interval_join(left: DataFrame, right: DataFrame, bin_size: int, on: tuple[str, str] = ("chrom", "chrom"), left_span: tuple[str, str] = ("start", "end"), right_span: tuple[str, str] = ("start", "end"), how: str = "inner") -> DataFrame:
-    """Rows whose half-open intervals overlap on the same contig, by bins: an equi-join instead of a nested loop. A pair that
-    meets in several bins is kept in the bin of the overlap's first base. how: inner, or left_semi (left rows once)."""
-    ls, le, rs, re_ = F.col(f"l.{left_span[0]}"), F.col(f"l.{left_span[1]}"), F.col(f"r.{right_span[0]}"), F.col(f"r.{right_span[1]}")
+#: Each level of bins is so many times as wide as the one below.
+WIDER = 8
+
+
+def _level(start: Column, end: Column, bin_size: int) -> Column:
+    """The first level whose bins are at least as long as the interval, which then touches two of them at most."""
+    return F.greatest(F.lit(0), F.ceil(F.log(float(WIDER), F.greatest(end - start, F.lit(1)) / bin_size))).cast("int")
 
-    def binned(df: DataFrame, span: tuple[str, str], name: str) -> DataFrame:
-        return df.withColumn(name, F.explode(F.expr(f"sequence(`{span[0]}` div {bin_size}, greatest(`{span[1]}` - 1, `{span[0]}`) div {bin_size})")))
 
-    a, b = binned(left, left_span, "__lbin").alias("l"), binned(right, right_span, "__rbin").alias("r")
-    first = F.floor(F.greatest(ls, rs) / bin_size)
-    test = (F.col(f"l.{on[0]}") == F.col(f"r.{on[1]}")) & (F.col("l.__lbin") == F.col("r.__rbin")) & (ls < re_) & (rs < le)
+def binned(df: DataFrame, other: DataFrame, span: tuple[str, str], other_span: tuple[str, str], bin_size: int, names: tuple[str, str, str] = ("__own", "__level", "__bin")) -> DataFrame:
+    """df with a row for each bin in which its half-open intervals meet those of other: own level, level and number of the bin. These are the bins
+    of the interval's own level and of the wider levels that other has, two of each: rows grow with the logarithm of a length."""
+    own, level, place = names
+    there = other.select(F.collect_set(_level(F.col(other_span[0]), F.col(other_span[1]), bin_size))).scalar()  # a few numbers
+    start, end = F.col(span[0]), F.greatest(F.col(span[1]) - 1, F.col(span[0]))
+    rows = df.withColumn(own, _level(F.col(span[0]), F.col(span[1]), bin_size))
+    rows = rows.withColumn(level, F.explode(F.array_union(F.array(own), there))).where(F.col(level) >= F.col(own))
+    size = F.lit(bin_size) * F.pow(F.lit(float(WIDER)), level).cast("long")
+    return rows.withColumn(place, F.explode(F.sequence(F.floor(start / size), F.floor(end / size))))
+
+
+def interval_join(left: DataFrame, right: DataFrame, bin_size: int, on: tuple[str, str] = ("chrom", "chrom"), left_span: tuple[str, str] = ("start", "end"), right_span: tuple[str, str] = ("start", "end"), how: str = "inner") -> DataFrame:
+    """Rows whose half-open intervals overlap on the same contig, by bins: an equi-join instead of a nested loop. how: inner, or left_semi (left rows as
+    they are). Two intervals meet on the level of the longer one, in the bin of the overlap's first base. bin_size is that of the narrowest bins; results
+    do not depend on it. Rows with a null in contig or span overlap nothing."""
+    ls, le, rs, re_ = F.col(f"l.{left_span[0]}"), F.col(f"l.{left_span[1]}"), F.col(f"r.{right_span[0]}"), F.col(f"r.{right_span[1]}")
     if how == "left_semi":
-        return a.join(b, test, "left_semi").drop("__lbin").distinct()
-    return a.join(b, test & (first == F.col("l.__lbin"))).drop("__lbin", "__rbin")
+        # the span decides: those that meet any are found first
+        places = [on[0], *left_span]
+        bare = right.select(F.col(on[1]).alias("__on"), F.col(right_span[0]).alias("__from"), F.col(right_span[1]).alias("__to"))
+        met = interval_join(left.select(*places), bare, bin_size, (on[0], "__on"), left_span, ("__from", "__to"))
+        return left.join(met.select(*places).distinct(), places, "left_semi")
+    a = binned(left, right, left_span, right_span, bin_size, ("__lown", "__llevel", "__lbin")).alias("l")
+    b = binned(right, left, right_span, left_span, bin_size, ("__rown", "__rlevel", "__rbin")).alias("r")
+    size = F.lit(bin_size) * F.pow(F.lit(float(WIDER)), F.col("l.__llevel")).cast("long")
+    test = (F.col(f"l.{on[0]}") == F.col(f"r.{on[1]}")) & (F.col("l.__llevel") == F.col("r.__rlevel")) & (F.col("l.__lbin") == F.col("r.__rbin")) & (ls < re_) & (rs < le)
+    test = test & (F.col("l.__llevel") == F.greatest("l.__lown", "r.__rown")) & (F.floor(F.greatest(ls, rs) / size) == F.col("l.__lbin"))
+    return a.join(b, test).drop("__lown", "__llevel", "__lbin", "__rown", "__rlevel", "__rbin")
 
 
 def region_restrict(df: DataFrame, regions: DataFrame, bin_size: int = 10_000) -> DataFrame:
-    """Variants in any region (chrom, start_pos, end_pos; 0-based half-open), each row once: a point has one bin."""
-    points = df.withColumns({"__bin": F.expr(f"(POS - 1) div {bin_size}")})
-    binned = regions.select(F.col("chrom").alias("__chrom"), "start_pos", "end_pos", F.explode(F.expr(f"sequence(start_pos div {bin_size}, greatest(end_pos - 1, start_pos) div {bin_size})")).alias("__rbin"))
-    test = (F.col("CHROM") == F.col("__chrom")) & (F.col("__bin") == F.col("__rbin")) & (F.col("POS") - 1 >= F.col("start_pos")) & (F.col("POS") - 1 < F.col("end_pos"))
-    return points.join(binned, test, "left_semi").drop("__bin")
+    """Variants in any region (chrom, start_pos, end_pos; 0-based half-open), each row once."""
+    spans = df.select("CHROM", "POS", (F.col("POS") - 1).alias("__from"), F.col("POS").alias("__to"))
+    bare = regions.select(F.col("chrom").alias("__chrom"), "start_pos", "end_pos")
+    met = interval_join(spans, bare, bin_size, ("CHROM", "__chrom"), ("__from", "__to"), ("start_pos", "end_pos"))
+    return df.join(met.select("CHROM", "POS").distinct(), ["CHROM", "POS"], "left_semi")
 
 
 def best_overlap(genes: DataFrame, exons: DataFrame, bin_size: int = 10_000) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from varlake.operators import reports as P
 from varlake.operators import aggregates as G
-from varlake.operators import family
+from varlake.operators import family, ordered
 from varlake.operators.rows import build_locus
 from varlake.plans.registry import KEY, query
 from varlake.plans.views import table
@@ -136,7 +136,7 @@ def _(spark, d):
 
 @query("spearman", "SELECT l_returnflag, round(corr(ra, rb), 6) AS rho, count(*) AS n FROM (SELECT l_returnflag, rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_returnflag, l_quantity) - 1) / 2.0 AS ra, rank() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY l_returnflag, l_extendedprice) - 1) / 2.0 AS rb FROM lineitem) t GROUP BY ALL")
 def _(spark, d):
-    return G.spearman(table(spark, d, "lineitem"), "l_returnflag", "l_quantity", "l_extendedprice").withColumn("rho", F.round("rho", 6))
+    return ordered.spearman(table(spark, d, "lineitem"), "l_returnflag", "l_quantity", "l_extendedprice").withColumn("rho", F.round("rho", 6))
 
 
 @query("list_alignment_class", "SELECT 'REVEL_list' AS \"column\", count(*) FILTER (len(string_split(REVEL_list, '&')) > 1) AS multi, count(*) FILTER (len(string_split(REVEL_list, '&')) = 2) AS same, 'unaligned' AS class FROM {v_wide} UNION ALL SELECT 'SYMBOL', 0, 0, 'single'")
@@ -188,7 +188,7 @@ def _(spark, d):
 @query("coordinate_order_check", """SELECT SYMBOL, count(DISTINCT CHROM) AS contigs, count(*) FILTER (b IS NULL OR b <> CHROM) AS contig_blocks, count(*) FILTER (b = CHROM AND POS < a) AS position_decreases, count(DISTINCT CHROM) = count(*) FILTER (b IS NULL OR b <> CHROM) AND count(*) FILTER (b = CHROM AND POS < a) = 0 AS ordered
  FROM (SELECT *, lag(CHROM) OVER w AS b, lag(POS) OVER w AS a FROM {v_variants} WINDOW w AS (PARTITION BY SYMBOL ORDER BY row_key)) t GROUP BY SYMBOL""")
 def _(spark, d):
-    return G.coordinate_order(table(spark, d, "v_variants"), "SYMBOL", "row_key")
+    return ordered.coordinate_order(table(spark, d, "v_variants"), "SYMBOL", "row_key")
 
 
 @query("top_n_per_group", f"SELECT process, name, ms, nth FROM (SELECT *, row_number() OVER (PARTITION BY process ORDER BY ms DESC, name, submit_ts) AS nth FROM ({_TASKS}) t) u WHERE nth <= 5")
@@ -203,13 +203,22 @@ def _(spark, d):
 
 @query("peak_concurrency", "WITH e AS (SELECT l_returnflag AS g, l_orderkey AS t, 1 AS d FROM lineitem UNION ALL SELECT l_returnflag, l_orderkey + l_linenumber * 10, -1 FROM lineitem), s AS (SELECT g, t, d, sum(d) AS d2 FROM e GROUP BY ALL) SELECT g AS l_returnflag, CAST(max(o) AS BIGINT) AS peak FROM (SELECT g, sum(d2) OVER (PARTITION BY g ORDER BY t, d ROWS UNBOUNDED PRECEDING) AS o FROM s) x GROUP BY g")
 def _(spark, d):
-    return G.peak_concurrency(table(spark, d, "lineitem").withColumn("stop", F.col("l_orderkey") + F.col("l_linenumber") * 10), "l_returnflag", "l_orderkey", "stop")
+    return ordered.peak_concurrency(table(spark, d, "lineitem").withColumn("stop", F.col("l_orderkey") + F.col("l_linenumber") * 10), "l_returnflag", "l_orderkey", "stop")
 
 
-@query("contig_order_sort", "SELECT row_key, CAST(substr(CHROM, 4) AS INT) AS rank FROM {v_variants}")
+@query("contig_order_sort", "SELECT row_key, CAST(substr(CHROM, 4) AS INT) AS rank, row_number() OVER (ORDER BY CAST(substr(CHROM, 4) AS INT), POS, row_key) AS place FROM {v_variants}")
 def _(spark, d):
-    rows = table(spark, d, "v_variants").withColumn("rank", G.contig_rank(F.col("CHROM")))
-    return rows.orderBy("rank", "POS").select(*KEY, "rank")
+    rows = table(spark, d, "v_variants").select("CHROM", "POS", *KEY, G.contig_rank(F.col("CHROM")).alias("rank"))
+    return ordered.row_numbers(rows, ["rank", "POS", *KEY], "place").select(*KEY, "rank", "place")
+
+
+@query("region_of_ordered_table", "SELECT row_key, POS FROM {v_variants} WHERE CHROM = 'chr7' AND POS BETWEEN 1000 AND 20000")
+def _(spark, d):
+    from varlake.sources.tables import scratch
+
+    rows = table(spark, d, "v_variants").select("POS", *KEY, G.contig_rank(F.col("CHROM")).alias("rank"))
+    manifest = ordered.write_ordered(rows, ["rank", "POS"], scratch(spark))
+    return ordered.read_between(manifest, {"rank": 7, "POS": 1000}, {"rank": 7, "POS": 20000}).select(*KEY, "POS")
 
 
 @query("topk_novel", "SELECT row_key, splice_score FROM {v_variants} WHERE NOT coalesce(AF_joint * 400 >= 0.2, FALSE) ORDER BY splice_score DESC, row_key LIMIT 15")
