@@ -28,25 +28,27 @@ def _(spark, d):
     return G.funnel(build_locus(table(spark, d, "v_variants")), {"all": F.lit(True), "tier": F.expr(_TIER), "rare": F.expr(f"{_TIER} AND {_RARE}")})
 
 
-def _carriers(spark, d):
-    g = family.with_genotype(table(spark, d, "v_genotypes"))
-    return g.where(F.col("gt_status").isin("het", "hom_alt", "alt_plus_other_allele"))
+def _sets(spark, d):
+    """Carriers of each locus, and the names of the samples."""
+    samples = [f"S{r.r_regionkey}" for r in table(spark, d, "region").where("r_regionkey < 3").orderBy("r_regionkey").collect()]
+    return family.carrier_sets(table(spark, d, "v_genotypes"), samples), samples
 
 
 @query("genotype_status_counts", f"SELECT sample_id, {_STATUS} AS gt_status, count(*) AS n FROM {{v_genotypes}} GROUP BY ALL")
 def _(spark, d):
-    return family.with_genotype(table(spark, d, "v_genotypes")).groupBy("sample_id", "gt_status").agg(F.count("*").alias("n"))
+    return family.status_counts(table(spark, d, "v_genotypes"), ["sample_id"])
 
 
 @query("carrier_histogram", f"SELECT n AS carrier_samples, count(*) AS n_loci FROM (SELECT Locus, count(DISTINCT sample_id) AS n FROM {{v_genotypes}} WHERE {_STATUS} IN ('het', 'hom_alt', 'alt_plus_other_allele') GROUP BY Locus) t GROUP BY ALL")
 def _(spark, d):
-    return _carriers(spark, d).groupBy("Locus").agg(F.count_distinct("sample_id").alias("carrier_samples")).groupBy("carrier_samples").agg(F.count("*").alias("n_loci"))
+    return family.carrier_histogram(_sets(spark, d)[0])
 
 
 @query("candidate_carriers", f"SELECT sample_id, count(DISTINCT Locus) AS n_loci FROM {{v_genotypes}} WHERE {_STATUS} IN ('het', 'hom_alt', 'alt_plus_other_allele') AND Locus IN (SELECT Locus FROM ({_V}) v WHERE {_CAND}) GROUP BY ALL")
 def _(spark, d):
     loci = build_locus(table(spark, d, "v_variants").where(_CAND)).select("Locus")
-    return _carriers(spark, d).join(loci, "Locus", "left_semi").groupBy("sample_id").agg(F.count_distinct("Locus").alias("n_loci"))
+    sets, samples = _sets(spark, d)
+    return family.loci_per_sample(sets.join(loci, "Locus", "left_semi"), samples)
 
 
 @query("anonymous_rank", "SELECT dense_rank() OVER (ORDER BY sample_id) AS sample_no, n FROM (SELECT sample_id, count(*) AS n FROM {v_genotypes} GROUP BY ALL) t")

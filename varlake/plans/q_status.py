@@ -382,6 +382,28 @@ def _(spark, d):
     return family.compound_het_trans(_trio(spark, d), "S0", "S1", "S2", KEY).select(*KEY, "compound_het", "COMPOUND_HET_PAIR")
 
 
+# a trio in which many genes have variants of both sides: every second order is the father's
+_BOTH = """SELECT row_key, Locus, SYMBOL || '/' || CAST(CAST(floor(l_orderkey / 2) AS BIGINT) % 40 AS STRING) AS SYMBOL, CASE WHEN l_linenumber % 3 = 0 THEN 'HOMREF' ELSE 'HET' END AS GT_S0,
+ CASE WHEN l_linenumber = 5 THEN 'MISSING' WHEN l_orderkey % 2 = 0 THEN 'HET' ELSE 'HOMREF' END AS GT_S1, CASE WHEN l_orderkey % 2 = 0 THEN 'HOMREF' WHEN l_linenumber = 4 THEN 'HOMALT' ELSE 'HET' END AS GT_S2 FROM {v_wide}"""
+_BOTH_SIDES = f"""SELECT b.*, CASE WHEN GT_S0 = 'HET' AND GT_S1 IN ('HET','HOMALT') AND GT_S2 = 'HOMREF' THEN 'Paternal' WHEN GT_S0 = 'HET' AND GT_S1 = 'HOMREF' AND GT_S2 IN ('HET','HOMALT') THEN 'Maternal' END AS side FROM ({_BOTH}) b"""
+_BOTH_GENES = f"SELECT SYMBOL, string_agg(Locus, '; ' ORDER BY row_key) FILTER (side = 'Paternal') AS pa, string_agg(Locus, '; ' ORDER BY row_key) FILTER (side = 'Maternal') AS ma FROM ({_BOTH_SIDES}) s GROUP BY SYMBOL"
+
+
+def _both(spark, d):
+    return spark.sql(_BOTH, v_wide=table(spark, d, "v_wide"))
+
+
+@query("compound_het_pairs", f"SELECT {K}, pa IS NOT NULL AND ma IS NOT NULL AND side IS NOT NULL AS compound_het, CASE WHEN pa IS NULL OR ma IS NULL OR side IS NULL THEN '' WHEN side = 'Paternal' THEN 'Paternal | Partner (Maternal): ' || ma ELSE 'Maternal | Partner (Paternal): ' || pa END AS COMPOUND_HET_PAIR FROM ({_BOTH_SIDES}) s JOIN ({_BOTH_GENES}) g USING (SYMBOL)")
+def _(spark, d):
+    return family.compound_het_trans(_both(spark, d), "S0", "S1", "S2", KEY).select(*KEY, "compound_het", "COMPOUND_HET_PAIR")
+
+
+@query("compound_het_partners", f"""SELECT SYMBOL, side, (no - 1) // 3 AS part, count(*) AS n, string_agg(Locus, '; ' ORDER BY no) AS loci FROM (
+ SELECT s.*, row_number() OVER (PARTITION BY SYMBOL, side ORDER BY row_key) AS no FROM ({_BOTH_SIDES}) s JOIN ({_BOTH_GENES}) g USING (SYMBOL) WHERE side IS NOT NULL AND pa IS NOT NULL AND ma IS NOT NULL) t GROUP BY ALL""")
+def _(spark, d):
+    return family.compound_het_partners(_both(spark, d), "S0", "S1", "S2", KEY, part_size=3)
+
+
 _HETS = f"SELECT *, count(*) FILTER (p = 'HET') OVER (PARTITION BY gkey) AS n0, count(*) FILTER (f = 'HET') OVER (PARTITION BY gkey) AS n1 FROM ({_SIDES}) h"
 
 
@@ -393,8 +415,8 @@ def _(spark, d):
 
 @query("compound_het_status", f"SELECT {K}, CASE WHEN pa <> '' AND ma <> '' AND side IS NOT NULL THEN 'Phased TRANS Pair' WHEN p = 'HET' AND n0 >= 2 THEN 'Unphased Candidate Pair' ELSE 'No Pair' END AS COMPOUND_HET_STATUS FROM ({_PAIRS}) t JOIN (SELECT row_key, n0 FROM ({_HETS}) y) z USING (row_key)")
 def _(spark, d):
-    marked = family.compound_het_trans(_trio(spark, d), "S0", "S1", "S2", KEY).drop("COMPOUND_HET_PAIR")
-    marked = family.compound_het_unphased(marked, ["S0"], KEY)
+    marked = family.compound_het_trans(_trio(spark, d), "S0", "S1", "S2", KEY, pairs=False)
+    marked = family.compound_het_unphased(marked, ["S0"], KEY, pairs=False)
     return marked.select(*KEY, family.compound_het_status().alias("COMPOUND_HET_STATUS"))
 
 
