@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,29 @@ def once(df: DataFrame, columns: dict[str, Column], drop: list[str] | None = Non
     return df.select(*(c for c in df.columns if c not in (drop or [])), made)
 
 
+#: Distinct values up to which columns are worked out once for each.
+FEW = 20_000
+
+
+def by_value(df: DataFrame, inputs: list[str], make: Callable[[DataFrame], DataFrame], few: int = FEW) -> DataFrame:
+    """make(df), where make adds columns that depend on the columns inputs alone: status texts, class lists, consequence terms.
+
+    Their distinct values are looked at first (a pass over inputs; few + 1 rows come to the driver at most). Where there are few, make works on
+    those and the rows get its columns by a broadcast of that many rows; else it works on every row. The result is the same."""
+    inputs = [c for c in dict.fromkeys(inputs) if c in df.columns]
+    found = df.select(*inputs).distinct().limit(few + 1).collect() if inputs else []
+    if not inputs or len(found) > few:
+        return make(df)
+    made = make(df.sparkSession.createDataFrame(found, df.select(*inputs).schema))
+    new = [c for c in made.columns if c not in inputs]
+    there = made.select(*(F.col(c).alias(f"__in_{i}") for i, c in enumerate(inputs)), *(F.col(c).alias(f"__new_{c}") for c in new))
+    same = F.lit(True)
+    for i, c in enumerate(inputs):
+        same = same & F.col(c).eqNullSafe(F.col(f"__in_{i}"))
+    joined = df.drop(*(c for c in new if c in df.columns)).join(F.broadcast(there), same)
+    return joined.select(*(F.col(c) for c in df.columns if c not in new), *(F.col(f"__new_{c}").alias(c) for c in new))
+
+
 def true(column: Column) -> Column:
     """A condition under which unknown is false."""
     return F.coalesce(column, F.lit(False))

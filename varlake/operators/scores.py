@@ -11,6 +11,7 @@ from varlake.operators.status import ABSENT, GRPMAX, clinvar_masks, column, rari
 
 # Genes whose loss-of-function variants never get PVS1.
 PVS1_VETO_GENES = ("MYH7",)
+# Consequence terms of loss of function and of functional effects; names of the tiers.
 LOF, FUNCTIONAL = "stop_gained|frameshift|splice_donor|splice_acceptor", "missense|splice|stop|frameshift|inframe|utr|5_prime|3_prime"
 TIERS = ("Tier 1 (Critical Pathogenic Candidate)", "Tier 2 (Likely Deleterious / Strong Candidate)", "Tier 3 (VUS / Moderate Potential)", "Tier 4 (Benign / Tolerated)")
 # Evidence of curated genes, with the points a match gives.
@@ -34,9 +35,19 @@ def _splice(df: DataFrame) -> DataFrame:
     return df if "SPLICE_MAX_UNIFIED" in df.columns else splice_unified(df)
 
 
+def _terms(df: DataFrame) -> DataFrame:
+    """What consequence and ClinVar classification say, as flags: __lof, __functional, __pathogenic, __benign."""
+    consequence = F.lower(_text(df, "Consequence"))
+    pathogenic, benign = clinvar_masks(_text(df, "CLINVAR_SELECTED_CLNSIG"))
+    return df.withColumns({"__lof": consequence.rlike(LOF), "__functional": consequence.rlike(FUNCTIONAL), "__pathogenic": pathogenic, "__benign": benign})
+
+
+_FLAGS = ("__lof", "__functional", "__pathogenic", "__benign")
+
+
 def new_impact(df: DataFrame) -> DataFrame:
     """NEW_IMPACT: the caller's impact raised by splicing, missense, 5'UTR and ClinVar evidence, in this order."""
-    out = _splice(df)
+    out = _terms(_splice(df))
     splice, pangolin, spip = F.col("SPLICE_MAX_UNIFIED"), _score(out, "Pangolin_max_score"), _score(out, "SPiP_prediction")
     spip_on = _text(out, "SPiP_interpretation") != "NTR"
     aberrant = _text(out, "SpliceVault_status") == "aberrant_event_detected"
@@ -45,24 +56,28 @@ def new_impact(df: DataFrame) -> DataFrame:
     high = true(splice > 0.5) | ((spip > 0.5) & spip_on) | (pangolin >= 0.5) | (aberrant & true(splice >= 0.2)) | listed
     am, revel = _score(out, "am_pathogenicity"), _score(out, "REVEL_score")
     am_on = (am >= 0.564) | (F.lower(_text(out, "am_class")) == "pathogenic")
-    pathogenic, _ = clinvar_masks(_text(out, "CLINVAR_SELECTED_CLNSIG"))
     low = ("LOW", "MODIFIER")
+    # flags are columns, each step is one: a step uses the one before twice
+    flags = {"moderate": moderate, "high": high, "am": am_on, "revel5": revel >= 0.5, "revel75": revel >= 0.75, "utr": _text(out, "UTRAnnotator_status") == "high_impact"}
+    out = out.withColumns({f"__f_{k}": v for k, v in flags.items()})
+    moderate, high, am_on, revel_on, revel_high, utr_on = (F.col(f"__f_{k}") for k in flags)
     impact = F.coalesce(column(out, "IMPACT"), F.lit("MODIFIER"))
     impact = F.when((impact != "HIGH") & moderate, "MODERATE").otherwise(impact)
     impact = F.when(high, "HIGH").otherwise(impact)
-    impact = F.when(impact.isin(*low) & (am_on | (revel >= 0.5)), "MODERATE").otherwise(impact)
-    impact = F.when(am_on & (revel >= 0.75), "HIGH").otherwise(impact)
-    impact = F.when(impact.isin(*low) & (_text(out, "UTRAnnotator_status") == "high_impact"), "MODERATE").otherwise(impact)
-    return out.withColumn("NEW_IMPACT", F.when(pathogenic, "HIGH").otherwise(impact))
+    # the steps in order, read from the last one back: the first that holds decides
+    raised = am_on | revel_on | utr_on
+    mid = F.when((impact != "HIGH") & moderate, "MODERATE").otherwise(impact)
+    impact = F.when(F.col("__pathogenic") | (am_on & revel_high) | high, "HIGH").when(mid.isin(*low) & raised, "MODERATE").otherwise(mid)
+    return out.withColumn("NEW_IMPACT", impact).drop(*(f"__f_{k}" for k in flags), *_FLAGS)
 
 
 def acmg_criteria(df: DataFrame, freq_col: str = GRPMAX) -> DataFrame:
     """ACMG_CRITERIA: evidence codes joined by ', ', or Unclassified."""
-    out = _splice(df if "POPULATION_AF_STATUS" in df.columns else resolve_population_af(df, freq_col))
+    out = _terms(_splice(df if "POPULATION_AF_STATUS" in df.columns else resolve_population_af(df, freq_col)))
     consequence, af = F.lower(_text(out, "Consequence")), rarity()
     splice, spip, am, revel = F.col("SPLICE_MAX_UNIFIED"), _score(out, "SPiP_prediction"), _score(out, "am_pathogenicity"), _score(out, "REVEL_score")
-    pathogenic, _ = clinvar_masks(_text(out, "CLINVAR_SELECTED_CLNSIG"))
-    lof = consequence.rlike(LOF) & (_score(out, "pLI_gene_value") >= 0.9) & ~F.upper(_text(out, "SYMBOL")).isin(*PVS1_VETO_GENES)
+    pathogenic = F.col("__pathogenic")
+    lof = F.col("__lof") & (_score(out, "pLI_gene_value") >= 0.9) & ~F.upper(_text(out, "SYMBOL")).isin(*PVS1_VETO_GENES)
     codes = [
         F.when(af > 0.05, "BA1").when(af > 0.01, "BS1"),
         F.when(lof, "PVS1"),
@@ -74,24 +89,24 @@ def acmg_criteria(df: DataFrame, freq_col: str = GRPMAX) -> DataFrame:
         F.when(F.contains(consequence, F.lit("synonymous")) & (splice < 0.1), "BP7"),
     ]
     text = F.concat_ws(", ", *codes)
-    return out.withColumn("ACMG_CRITERIA", F.when(text == "", "Unclassified").otherwise(text))
+    return out.withColumn("ACMG_CRITERIA", F.when(text == "", "Unclassified").otherwise(text)).drop(*_FLAGS)
 
 
 def priority(df: DataFrame, freq_col: str = GRPMAX, hpo_genes: list[str] | None = None) -> DataFrame:
     """VARIANT_PRIORITY_SCORE (0 to 100), PRIORITY_TIER, HPO_MATCH, SCORE_EXPLANATION and TIER_RATIONALE from what the table has.
     Optional inputs: QC_STATUS, DISEASE_EVIDENCE_SCORE, INHERITANCE_MODEL, COMPOUND_HET_STATUS, GENE_TIER, FAF_POPMAX_*, PVS1_ELIGIBILITY."""
-    out = _splice(df if "POPULATION_AF_STATUS" in df.columns else resolve_population_af(df, freq_col))
-    consequence, symbol = F.lower(_text(out, "Consequence")), F.upper(_text(out, "SYMBOL"))
+    out = _terms(_splice(df if "POPULATION_AF_STATUS" in df.columns else resolve_population_af(df, freq_col)))
+    symbol = F.upper(_text(out, "SYMBOL"))
     veto = true(F.lower(_text(out, "PVS1_ELIGIBILITY")).contains("vetoed")) | symbol.isin(*PVS1_VETO_GENES)
     parts = {
-        "lof": consequence.rlike(LOF) & ~veto, "aberrant": _text(out, "SpliceVault_status") == "aberrant_event_detected",
+        "lof": F.col("__lof") & ~veto, "aberrant": _text(out, "SpliceVault_status") == "aberrant_event_detected",
         "utr": _text(out, "UTRAnnotator_status") == "high_impact", "intolerant": _score(out, "pLI_gene_value") >= 0.9,
         "low_qual": _text(out, "QC_STATUS") == "LOW_QUAL", "hpo": F.col("SYMBOL").isin(*hpo_genes) if hpo_genes else F.lit(False),
         "splice": F.col("SPLICE_MAX_UNIFIED"), "spip": _score(out, "SPiP_prediction"), "pangolin": _score(out, "Pangolin_max_score"),
         "revel": _score(out, "REVEL_score"), "am": _score(out, "am_pathogenicity"), "rarity": rarity(),
         "ba1_from": number(column(out, "FAF_POPMAX_BA1"), 0.002 if "FAF_POPMAX_BA1" not in out.columns else 0.0), "bs1_from": number(column(out, "FAF_POPMAX_BS1"), 0.0001 if "FAF_POPMAX_BS1" not in out.columns else 0.0),
         "model": _text(out, "INHERITANCE_MODEL"), "pair": _text(out, "COMPOUND_HET_STATUS"), "gene_tier": _text(out, "GENE_TIER"),
-        "pathogenic": clinvar_masks(_text(out, "CLINVAR_SELECTED_CLNSIG"))[0], "benign": clinvar_masks(_text(out, "CLINVAR_SELECTED_CLNSIG"))[1],
+        "pathogenic": F.col("__pathogenic"), "benign": F.col("__benign"), "functional": F.col("__functional"),
     }
     # columns, not a struct: what is used often is then worked out once
     out = out.withColumns({f"__p_{k}": v for k, v in parts.items()})
@@ -120,7 +135,7 @@ def priority(df: DataFrame, freq_col: str = GRPMAX, hpo_genes: list[str] | None
     out = out.withColumn("VARIANT_PRIORITY_SCORE", F.bround(F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.col("__total"))), 1))
     score = F.col("VARIANT_PRIORITY_SCORE")
     bent = true(p["splice"] >= 0.2) | (p["spip"] >= 0.2) | (p["pangolin"] >= 0.2)
-    signal = bent | p["aberrant"] | p["utr"] | (p["revel"] >= 0.25) | (p["am"] >= 0.34) | p["lof"] | p["pathogenic"] | F.upper(_text(out, "NEW_IMPACT")).isin("MODERATE", "HIGH") | consequence.rlike(FUNCTIONAL)
+    signal = bent | p["aberrant"] | p["utr"] | (p["revel"] >= 0.25) | (p["am"] >= 0.34) | p["lof"] | p["pathogenic"] | F.upper(_text(out, "NEW_IMPACT")).isin("MODERATE", "HIGH") | p["functional"]
     capped = p["low_qual"] | tier_c | tier_d | ba1 | bs1
     first = ~capped & pm2 & ((score >= 75) | (p["lof"] & p["intolerant"]) | p["pathogenic"] | (true(p["splice"] >= 0.8) & (p["aberrant"] | p["lof"] | p["intolerant"])) | (p["revel"] >= 0.932) | ((p["am"] >= 0.75) & (p["revel"] >= 0.773)))
     second = ~capped & signal & ((score >= 50) | true(p["splice"] >= 0.5) | (p["spip"] >= 0.3) | (p["pangolin"] >= 0.3) | p["utr"] | (p["am"] >= 0.75) | (p["revel"] >= 0.773) | p["lof"])
@@ -154,7 +169,7 @@ def priority(df: DataFrame, freq_col: str = GRPMAX, hpo_genes: list[str] | None
     last = F.when(ba1, F.concat(F.lit("Stand-Alone Benign: AF ("), fixed(af, 4), F.lit(") Exceeds FAF_PopMax Threshold ("), fixed(p["ba1_from"], 4), F.lit(")"))).when(bs1, F.concat(F.lit("Strong Benign: AF ("), fixed(af, 4), F.lit(") Exceeds FAF_BS1 Threshold ("), fixed(p["bs1_from"], 4), F.lit(")"))).when(p["benign"], "ClinVar Benign / Likely Benign Entry").otherwise(F.concat(F.lit("Low Priority Composite Score ("), fixed(score, 1), F.lit("/100 < 25.0) Without Functional Evidence")))
     why = F.when(tier == TIERS[0], top).when(tier == TIERS[1], strong).when(tier == TIERS[2], middle).otherwise(last)
     warned = F.when(p["low_qual"], F.concat(F.lit(" [⚠️ LOW_QUAL Caller Warning: "), quality, F.lit("]"))).otherwise("")
-    return out.withColumns({"SCORE_EXPLANATION": F.when(text == "", "Neutral Rarity / Benign").otherwise(text), "TIER_RATIONALE": F.concat(why, warned)}).drop(*(f"__p_{k}" for k in parts), "__total")
+    return out.withColumns({"SCORE_EXPLANATION": F.when(text == "", "Neutral Rarity / Benign").otherwise(text), "TIER_RATIONALE": F.concat(why, warned)}).drop(*(f"__p_{k}" for k in parts), "__total", *_FLAGS)
 
 
 def dominant_rank(df: DataFrame, thresholds: dict = DOMINANT) -> DataFrame:

@@ -141,22 +141,22 @@ def splicevault_decode(df: DataFrame) -> DataFrame:
     minus = true(F.trim(column(df, "STRAND").cast("string")).isin("-1", "-", "negative"))
     kinds = F.create_map(*map(F.lit, ("CD", "Cryptic Donor", "CA", "Cryptic Acceptor", "ES", "Exon Skipping", "IR", "Intron Retention")))
 
-    def described(event: Column) -> Column:
-        p = F.split(event, ":")
+    def described(p: Column) -> Column:
         offset, kind = p[2].try_cast("int"), p[1]
         where = F.when(offset == 0, "the annotated splice site").otherwise(F.concat(F.abs(offset).cast("string"), F.lit(" bp "), F.when(offset > 0, "downstream").otherwise("upstream"), F.lit(" of the annotated splice site"), F.when(place.isNotNull(), F.concat(F.lit(" (pos:"), (F.when(minus, place - offset).otherwise(place + offset)).cast("string"), F.lit(")"))).otherwise("")))
         impact = F.when(kind == "ES", F.concat(F.lit("Exon "), p[2], F.lit(" skipping"))).when(offset.isNull(), F.concat(F.lit("Offset "), p[2], F.lit(" bp"))).otherwise(F.concat(F.lit("Cryptic Site at "), where))
         share, frame = F.get(p, F.lit(3)), F.get(p, F.lit(4))
         full = F.concat(F.lit("Rank "), p[0], F.lit(": "), F.coalesce(F.try_element_at(kinds, kind), kind), F.lit(" ("), impact, F.lit(")"), F.when(true(share != ""), F.concat(F.lit(", "), share, F.lit("% support"))).otherwise(""), F.when(true(frame != ""), F.concat(F.lit(", "), F.replace(frame, F.lit("_"), F.lit(" ")))).otherwise(""))
-        return F.when(F.size(p) < 3, event).otherwise(full)
+        return F.when(F.size(p) < 3, F.array_join(p, ":")).otherwise(full)
 
-    events = F.filter(F.transform(F.split(text, "[,&]"), lambda e: F.trim(e)), lambda e: ~e.isin("", "."))
-    decoded = F.array_join(F.transform(events, described), "; ")
-    found = true(decoded != "")
+    # events and their fields are split once; the texts are only made where they are asked for
+    df = df.withColumn("__events", F.filter(F.transform(F.split(text, "[,&]"), lambda e: F.trim(e)), lambda e: ~e.isin("", ".")))
+    decoded = F.array_join(F.transform(F.transform("__events", lambda e: F.split(e, ":")), described), "; ")
+    found = true(F.size("__events") > 0)
     return df.withColumns({
         "SpliceVault_Predictions_Decoded": F.when(found, decoded).when(covered, "No aberrant events detected in RNA-seq cohort").otherwise("Not covered"),
         "SpliceVault_status": F.when(found, "aberrant_event_detected").when(covered, "no_events_found").otherwise("not_covered"),
-    })
+    }).drop("__events")
 
 
 def labranchor_status(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from varlake.functions.values import MISSING_CLINVAR, MISSING_FREQUENCY, known, number, numbers, strip_version, true
+from varlake.functions.values import MISSING_CLINVAR, MISSING_FREQUENCY, by_value, known, number, numbers, strip_version, true
 
 GRPMAX, JOINT, AN_JOINT = "gnomADv4_AF_grpmax_joint", "gnomADv4_AF_joint", "gnomADv4_AN_joint"
 ABSENT = "absent_from_gnomad"
@@ -61,7 +61,12 @@ def review_stars(text: Column) -> Column:
 
 
 def resolve_clinvar(df: DataFrame) -> DataFrame:
-    """Classification, source, review and stars from the first source that has a classification; review and stars never come from another."""
+    """__clinvar: classification, source, review and stars from the first source that has a classification; review and stars never come from another."""
+    inputs = [c for pair in CLINVAR_SOURCES for c in pair if c in df.columns] + ["ClinVar_Stars"]
+    return by_value(df, inputs, _resolve_clinvar)
+
+
+def _resolve_clinvar(df: DataFrame) -> DataFrame:
     found = []
     for rank, (name, review) in enumerate(CLINVAR_SOURCES):
         if name not in df.columns:
@@ -163,6 +168,12 @@ def utr5_status(df: DataFrame, consequence: str = "5UTR_consequence", annotation
     own term; else no_uorf_effect, not_evaluated or not_applicable."""
     if consequence not in df.columns:
         return df.withColumn("UTRAnnotator_status", F.lit("not_annotated"))
+    marked = df.withColumn("__counted", column(df, "Existing_uORFs").isNotNull())
+    done = by_value(marked, [consequence, annotation, "Consequence", "__counted"], lambda rows: _utr5_status(rows, consequence, annotation))
+    return done.drop("__counted")
+
+
+def _utr5_status(df: DataFrame, consequence: str, annotation: str) -> DataFrame:
     text = F.trim(F.coalesce(F.col(f"`{consequence}`"), F.lit("")))
     entries = F.filter(F.split(F.coalesce(column(df, annotation), F.lit("")), "[&,]"), lambda e: F.contains(e, F.lit("=")))
     terms = F.filter(F.transform(F.split(F.lower(text), "[&,]"), lambda t: F.trim(t)), lambda t: t != "")
@@ -194,7 +205,7 @@ def utr5_status(df: DataFrame, consequence: str = "5UTR_consequence", annotation
     all_ = F.col("__classes")
     worst = F.when(F.array_contains(all_, "high_impact"), "high_impact").when(F.array_contains(all_, "unclassified"), "unclassified").when(F.array_contains(all_, "other"), "other").otherwise("unclassified")
     utr5 = true(F.contains(column(df, "Consequence"), F.lit("5_prime_UTR_variant")))
-    state = F.when(~text.isin("", "-", ".", "nan"), worst).when(utr5 & column(df, "Existing_uORFs").isNotNull(), "no_uorf_effect").when(utr5, "not_evaluated").otherwise("not_applicable")
+    state = F.when(~text.isin("", "-", ".", "nan"), worst).when(utr5 & F.col("__counted"), "no_uorf_effect").when(utr5, "not_evaluated").otherwise("not_applicable")
     return df.withColumn("__classes", F.when(text != "", F.flatten(F.transform(terms, classes)))).withColumn("UTRAnnotator_status", state).drop("__classes", "__text", "__entries", "__terms")
 
 

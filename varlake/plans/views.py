@@ -123,7 +123,9 @@ SPARK = {"v_genotypes": VIEWS["v_genotypes"].replace("{v_variants} v CROSS JOIN
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the driver, or a view over its tables."""
+    """A table of the driver, or a view over its tables. Sets the session's codegen so that chains of many columns are compiled as several
+    methods: the JVM runs one of more than 8,000 bytes uncompiled."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     if name not in VIEWS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     sql = SPARK.get(name, VIEWS[name])
