@@ -31,10 +31,10 @@ def liftover(df: DataFrame, blocks: DataFrame, bin_size: int = 10_000) -> DataFr
 
 
 def reference_allele_check(df: DataFrame, tiles: DataFrame, size: int) -> DataFrame:
-    """For each row (contig, pos, ref; one base) whether the reference tile has that base; other than ACGT is skipped."""
+    """For each row (contig, pos, ref; one base) whether the reference tile has that base (null behind the contig's end); other than ACGT is skipped."""
     rows = df.where(F.upper("ref").rlike("^[ACGT]$")).withColumn("tile", F.floor((F.col("pos") - 1) / size))
     base = F.expr(f"substr(seq, CAST((pos - 1) % {size} + 1 AS int), 1)")
-    return rows.join(tiles, ["contig", "tile"]).select(*df.columns, (F.upper(base) == F.upper("ref")).alias("agrees"))
+    return rows.join(tiles, ["contig", "tile"]).select(*df.columns, F.when(base != "", F.upper(base) == F.upper("ref")).alias("agrees"))
 
 
 def contig_header_check(header: DataFrame, reference: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from varlake.operators import utr
 from varlake.plans.registry import KEY, query
 from varlake.plans.views import table
-from varlake.sources import scans
+from varlake.sources import fasta, scans
+from varlake.sources.tables import scratch
 
 _BASES = "'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC'"
 _KEY = "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) || '-' || CAST(CAST(l_quantity AS INT) AS STRING) AS row_key"
@@ -105,3 +106,28 @@ def _(spark, d):
     evidence = spark.sql(_EVIDENCE.replace("FROM lineitem", "FROM {lineitem}"), lineitem=lines)
     found = utr.uorf_effect(variants, utr.reference_frames(transcripts, evidence))
     return found.select(*KEY, "utr5_consequence", "utr5_annotation", *(F.col(c).cast("long").alias(c) for c in ("existing_uORFs", "existing_OutOfFrame_oORFs", "existing_InFrame_oORFs")))
+
+
+_FASTA_SQL = f"""WITH genome AS (SELECT doc_id, translate(lower(regexp_replace(text, '[^A-Za-z]', '', 'g')), {_BASES}) AS seq FROM documents)
+SELECT CAST(doc_id AS VARCHAR) AS contig, tile, substr(seq, CAST(tile * 500 + 1 AS INT), 500) AS seq FROM (SELECT *, unnest(range(0, CAST(ceil(length(seq) / 500.0) AS BIGINT))) AS tile FROM genome) t"""
+
+
+@query("scan_fasta_file", _FASTA_SQL)
+def _(spark, d):
+    path = scratch(spark)
+    fasta.write_fasta(genome(spark, d), path)
+    return fasta.fasta_tiles(spark, path, 500)
+
+
+@query("reference_allele_check_file", f"""WITH genome AS (SELECT doc_id, translate(lower(regexp_replace(text, '[^A-Za-z]', '', 'g')), {_BASES}) AS seq FROM documents), sites AS (SELECT {_KEY}, l_partkey AS contig, 1 + l_orderkey % 2000 AS pos, substr('ACGTN', CAST(1 + l_suppkey % 5 AS INT), 1) AS ref FROM lineitem)
+ SELECT row_key, substr(seq, pos::INT, 1) = ref AS agrees FROM sites JOIN genome ON doc_id = contig WHERE ref <> 'N' AND pos <= length(seq)""")
+def _(spark, d):
+    """Sites against bases read from FASTA files."""
+    from varlake.operators.builds import reference_allele_check
+
+    path = scratch(spark)
+    fasta.write_fasta(genome(spark, d), path)
+    tiles = fasta.fasta_tiles(spark, path, 500)
+    sites = spark.sql(f"SELECT {_KEY}, CAST(l_partkey AS STRING) AS contig, 1 + l_orderkey % 2000 AS pos, substr('ACGTN', CAST(1 + l_suppkey % 5 AS INT), 1) AS ref FROM {{lineitem}}", lineitem=table(spark, d, "lineitem"))
+    found = reference_allele_check(sites, tiles, 500)
+    return found.where("agrees IS NOT NULL").select(*KEY, "agrees")
