@@ -145,8 +145,9 @@ def priority(df: DataFrame, freq_col: str = GRPMAX, hpo_genes: list[str] | None
     af, tier, method = F.col("POPULATION_AF"), F.col("PRIORITY_TIER"), F.col("SPLICEAI_METHOD")
 
     def fixed(x: Column, digits: int) -> Column:
-        return F.format_string(f"%.{digits}f", F.bround(x, digits))
+        return F.when(x.isNotNull(), F.format_string(f"%.{digits}f", F.bround(x, digits)))  # a null would be written, too
 
+    # All texts from here to the end, which the tables' readers know.
     quality = F.coalesce(column(out, "QC_DETAIL"), F.lit("Low QUAL/GQ/FILTER"))
     via = F.when(F.contains(method, F.lit("Custom")), F.concat(F.lit(", SpliceAI "), fixed(p["splice"], 2), F.lit(" via Custom -D 4999"))).when(F.contains(method, F.lit("VEP")), F.concat(F.lit(", SpliceAI "), fixed(p["splice"], 2), F.lit(" via VEP Standard ~50bp"))).otherwise("")
     text = F.concat_ws(

@@ -299,6 +299,44 @@ def _(spark, d):
     return _ranked(spark, d).select(*KEY, F.substring("TIER_RATIONALE", 1, 11).alias("reason"), F.contains(F.col("TIER_RATIONALE"), F.lit("LOW_QUAL Caller Warning")).alias("warned"))
 
 
+def _fixed(value: str, digits: int) -> str:
+    """A number as both engines write it: rounded half to even, then with so many digits."""
+    return f"printf('%.{digits}f', round_even({value}, {digits}))"
+
+
+_METHOD = "CASE WHEN sp IS NOT NULL THEN 'VEP Standard (~50bp)' ELSE 'Not Covered' END"
+_QUALITY = f"""concat_ws('; ', CASE WHEN FILTER NOT IN ('.', 'PASS') THEN 'FILTER=' || FILTER END, CASE WHEN QUAL_seen < 30 THEN 'QUAL=' || {_fixed('CAST(QUAL_seen AS DOUBLE)', 1)} || '<30' END, CASE WHEN QD < 2 THEN 'QD=' || {_fixed('QD', 1)} || '<2.0' END,
+ CASE WHEN FS > 60 THEN 'FS=' || {_fixed('FS', 1)} || '>60' END, CASE WHEN MQ < 40 THEN 'MQ=' || {_fixed('MQ', 1)} || '<40' END)"""
+_BOTH_SPLICE = "greatest(coalesce(sp, 0.0), pang)"
+
+
+@query("score_explanation_text", f"""SELECT {K}, CASE WHEN t = '' THEN 'Neutral Rarity / Benign' ELSE t END AS SCORE_EXPLANATION FROM (SELECT row_key, concat_ws(' | ', CASE WHEN lof THEN 'LoF (+35.0)' END,
+ CASE WHEN {_BOTH_SPLICE} > 0.05 THEN 'Splicing (+' || {_fixed(_BOTH_SPLICE + ' * 30', 1)} || CASE WHEN sp IS NOT NULL THEN ', SpliceAI ' || {_fixed('sp', 2)} || ' via VEP Standard ~50bp' ELSE '' END || ')' END,
+ CASE WHEN aber THEN 'SpliceVault (+5.0)' END, CASE WHEN insil > 0 THEN 'InSilico PP3 (+' || {_fixed('insil', 1)} || ')' WHEN insil < 0 THEN 'InSilico BP4 (' || {_fixed('insil', 1)} || ')' END,
+ CASE WHEN utr THEN 'UTR (+20.0)' END, CASE WHEN pli >= 0.9 THEN 'LoF-Intolerant (+10.0)' END,
+ CASE WHEN path AND cst >= 3 THEN 'ClinVar Expert Panel / Practice Guideline Pathogenic (+50.0)' WHEN path THEN 'ClinVar Pathogenic (+45.0)' WHEN ben THEN 'ClinVar Benign (-40.0)' END,
+ CASE WHEN pop_status = 'absent_from_gnomad' THEN 'PM2_Supporting absent from gnomAD v4 (+15.0)' WHEN pop_af IS NULL THEN 'Population AF unknown (no frequency evidence)' WHEN ba1 THEN 'BA1 Exceeds FAF_PopMax Threshold (Terminal Tier 4)' WHEN bs1 THEN 'BS1_Strong AF > FAF_BS1 (-25.0)' WHEN pm2 THEN 'PM2_Supporting AF < MCAF (+15.0)' END,
+ CASE WHEN lowq THEN 'Low Quality Caller Metric (-25.0, ' || {_QUALITY} || ')' END) AS t FROM ({_SCORED}) s) x""")
+def _(spark, d):
+    return _ranked(spark, d).select(*KEY, "SCORE_EXPLANATION")
+
+
+_COMPOSITE = f"Composite Score (' || {_fixed('sc', 1)} || '/100"
+
+
+@query("tier_rationale_text", f"""SELECT {K}, CASE tier WHEN 1 THEN CASE WHEN path AND cst >= 3 THEN 'ClinGen VCEP Pathogenic / Likely Pathogenic Expert Entry' WHEN path THEN 'ClinVar Pathogenic / Likely Pathogenic Entry'
+  WHEN lof AND pli >= 0.9 THEN 'High-Confidence Loss-of-Function in Constrained Gene (pLI = ' || {_fixed('pli', 2)} || ' >= 0.90)' WHEN sp >= 0.8 THEN 'Ultra-High Splicing Alteration (SpliceAI = ' || {_fixed('sp', 2)} || ' >= 0.80 via ' || {_METHOD} || ')'
+  WHEN rv >= 0.932 THEN 'Strong Pathogenic Missense (REVEL = ' || {_fixed('rv', 3)} || ' >= 0.932, PP3_Strong)' ELSE 'High-Priority {_COMPOSITE} >= 75.0) & Ultra-Rare Population Frequency (AF < MCAF)' END
+ WHEN 2 THEN CASE WHEN lof THEN 'Loss-of-Function Alteration' || CASE WHEN pop_status = 'absent_from_gnomad' THEN ' (absent from gnomAD v4)' WHEN pop_af IS NOT NULL THEN ' (AF = ' || {_fixed('pop_af', 4)} || ')' ELSE ' (population AF unknown)' END
+  WHEN sp >= 0.5 THEN 'High Splicing Delta Score (SpliceAI = ' || {_fixed('sp', 2)} || ' >= 0.50 via ' || {_METHOD} || ')' WHEN rv >= 0.773 THEN 'Moderate Pathogenic Missense (REVEL = ' || {_fixed('rv', 3)} || ' >= 0.773, PP3_Moderate)'
+  WHEN am >= 0.75 THEN 'Moderate Pathogenic Missense (AlphaMissense = ' || {_fixed('am', 3)} || ' >= 0.750, PP3_Moderate)' ELSE 'Strong Priority {_COMPOSITE} >= 50.0)' END
+ WHEN 3 THEN CASE WHEN bent THEN 'Moderate Splicing Delta Alteration (SpliceAI = ' || coalesce({_fixed('sp', 2)}, 'nan') || ' >= 0.20 via ' || {_METHOD} || ')' ELSE 'Moderate Priority {_COMPOSITE} >= 25.0)' END
+ ELSE CASE WHEN ba1 THEN 'Stand-Alone Benign: AF (' || {_fixed('pop_af', 4)} || ') Exceeds FAF_PopMax Threshold (0.0020)' WHEN bs1 THEN 'Strong Benign: AF (' || {_fixed('pop_af', 4)} || ') Exceeds FAF_BS1 Threshold (0.0001)' WHEN ben THEN 'ClinVar Benign / Likely Benign Entry'
+  ELSE 'Low Priority {_COMPOSITE} < 25.0) Without Functional Evidence' END END || CASE WHEN lowq THEN ' [⚠️ LOW_QUAL Caller Warning: ' || {_QUALITY} || ']' ELSE '' END AS TIER_RATIONALE FROM ({_TIER}) t""")
+def _(spark, d):
+    return _ranked(spark, d).select(*KEY, "TIER_RATIONALE")
+
+
 _GENES = "SELECT 'G' || CAST(n_nationkey * 2 AS STRING) AS GENE, CASE n_nationkey % 3 WHEN 0 THEN 'Cardiomyopathies' WHEN 1 THEN 'Peripheral_and_conduction;Cardiomyopathies' ELSE 'Aortic_and_vascular' END AS SOURCE, CASE n_nationkey % 4 WHEN 0 THEN 'Prioritary' WHEN 1 THEN 'Secondary' WHEN 2 THEN 'Candidate' ELSE NULL END AS EVIDENCE FROM {nation}"
 _PRIO = "CASE WHEN EVIDENCE IS NULL THEN 'others' WHEN contains(SOURCE, 'Aortic_and_vascular') THEN lower(EVIDENCE) WHEN contains(SOURCE, 'Cardiomyopathies') THEN 'candidate' ELSE lower(EVIDENCE) END"
 
