@@ -36,11 +36,12 @@ def _level(start: Column, end: Column, bin_size: int) -> Column:
     return F.greatest(F.lit(0), F.ceil(F.log(float(WIDER), F.greatest(end - start, F.lit(1)) / bin_size))).cast("int")
 
 
-def binned(df: DataFrame, other: DataFrame, span: tuple[str, str], other_span: tuple[str, str], bin_size: int, names: tuple[str, str, str] = ("__own", "__level", "__bin")) -> DataFrame:
+def binned(df: DataFrame, other: DataFrame, span: tuple[str, str], other_span: tuple[str, str], bin_size: int, names: tuple[str, str, str] = ("__own", "__level", "__bin"), bases: bool = False) -> DataFrame:
     """df with a row for each bin in which its half-open intervals meet those of other: own level, level and number of the bin. These are the bins
-    of the interval's own level and of the wider levels that other has, two of each: rows grow with the logarithm of a length."""
+    of the interval's own level and of the wider levels that other has, two of each: rows grow with the logarithm of a length. bases: other's
+    are no longer than the narrowest bins, so that it need not be looked at."""
     own, level, place = names
-    there = other.select(F.collect_set(_level(F.col(other_span[0]), F.col(other_span[1]), bin_size))).scalar()  # a few numbers
+    there = F.array(F.lit(0)) if bases else other.select(F.collect_set(_level(F.col(other_span[0]), F.col(other_span[1]), bin_size))).scalar()  # a few numbers
     start, end = F.col(span[0]), F.greatest(F.col(span[1]) - 1, F.col(span[0]))
     rows = df.withColumn(own, _level(F.col(span[0]), F.col(span[1]), bin_size))
     rows = rows.withColumn(level, F.explode(F.array_union(F.array(own), there))).where(F.col(level) >= F.col(own))
@@ -48,10 +49,10 @@ def binned(df: DataFrame, other: DataFrame, span: tuple[str, str], other_span: t
     return rows.withColumn(place, F.explode(F.sequence(F.floor(start / size), F.floor(end / size))))
 
 
-def interval_join(left: DataFrame, right: DataFrame, bin_size: int, on: tuple[str, str] = ("chrom", "chrom"), left_span: tuple[str, str] = ("start", "end"), right_span: tuple[str, str] = ("start", "end"), how: str = "inner") -> DataFrame:
+def interval_join(left: DataFrame, right: DataFrame, bin_size: int, on: tuple[str, str] = ("chrom", "chrom"), left_span: tuple[str, str] = ("start", "end"), right_span: tuple[str, str] = ("start", "end"), how: str = "inner", bases: bool = False) -> DataFrame:
     """Rows whose half-open intervals overlap on the same contig, by bins: an equi-join instead of a nested loop. how: inner, or left_semi (left rows as
     they are). Two intervals meet on the level of the longer one, in the bin of the overlap's first base. bin_size is that of the narrowest bins; results
-    do not depend on it. Rows with a null in contig or span overlap nothing."""
+    do not depend on it. Rows with a null in contig or span overlap nothing. bases: no left interval is longer than bin_size."""
     ls, le, rs, re_ = F.col(f"l.{left_span[0]}"), F.col(f"l.{left_span[1]}"), F.col(f"r.{right_span[0]}"), F.col(f"r.{right_span[1]}")
     if how == "left_semi":
         # the span decides: those that meet any are found first
@@ -60,7 +61,7 @@ def interval_join(left: DataFrame, right: DataFrame, bin_size: int, on: tuple[st
         met = interval_join(left.select(*places), bare, bin_size, (on[0], "__on"), left_span, ("__from", "__to"))
         return left.join(met.select(*places).distinct(), places, "left_semi")
     a = binned(left, right, left_span, right_span, bin_size, ("__lown", "__llevel", "__lbin")).alias("l")
-    b = binned(right, left, right_span, left_span, bin_size, ("__rown", "__rlevel", "__rbin")).alias("r")
+    b = binned(right, left, right_span, left_span, bin_size, ("__rown", "__rlevel", "__rbin"), bases).alias("r")
     size = F.lit(bin_size) * F.pow(F.lit(float(WIDER)), F.col("l.__llevel")).cast("long")
     test = (F.col(f"l.{on[0]}") == F.col(f"r.{on[1]}")) & (F.col("l.__llevel") == F.col("r.__rlevel")) & (F.col("l.__lbin") == F.col("r.__rbin")) & (ls < re_) & (rs < le)
     test = test & (F.col("l.__llevel") == F.greatest("l.__lown", "r.__rown")) & (F.floor(F.greatest(ls, rs) / size) == F.col("l.__lbin"))
@@ -68,10 +69,17 @@ def interval_join(left: DataFrame, right: DataFrame, bin_size: int, on: tuple[st
 
 
 def region_restrict(df: DataFrame, regions: DataFrame, bin_size: int = 10_000) -> DataFrame:
-    """Variants in any region (chrom, start_pos, end_pos; 0-based half-open), each row once."""
+    """Variants in any region (chrom, start_pos, end_pos; 0-based half-open), each row once. The levels of the regions are looked at first (a few
+    numbers): with one level a variant has one bin, and one semi-join does; with several the places that meet a region are found before the rows."""
+    bare = regions.select(F.col("chrom").alias("__chrom"), F.col("start_pos").alias("__low"), F.col("end_pos").alias("__high"))
+    levels = [r.level for r in bare.select(_level(F.col("__low"), F.col("__high"), bin_size).alias("level")).distinct().collect()]
+    if len(levels) <= 1:
+        size = bin_size * WIDER ** (levels[0] if levels else 0)
+        bins = bare.withColumn("__bin", F.explode(F.sequence(F.floor(F.col("__low") / size), F.floor(F.greatest(F.col("__high") - 1, F.col("__low")) / size))))
+        place = F.col("POS") - 1
+        return df.join(bins, (F.col("CHROM") == F.col("__chrom")) & (F.floor(place / size) == F.col("__bin")) & (place >= F.col("__low")) & (place < F.col("__high")), "left_semi")
     spans = df.select("CHROM", "POS", (F.col("POS") - 1).alias("__from"), F.col("POS").alias("__to"))
-    bare = regions.select(F.col("chrom").alias("__chrom"), "start_pos", "end_pos")
-    met = interval_join(spans, bare, bin_size, ("CHROM", "__chrom"), ("__from", "__to"), ("start_pos", "end_pos"))
+    met = interval_join(spans, bare, bin_size, ("CHROM", "__chrom"), ("__from", "__to"), ("__low", "__high"), bases=True)
     return df.join(met.select("CHROM", "POS").distinct(), ["CHROM", "POS"], "left_semi")
 
 
