@@ -223,6 +223,62 @@ def test_line_dedup_finds_edited_lines(spark):
         assert len(own) > 50 and sum(got[i] for i in own) >= 0.9 * len(own)
 
 
+def _edited(rng, word, line, kind):
+    """The words of line after an edit of that kind."""
+    out, at = list(line), rng.randrange(len(line))
+    typo = lambda w: (lambda c: w[:c] + rng.choice("abcdefghijklmnopqrstuvwxyz") + w[c + 1 :])(rng.randrange(len(w)))
+    if kind == "letter":
+        out[at] = typo(out[at])
+    elif kind == "replaced":
+        out[at] = word()
+    elif kind == "inserted":
+        out.insert(at, word())
+    elif kind == "swapped":
+        at = min(at, len(out) - 2)
+        out[at : at + 2] = out[at + 1], out[at]
+    elif kind == "split":
+        c = rng.randrange(1, len(out[at]))
+        out[at : at + 1] = [out[at][:c], out[at][c:]]
+    else:
+        for k in rng.sample(range(len(out)), max(1, len(out) // 4)):
+            out[k] = typo(out[k])
+    return out
+
+
+@pytest.fixture(scope="module")
+def edited_lines(spark):
+    """(length, kind) to the shares of edited lines found, of lines alike at 0.8 by plain edit distance; untouched lines removed."""
+    rng, rows, cells = random.Random(5), [], {}
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 10)))
+    for n, kind in EDITS:
+        own = cells.setdefault((n, kind), [])
+        while len(own) < 40:
+            line = [word() for _ in range(n)]
+            a, b = " ".join(line), " ".join(_edited(rng, word, line, kind))
+            if a != b and plain_distance(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9):
+                own.append(len(rows) + 1)
+                rows += [(len(rows), a), (len(rows) + 1, b)]
+    got = {r.doc_id: r.n_removed for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    return {cell: sum(got[i] for i in own) / len(own) for cell, own in cells.items()}, sum(got[i] for i in range(0, len(rows), 2))
+
+
+#: Lines of two or three words are seldom alike after a word was swapped or replaced.
+EDITS = [(n, kind) for n in (2, 3, 4, 6, 8, 12, 20) for kind in ("letter", "replaced", "inserted", "swapped", "split", "quarter") if (n > 3 or kind in ("letter", "split", "quarter")) and (n < 20 or kind != "quarter")]
+
+
+@pytest.mark.parametrize("cell", EDITS, ids=lambda c: f"{c[0]}-{c[1]}")
+def test_line_dedup_finds_each_kind_of_edit(edited_lines, cell):
+    assert edited_lines[0][cell] >= 0.9 and edited_lines[1] == 0
+
+
+def test_line_dedup_short_lines_of_few_letters(spark):
+    """One word, no blanks in common, other scripts, lines of one letter, and lines on both sides of the border of LETTERS."""
+    long = "".join(chr(97 + k % 26) * (1 + k % 3) for k in range(60))[:93]
+    rows = [(1, "extraordinary"), (2, "extraordinery"), (3, "extra ordinary"), (4, "a"), (5, "b"), (6, "\u0434\u0440\u0443\u0433\u0438\u0435\u0441\u043b\u043e\u0432\u0430"), (7, "\u0434\u0440\u0443\u0433\u0438\u0435 \u0441\u043b\u043e\u0432\u0430"), (8, long[:91]), (9, long[:90]), (10, "a\nb")]
+    got = {r.doc_id: r.n_removed for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 1, 3: 1, 4: 0, 5: 0, 6: 0, 7: 1, 8: 0, 9: 1, 10: 2}
+
+
 def test_line_dedup_long_lines_and_rows_of_one_id(spark):
     rng = random.Random(22)
     long = sentence(rng, 30000)

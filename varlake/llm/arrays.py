@@ -22,10 +22,10 @@ _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 #: For terms: every ASCII byte but letters and digits parts words.
 _PUNCTUATION = np.ones(256, bool)
 _PUNCTUATION[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 #: For bytes.translate: terms in lower case, all else blanks.
-NORMAL_BYTES = np.where(_PUNCTUATION, np.uint8(32), _LOWER).tobytes()
+NORMAL_BYTES = np.where(_PUNCTUATION, np.uint8(32), LOWER).tobytes()
 _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1
 
 
@@ -120,7 +120,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """64 bits for each word; equal words, equal hashes."""
-        values = (_LOWER if self._lower else np.arange(256)).astype(_U) + _U(1)
+        values = (LOWER if self._lower else np.arange(256)).astype(_U) + _U(1)
         values[_PUNCTUATION if self._terms else _SEPARATOR] = 0
         h = _segments(values[self.data], self.starts, self.ends, _BYTE_BASE)
         return mix(h ^ ((self.ends - self.starts).astype(_U) * _U(0xA24BAED4963EE407)))
