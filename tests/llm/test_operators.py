@@ -297,6 +297,17 @@ def test_line_dedup_edges(spark):
     assert lines.dedup_lines(empty(spark)).count() == 0
 
 
+def test_walk_through_words_bounds_the_edit_distance():
+    rng = random.Random(7)
+    for _ in range(500):
+        x = [rng.choice(("a", "bb", "cd", "the", "of", "abc")) for _ in range(rng.randint(1, 14))]
+        y = [w for w in x if rng.random() < 0.8] + [rng.choice(("the", "q"))] * rng.randint(0, 2)
+        for _ in range(rng.randint(0, 3)):
+            y.insert(rng.randint(0, len(y)), rng.choice(("a", "q", "the")))
+        assert lines._rewritten(x, y) >= plain_distance(" ".join(x), " ".join(y))
+        assert lines._rewritten(x, x) == 0
+
+
 def test_edit_distance():
     rng = random.Random(3)
 
