@@ -660,10 +660,13 @@ def test_toxicity_blocks(spark, toxic_rows, monkeypatch):
         model = toxicity.fit(docs, known)
         import pyarrow as pa
 
-        expected = brute_scores(rows, train)
+        expected, read, every = brute_scores(rows, train), 0, 0
         for (h, n), (i, _) in zip(toxicity._counted(pa.array([t for _, t in rows], pa.string())), rows):
             if i in expected and len(h):
-                assert abs(toxicity._vote(model, *toxicity.nearest(model, *toxicity._unit(model, h, n))) - expected[i]) < 1e-3
+                tally = []
+                assert abs(toxicity._vote(model, *toxicity.nearest(model, *toxicity._unit(model, h, n), tally=tally)) - expected[i]) < 1e-3
+                read, every = read + tally[0], every + tally[1]
+        assert read < every  # of blocks that are left out no posting is read
     few = toxicity.examples(docs, known, max_bytes=2000).collect()
     assert 1 < len(few) < len(train) and sum(len(r.text.encode()) for r in few) <= 2000
     assert toxicity.examples(docs, known, max_examples=7).count() == 7

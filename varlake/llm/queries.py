@@ -58,12 +58,13 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Toxicity of every document, learnt from rows whose crc32(doc_id) is no multiple of 5.
-    A null doc_id counts as held out."""
+    """Toxicity of every document, learnt from rows whose crc32(doc_id) is no multiple of 5,
+    with the nearest examples. A null doc_id counts as held out."""
     documents = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
     model = toxicity.fit(documents, table(spark, sf_dir, "labels").where(~held_out))
-    return toxicity.score(documents, model, ["doc_id"], evidence=0).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+    scored = toxicity.score(documents, model, ["doc_id"], evidence=3)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", F.array_join(F.col("evidence.doc_id").cast("array<string>"), ",").alias("evidence"))
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,12 +47,12 @@ class Model:
     column: np.ndarray  # column of each common term, -1: it has postings
     dense: np.ndarray  # common terms x examples
     dense_most: np.ndarray  # common terms x blocks
-    at: np.ndarray  # postings of term t are at[t] to at[t + 1]
+    block_at: np.ndarray  # entries of term t, one for each block that has it, are block_at[t] to block_at[t + 1]
+    block: np.ndarray
+    most: np.ndarray  # the largest unit weight in the block
+    at: np.ndarray  # postings of entry e are at[e] to at[e + 1]
     example: np.ndarray
     own: np.ndarray  # unit weights of the postings
-    block_at: np.ndarray  # the same for the blocks of a term and its largest weight in each
-    block: np.ndarray
-    most: np.ndarray
     prior: float
     empty: float  # score of a text without terms
     curve: tuple[float, float] = (0.0, 1.0)
@@ -86,35 +86,38 @@ def _unit(model: Model, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.nd
     return at, weight[on] / norm if norm else weight[on]
 
 
-def nearest(model: Model, terms: np.ndarray, weights: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
+def nearest(model: Model, terms: np.ndarray, weights: np.ndarray, skip: int = -1, tally: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Numbers and cosines of the k nearest examples with a cosine above 0, and of all others as near as the k-th.
 
     Exact: a block is left out only if its upper bound, the query's weights times the block's largest weights,
-    is below the k-th cosine found. Cosines are compared to six digits.
+    is below the k-th cosine found. Of a block that is left out no posting is read. Cosines are compared to six digits.
+    tally, if given, gets the number of postings read and that of all postings of the terms.
     """
     column = model.column[terms]
     common, rare = column >= 0, column < 0
     column, wide = column[common], weights[common].astype(np.float32)
     terms, weights = terms[rare], weights[rare]
     size = model.block_at[terms + 1] - model.block_at[terms]
-    at = ranges(model.block_at[terms], size)
-    bound = wide @ model.dense_most[column] + np.bincount(model.block[at], model.most[at] * np.repeat(weights, size), model.dense_most.shape[1])
-    size = model.at[terms + 1] - model.at[terms]
-    at = ranges(model.at[terms], size)
-    rest = np.bincount(model.example[at], model.own[at] * np.repeat(weights, size), len(model.labels))
+    entry, weights = ranges(model.block_at[terms], size), np.repeat(weights, size)
+    block, count = model.block[entry], model.at[entry + 1] - model.at[entry]
+    bound = wide @ model.dense_most[column] + np.bincount(block, model.most[entry] * weights, model.dense_most.shape[1])
     order = np.argsort(-bound, kind="stable")
-    found, cosines, least = [], [], 0.0
+    found, cosines, least, read = [], [], 0.0, 0
     for visit in (order[:ROUND], order[ROUND:]):
         visit = visit[(bound[visit] >= least - 2e-6) & (bound[visit] > 0)]
         if not len(visit):
             break
+        on = np.zeros(len(order), bool)
+        on[visit] = True
+        own = np.flatnonzero(on[block])
+        at = ranges(model.at[entry[own]], count[own])
+        rest = np.bincount(model.example[at], model.own[at] * np.repeat(weights[own], count[own]), len(model.labels))
+        read += len(at)
         if len(visit) * 2 < len(order):
             examples = (visit[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
             examples = examples[examples < len(model.labels)]
             dense = wide @ model.dense[column[:, None], examples]
         else:  # most blocks: all, of which those that were seen count for nothing
-            on = np.zeros(len(order), bool)
-            on[visit] = True
             examples = np.flatnonzero(np.repeat(on, BLOCK)[: len(model.labels)])
             dense = (wide @ model.dense[column])[examples]
         cosine = np.round(dense + rest[examples], 6)
@@ -124,6 +127,8 @@ def nearest(model: Model, terms: np.ndarray, weights: np.ndarray, skip: int = -1
         every = np.concatenate(cosines)
         if len(every) >= model.k:
             least = float(np.partition(every, len(every) - model.k)[len(every) - model.k])
+    if tally is not None:
+        tally += [read, int(count.sum())]
     found, cosines = (np.concatenate(x) if x else np.zeros(0) for x in (found, cosines))
     on = np.flatnonzero(cosines >= least)
     on = on[np.lexsort((found[on], -cosines[on]))]
@@ -173,8 +178,9 @@ def examples(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EX
     return sample.select("number", "doc_id", "toxic", "text")
 
 
-def fit(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, k: int = NEIGHBOURS) -> Model:
-    """A model from documents (doc_id, text) and labels (doc_id, toxic 0 or 1).
+def fit(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, k: int = NEIGHBOURS, contrast: bool = True) -> Model:
+    """A model from documents (doc_id, text) and labels (doc_id, toxic 0 or 1). Without contrast a term weighs its IDF alone,
+    whatever the labels of the examples that have it.
 
     Repeated labels of a document: the largest counts. Null labels and ids are left out; null texts are empty.
     Without usable labels every text gets 0.5; with one label only, nearly that label.
@@ -196,8 +202,8 @@ def fit(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLE
 
     frequency, total = document_frequencies(documents, terms)
     idf = np.log((1 + total) / (1 + frequency)) + 1
-    weight = idf * _contrast(at, toxic[example], len(terms), toxic)
-    unknown = (math.log(1 + total) + 1) * LEAST
+    weight = idf * _contrast(at, toxic[example], len(terms), toxic) if contrast else idf
+    unknown = (math.log(1 + total) + 1) * (LEAST if contrast else 1)
     model = _index(terms, weight, unknown, ids, toxic, example, at, tf, k)
     shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by max_examples and max_bytes
 
@@ -257,8 +263,8 @@ def _index(terms: np.ndarray, weight: np.ndarray, unknown: float, ids: np.ndarra
     pair = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (example[1:] // BLOCK != example[:-1] // BLOCK))) if len(at) else np.zeros(0, int)
     return Model(
         terms, weight, unknown, ids[has], toxic[has], number, column, np.ascontiguousarray(dense[: len(has)].T), np.ascontiguousarray(dense.reshape(blocks, BLOCK, len(common)).max(1).T),
-        np.searchsorted(at, np.arange(len(terms) + 1)), example, own, np.searchsorted(at[pair], np.arange(len(terms) + 1)), example[pair] // BLOCK,
-        np.maximum.reduceat(own, pair) if len(pair) else own, prior, float((none.sum() + prior) / (len(none) + 1)), k=k,
+        np.searchsorted(at[pair], np.arange(len(terms) + 1)), example[pair] // BLOCK, np.maximum.reduceat(own, pair) if len(pair) else own,
+        np.append(pair, len(at)), example, own, prior, float((none.sum() + prior) / (len(none) + 1)), k=k,
     )
 
 
