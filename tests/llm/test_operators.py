@@ -650,7 +650,7 @@ def test_toxicity(spark, toxic_rows):
 def test_toxicity_blocks(spark, toxic_rows, monkeypatch):
     """Small blocks, so that many are left out, and postings for all terms; the sample bounded by bytes."""
     monkeypatch.setattr(toxicity, "BLOCK", 2)
-    monkeypatch.setattr(toxicity, "ROUND", 3)
+    monkeypatch.setattr(toxicity, "ROUND", 10)
     rows, labels = toxic_rows
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     train = {i: y for i, y in labels.items() if i % 5}
