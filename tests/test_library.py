@@ -129,3 +129,18 @@ def test_stamp_and_scan(spark, tmp_path):
     assert dict(tables.scan_table(spark, f"{tmp_path}/t.tsv").dtypes) == {"a": "bigint", "b": "string", "c": "string", "d": "boolean"}
     with pytest.raises(ValueError):
         tables.scan_table(spark, "x.feather")
+
+
+def test_kinds_of_odd_numbers(spark):
+    """Casts decide what a number is; only texts that no cast can read are told by their look."""
+    texts = ["1", "-7", "+3", " 4 ", "\t5\n", "9223372036854775808", "1.", ".5", "1e3", "1.5E-3", "2d", "3F", "0x1p3", "NaN", "-inf", "Infinity", "-", "+", "e5", "1-2", "1_0", "chr1", "G1", "1 2", "0x", "", "--1", "1.2.3", "١", "1L"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    read = {r.x: "int" if r.n is not None else "float" if r.d is not None else "str" for r in df.select("x", F.col("x").try_cast("long").alias("n"), F.col("x").try_cast("double").alias("d")).collect()}
+    wide = spark.createDataFrame([tuple(texts)], ", ".join(f"c{i} string" for i in range(len(texts))))
+    assert {r.column: r.kind for r in scans.whole_file_kinds(wide).collect()} == {f"c{i}": read[t] for i, t in enumerate(texts)}
+    assert list(read.values()).count("str") > 10 and list(read.values()).count("int") == 5
+
+
+def test_no_cast_of_texts_that_are_no_numbers(spark):
+    plan = scans.whole_file_kinds(spark.createDataFrame([("chr1",)], "x string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast") == plan.count("RLIKE") == 2

@@ -135,11 +135,20 @@ def sequence_tiles(sequences: DataFrame, size: int) -> DataFrame:
     return sequences.select("contig", "seq", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("tile")).select("contig", "tile", F.expr(f"substr(seq, CAST(tile * {size} + 1 AS int), {size})").alias("seq"))
 
 
+#: What a text must look like that a cast can read: whole numbers; for double also decimal ones, hexadecimal ones, inf, infinity and nan. What stands
+#: around them (blanks, control characters) is left to the cast.
+_MAY = {
+    "long": r"^[^0-9A-Za-z.]*+[0-9]++[^0-9A-Za-z.]*$",
+    "double": r"^[^0-9A-Za-z.]*+(?:(?:[0-9]++\.?[0-9]*+|\.[0-9]++)(?:[eE][+-]?[0-9]++)?[fFdD]?|0[xX].*|(?i:nan|inf|infinity))[^0-9A-Za-z.]*$",
+}
+
+
 def whole_file_kinds(df: DataFrame) -> DataFrame:
     """For each text column the narrowest kind that holds all its values: bool, int, float, str or empty."""
     def kind(c: str) -> Column:
         v = F.when(F.col(c) != ".", F.col(c))
-        every = lambda k: F.bool_and(F.when(v.isNotNull(), v.try_cast(k).isNotNull()))
+        # a cast throws an exception inside for each text that it can't read, so most of these are told by their look first
+        every = lambda k: F.bool_and(F.when(v.isNotNull(), F.when(v.rlike(_MAY[k]), v.try_cast(k)).isNotNull()))
         yes = F.bool_and(F.when(v.isNotNull(), F.lower(v).isin("true", "false")))
         return F.when(F.count(v) == 0, "empty").when(yes, "bool").when(every("long"), "int").when(every("double"), "float").otherwise("str")
 
