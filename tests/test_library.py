@@ -144,3 +144,10 @@ def test_kinds_of_odd_numbers(spark):
 def test_no_cast_of_texts_that_are_no_numbers(spark):
     plan = scans.whole_file_kinds(spark.createDataFrame([("chr1",)], "x string"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("try_cast") == plan.count("RLIKE") == 2
+
+
+def test_formats_are_made_once(spark):
+    lines = spark.createDataFrame([("1\t5\tr1\tA\tC\t.\tPASS\tDB\tGT:GQ:DP\t0/1:7:.\t0/0",), ("1\t6\tr2\tA\tC\t.\tPASS\tDB\tGT:GQ:DP\t0/0:7:.\t./.",)], "value string")
+    found = scans.sample_format_columns(scans.vcf_records(lines, ["S0", "S1"]), ["S0", "S1"])
+    assert [(r.ID, r.GT_S0, r.GQ_S0, r.GT_S1, r.GQ_S1, r.FORMAT_S1["DP"]) for r in found.collect()] == [("r1", "0/1", "7", "0/0", ".", ".")]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("map_from_entries") == 2

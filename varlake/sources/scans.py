@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varlake.functions.values import attribute, bare_chrom
+from varlake.functions.values import attribute, bare_chrom, once
 
 BASE = ("CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER")
 
@@ -70,7 +70,10 @@ def explode_csq(df: DataFrame, fields: list[str], genes: DataFrame | None = None
 
 def sample_format_columns(df: DataFrame, samples: list[str], keys: tuple[str, ...] = ("GT", "GQ", "DP", "AD")) -> DataFrame:
     """GT_, GQ_, DP_, AD_ columns of the chosen samples; records in which none has allele 1 go."""
-    rows = df.withColumns({f"{k}_{s}": F.try_element_at(F.col(f"FORMAT_{s}"), F.lit(k)) for s in samples for k in keys})
+    made = [f"FORMAT_{s}" for s in samples]
+    # each map is made once, not again for each key and in the filter
+    rows = once(df, {f"__{m}": F.col(m) for m in made}, drop=made).withColumnsRenamed({f"__{m}": m for m in made})
+    rows = rows.withColumns({f"{k}_{s}": F.try_element_at(F.col(f"FORMAT_{s}"), F.lit(k)) for s in samples for k in keys})
     return rows.where(F.exists(F.array(*(F.col(f"GT_{s}") for s in samples)), lambda g: F.coalesce(F.contains(g, F.lit("1")), F.lit(False))))
 
 
