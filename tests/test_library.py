@@ -151,3 +151,11 @@ def test_formats_are_made_once(spark):
     found = scans.sample_format_columns(scans.vcf_records(lines, ["S0", "S1"]), ["S0", "S1"])
     assert [(r.ID, r.GT_S0, r.GQ_S0, r.GT_S1, r.GQ_S1, r.FORMAT_S1["DP"]) for r in found.collect()] == [("r1", "0/1", "7", "0/0", ".", ".")]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("map_from_entries") == 2
+
+
+def test_key_values_of_repeats(spark):
+    """Of a repeated key the last counts; the items are made once, not again for each of them."""
+    assert one(spark, "a=1: b = 2:c:a=x=3:d=", V.key_values) == {"b": "2", "a": "3", "d": ""}
+    assert one(spark, None, V.key_values) is None and one(spark, "a", V.key_values) == {}
+    plan = spark.createDataFrame([("a=1",)], "x string").select(V.key_values(F.col("x")).alias("m"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1

@@ -165,5 +165,5 @@ def _(spark, d):
 
 @query("scalar_key_values", "SELECT row_key, regexp_extract(utr5_annotation, 'KozakStrength=([^:]*)', 1) AS kozak, regexp_extract(utr5_annotation, 'alt_type=([^:]*)', 1) AS alt_type FROM {v_wide}")
 def _(spark, d):
-    fields = V.key_values(F.col("utr5_annotation"))
-    return table(spark, d, "v_wide").select(*KEY, fields["KozakStrength"].alias("kozak"), fields["alt_type"].alias("alt_type"))
+    rows_ = V.once(table(spark, d, "v_wide").select(*KEY, "utr5_annotation"), {"fields": V.key_values(F.col("utr5_annotation"))})
+    return rows_.select(*KEY, F.col("fields")["KozakStrength"].alias("kozak"), F.col("fields")["alt_type"].alias("alt_type"))
