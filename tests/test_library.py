@@ -159,3 +159,18 @@ def test_key_values_of_repeats(spark):
     assert one(spark, None, V.key_values) is None and one(spark, "a", V.key_values) == {}
     plan = spark.createDataFrame([("a=1",)], "x string").select(V.key_values(F.col("x")).alias("m"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(") == 1
+
+
+def test_cache_seed_works_out_once(spark):
+    cache = spark.createDataFrame([("1", 1, "A", "C", 0.5), ("1", 1, "A", "C", 0.5), (None, 2, "A", "C", 0.1)], "CHROM string, POS long, REF string, ALT string, score double")
+    made = spark.createDataFrame([("1", 1, "A", "C", 0.5), ("1", 3, "A", "C", None), (None, 2, "A", "C", 0.1)], cache.schema)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    got = joins.cache_seed(made.mapInArrow(count, made.schema), cache)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == [("1", 3, "A", "C", None), (None, 2, "A", "C", 0.1)]
+    assert got.columns == made.columns and seen.value == made.count()

@@ -134,10 +134,17 @@ def cache_make_segment(computed: DataFrame, misses: DataFrame, key: list[str] =
 
 def cache_seed(computed: DataFrame, cache: DataFrame, key: list[str] = ALLELE) -> DataFrame:
     """New sites for the cache. A shared site with another value is an error and nothing is added."""
-    shared = computed.join(cache.select(*key, F.col("score").alias("__old")), key).where(~F.col("score").eqNullSafe(F.col("__old")))
-    if not shared.isEmpty():
+    # local: sources come after operators
+    from varlake.sources.tables import scratch
+
+    # one join tells both; what is new, or differs, is written, so that computed is worked out once
+    both = computed.join(cache.select(*key, F.col("score").alias("__old"), F.lit(True).alias("__held")), key, "left")
+    path = scratch(computed.sparkSession)
+    both.where(F.col("__held").isNull() | ~F.col("score").eqNullSafe(F.col("__old"))).drop("__old").write.parquet(path)
+    found = computed.sparkSession.read.parquet(path)
+    if not found.where("__held").isEmpty():
         raise ValueError("the cache holds other values for shared sites")
-    return computed.join(cache.select(*key), key, "left_anti")
+    return found.select(*computed.columns)
 
 
 def cache_migrate(source: DataFrame, target: DataFrame, key: list[str] = ALLELE) -> DataFrame:
