@@ -174,3 +174,16 @@ def test_cache_seed_works_out_once(spark):
     got = joins.cache_seed(made.mapInArrow(count, made.schema), cache)
     assert sorted((tuple(r) for r in got.collect()), key=repr) == [("1", 3, "A", "C", None), (None, 2, "A", "C", 0.1)]
     assert got.columns == made.columns and seen.value == made.count()
+
+
+def test_segments_are_not_dealt_out(spark, tmp_path):
+    df = spark.createDataFrame([("1", n, 0.5) for n in range(50)], "CHROM string, POS long, score double")
+    sinks.append_segment(df, str(tmp_path), "v1", "s1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # a table that is too large for it
+    try:
+        found = sinks.valid_segments(spark.read.parquet(f"{tmp_path}/version=v1"), spark.read.parquet(f"{tmp_path}/manifest").drop("version"))
+        assert found.count() == 50
+        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        assert "BroadcastHashJoin [segment" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -66,4 +66,5 @@ def valid_segments(df: DataFrame, manifest: DataFrame, by: str = "segment") -> D
     values = [c for c in df.columns if c != by]
     found = df.groupBy(by).agg(F.count("*").alias("n_records"), F.bit_xor(F.xxhash64(*values)).alias("checksum"))
     good = found.join(manifest, [by, "n_records", "checksum"], "left_semi").select(by)
-    return df.join(good, by, "left_semi")
+    # a row a segment; dealt out by segment, one task would get all rows of one
+    return df.join(F.broadcast(good), by, "left_semi")
