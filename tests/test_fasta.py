@@ -5,8 +5,9 @@ import random
 from pyspark.sql import functions as F
 
 from varlake.functions.values import by_value
-from varlake.operators.builds import reference_allele_check
+from varlake.operators.builds import normalize_indel, reference_allele_check
 from varlake.sources.fasta import fasta_lines, fasta_tiles, write_fasta
+from varlake.sources.scans import sequence_tiles
 
 
 def plain(texts):
@@ -65,3 +66,12 @@ def test_by_value(spark):
         got = by_value(df, ["x", "y", "not there"], make, few)
         assert sorted(map(tuple, got.select("id", "x", "y", "z", "w").collect())) == plain_rows
     assert by_value(df.limit(0), ["x"], lambda rows: rows.withColumn("z", F.upper("x"))).count() == 0
+
+
+def test_fasta_lines_are_not_staged(spark, tmp_path):
+    """Lines are dealt out once for their sums and once as tiles; none of it is written in between."""
+    (tmp_path / "a.fa").write_text(">a b\nACGT\nAC\n>c\nG\n")
+    tiles = fasta_tiles(spark, f"{tmp_path}/a.fa", 4)
+    assert sorted(map(tuple, tiles.collect())) == [("a", 0, "ACGT"), ("a", 1, "AC"), ("c", 0, "G")]
+    plan = tiles._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" not in plan
