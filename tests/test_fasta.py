@@ -75,3 +75,17 @@ def test_fasta_lines_are_not_staged(spark, tmp_path):
     assert sorted(map(tuple, tiles.collect())) == [("a", 0, "ACGT"), ("a", 1, "AC"), ("c", 0, "G")]
     plan = tiles._jdf.queryExecution().optimizedPlan().toString()
     assert "parquet" not in plan
+
+
+def test_indels_of_repeated_keys(spark):
+    """A change is lifted once however many rows have it; keys may repeat. Few and many changes give the same."""
+    rows = [("k", "old", 5, "ACG", "", None), ("k", "old", 5, "ACG", "-", ""), ("m", "old", 7, "-", "TT", None), ("n", "other", 7, "-", "TT", None), ("o", "old", 9, "A", "C", None), (None, "old", None, None, None, "x:g.4_5delinsGG"), ("p", None, 5, "A", "", None)]
+    df = spark.createDataFrame(rows, "key string, chrom string, pos long, ref string, alt string, description string")
+    blocks = spark.sql("SELECT 'old' AS src, 0L AS src_start, 100L AS src_end, 'new' AS dst, 30L AS dst_start, '+' AS strand")
+    tiles = sequence_tiles(spark.sql("SELECT 'new' AS contig, repeat('ACGGTCATTGCAAGTC', 40) AS seq"), 16)
+    seq = "ACGGTCATTGCAAGTC" * 40
+    want = [("k", "new", 34, seq[33:37], seq[33])] * 2 + [("m", "new", 37, seq[36], seq[36] + "TT"), ("n", None, None, None, None), ("o", None, None, None, None), (None, "new", 33, seq[32:35], seq[32] + "GG"), ("p", None, None, None, None)]
+    many = spark.range(20_001).selectExpr("'q' AS key", "'old' AS chrom", "id + 1000 AS pos", "'A' AS ref", "'' AS alt", "CAST(NULL AS STRING) AS description")
+    for table in (df, df.union(many)):
+        got = normalize_indel(table, blocks, tiles, 16, 1000).where("NOT key <=> 'q'").select("key", "norm_chrom", "norm_pos", "norm_ref", "norm_alt")
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varlake.functions.values import bare_chrom, once, reverse_complement
+from varlake.functions.values import bare_chrom, by_value, once, reverse_complement
 from varlake.operators.joins import interval_join
 
 
@@ -63,7 +63,7 @@ def normalize_indel(df: DataFrame, blocks: DataFrame, tiles: DataFrame, size: in
 
     The description (g.10_12del, g.10del, g.10_11insACG, g.10_12delinsAC) counts first, else alleles of which one is empty or -. The base
     before the change is lifted through blocks, and bases are taken from tiles (contig, tile, seq; 1-based) of size bases.
-    key must be unique."""
+    """
     text = F.coalesce(F.trim("description"), F.lit(""))
     ref, alt = (F.when(F.trim(c) != "-", F.trim(c)).otherwise("") for c in ("ref", "alt"))
     ref, alt = F.coalesce(ref, F.lit("")), F.coalesce(alt, F.lit(""))
@@ -79,15 +79,22 @@ def normalize_indel(df: DataFrame, blocks: DataFrame, tiles: DataFrame, size: in
     start = F.coalesce(first, single, F.when(found(between, 3).isNotNull(), found(between, 1).cast("long")), F.col("pos").cast("long"))
     gone = F.when(kind == "ins", 0).otherwise(F.coalesce(last - first + 1, F.when(single.isNotNull(), 1), F.length(ref)))
     put = F.when(first.isNotNull(), F.coalesce(found(r"ins([ACGTN]+)", 1), F.lit(""))).when(single.isNotNull(), "").when(named, found(between, 3)).otherwise(F.when(kind == "ins", alt).otherwise(""))
-    rows = once(df.select("key", "chrom", "pos", "ref", "alt", "description"), {"__kind": kind, "__at": F.when(kind == "del", start - 1).otherwise(start), "__gone": gone.cast("long"), "__put": put})
-    rows = rows.where("__kind IS NOT NULL AND __at IS NOT NULL").select("key", "chrom", "__at", "__gone", "__put")
-    lifted = liftover(rows.select("key", "chrom", (F.col("__at") - 1).alias("pos"), F.lit("N").alias("ref"), F.lit("N").alias("alt")), blocks, bin_size).where("reason IS NULL")
-    rows = rows.drop("chrom").join(lifted.select("key", "lifted_chrom", (F.col("lifted_pos") + 1).alias("lifted_pos")), "key")
-    # the preceding base and what is deleted, from as many tiles as they touch
-    low, high = (F.floor((c - 1) / size) for c in (F.col("lifted_pos"), F.col("lifted_pos") + F.col("__gone")))
-    wanted = rows.withColumn("tile", F.explode(F.sequence(low, high))).withColumnRenamed("lifted_chrom", "contig")
-    pieces = wanted.join(tiles, ["contig", "tile"]).groupBy("key", "contig", "lifted_pos", "__gone", "__put").agg(F.array_sort(F.collect_list(F.struct("tile", "seq"))).alias("__t"))
-    joined = F.array_join(F.transform("__t", lambda x: x["seq"]), "")
-    bases = F.upper(F.substr(joined, (F.col("lifted_pos") - 1 - F.col("__t")[0]["tile"] * size + 1).cast("int"), (F.col("__gone") + 1).cast("int")))
-    pieces = pieces.select("key", F.col("contig").alias("norm_chrom"), F.col("lifted_pos").alias("norm_pos"), bases.alias("norm_ref"), F.concat(F.left(bases, F.lit(1)), "__put").alias("norm_alt")).where("norm_ref <> ''")
-    return df.join(pieces, "key", "left")
+    rows = once(df, {"__kind": kind, "__at": F.when(kind == "del", start - 1).otherwise(start), "__gone": gone.cast("long"), "__put": put})
+    changes = ["chrom", "__at", "__gone"]
+
+    def placed(rows: DataFrame) -> DataFrame:
+        """__norm: place and bases in the target of each change, which is lifted once however many rows have it."""
+        wanted = rows.where("__kind AND __at IS NOT NULL").select(*changes).distinct()
+        lifted = liftover(wanted.select(*changes, (F.col("__at") - 1).alias("pos"), F.lit("N").alias("ref"), F.lit("N").alias("alt")), blocks, bin_size).where("reason IS NULL")
+        found = lifted.select(*changes, F.col("lifted_chrom").alias("contig"), (F.col("lifted_pos") + 1).alias("lifted_pos"))
+        # the preceding base and what is deleted, from as many tiles as they touch
+        low, high = (F.floor((c - 1) / size) for c in (F.col("lifted_pos"), F.col("lifted_pos") + F.col("__gone")))
+        pieces = found.withColumn("tile", F.explode(F.sequence(low, high))).join(tiles, ["contig", "tile"]).groupBy(*changes, "contig", "lifted_pos").agg(F.array_sort(F.collect_list(F.struct("tile", "seq"))).alias("__t"))
+        joined = F.array_join(F.transform("__t", lambda x: x["seq"]), "")
+        bases = F.upper(F.substr(joined, (F.col("lifted_pos") - 1 - F.col("__t")[0]["tile"] * size + 1).cast("int"), (F.col("__gone") + 1).cast("int")))
+        pieces = pieces.select(*changes, F.struct(F.col("contig").alias("chrom"), F.col("lifted_pos").alias("pos"), bases.alias("ref")).alias("__norm")).where("__norm.ref <> ''")
+        return rows.join(pieces, changes, "left").select(*rows.columns, F.when(F.col("__kind"), F.col("__norm")).alias("__norm"))
+
+    rows = by_value(rows.withColumn("__kind", F.col("__kind").isNotNull()), ["__kind", *changes], placed)
+    norm = F.col("__norm")
+    return rows.select(*df.columns, norm["chrom"].alias("norm_chrom"), norm["pos"].alias("norm_pos"), norm["ref"].alias("norm_ref"), F.concat(F.left(norm["ref"], F.lit(1)), "__put").alias("norm_alt"))
