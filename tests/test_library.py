@@ -187,3 +187,10 @@ def test_segments_are_not_dealt_out(spark, tmp_path):
         assert "BroadcastHashJoin [segment" in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_numbers_as_text(spark):
+    for value, digits in ((0.5, 0), (0.125, 2), (-0.04, 1), (-0.0, 1), (2.5, 1), (-97.25, 1), (1e20, 1), (1e40, 1), (float("nan"), 2), (float("inf"), 1), (0.00005, 4), (123456.785, 2)):
+        same = lambda x: F.format_string(f"%.{digits}f", F.bround(x, digits))  # noqa: E731, B023
+        assert one(spark, value, lambda x: V.fixed_text(x, digits), "double") == one(spark, value, same, "double")  # noqa: B023
+    assert one(spark, None, lambda x: V.fixed_text(x, 1), "double") is None
