@@ -194,3 +194,11 @@ def test_numbers_as_text(spark):
         same = lambda x: F.format_string(f"%.{digits}f", F.bround(x, digits))  # noqa: E731, B023
         assert one(spark, value, lambda x: V.fixed_text(x, digits), "double") == one(spark, value, same, "double")  # noqa: B023
     assert one(spark, None, lambda x: V.fixed_text(x, 1), "double") is None
+
+
+def test_listed_numbers(spark):
+    """The sign for none is null without a cast, in lists and packed entries alike."""
+    assert one(spark, "0.5&.&x&-1&nan", lambda x: V.numbers(F.split(x, "&"))) == [0.5, -1.0]
+    assert [one(spark, t, V.listed_number) for t in ("0.25", ".", "", None, "bad")] == [0.25, None, None, None, None]
+    plan = spark.createDataFrame([(".",)], "x string").select(V.numbers(F.split("x", "&")).alias("n"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN NOT" in plan
