@@ -202,3 +202,34 @@ def test_listed_numbers(spark):
     assert [one(spark, t, V.listed_number) for t in ("0.25", ".", "", None, "bad")] == [0.25, None, None, None, None]
     plan = spark.createDataFrame([(".",)], "x string").select(V.numbers(F.split("x", "&")).alias("n"))._jdf.queryExecution().optimizedPlan().toString()
     assert "CASE WHEN NOT" in plan
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_numbers_are_not_written_to_be_read(spark):
+    """Doubles and integers say the same as their texts do, also where they are no numbers, and are not cast to texts."""
+    nan = float("nan")
+    cells = [(29.5, None, 60, nan, "PASS"), (None, None, None, None, None), (nan, 2.0, 60, 40.0, "."), (30.0, 1.9, 0, 39.9, " q10 ")]
+    numbers = spark.createDataFrame(cells, "QUAL double, QD double, FS int, MQ double, FILTER string")
+    texts = numbers.select(*(F.col(c).cast("string").alias(c) for c in numbers.columns))
+    got, want = ([(r.QC_STATUS, r.QC_DETAIL) for r in rows.qc_status(df).collect()] for df in (numbers, texts))
+    assert got == want and [s for s, _ in got] == ["LOW_QUAL", "UNSCORED", "PASS", "LOW_QUAL"]
+    values = [(0.5, None), (nan, 0.25), (None, None), (7.0, nan), (None, 0.0)]
+    numbers = spark.createDataFrame(values, f"{status.GRPMAX} double, {status.JOINT} double")
+    texts = numbers.select(*(F.col(c).cast("string").alias(c) for c in numbers.columns))
+    states = [[tuple(r)[-3:] for r in status.resolve_population_af(df).collect()] for df in (numbers, texts)]
+    assert states[0] == states[1]
+    assert "as string" not in optimized(status.resolve_population_af(numbers))
+
+
+def test_terms_and_events_without_patterns(spark):
+    df = spark.createDataFrame([("frameshift_variant", "Likely_pathogenic"), ("splice_donor_variant", "not pathogenicity"), ("x", "Benign|Conflicting"), (None, None)], "Consequence string, CLINVAR_SELECTED_CLNSIG string")
+    terms = scores._terms(df)
+    assert [tuple(r) for r in terms.select("__lof", "__functional", "__pathogenic", "__benign").collect()] == [(True, True, True, False), (True, True, False, False), (False, False, False, False), (False, False, False, False)]
+    assert "stop_gained|frameshift" not in optimized(terms)
+    for text, state in (("1:CD:1", "aberrant_event_detected"), (" ,&..", "aberrant_event_detected"), (", .&", "not_covered"), (".", "not_covered"), ("", "not_covered"), (None, "not_covered")):
+        assert splicing.splicevault_decode(spark.createDataFrame([(text,)], "SpliceVault_top_events string")).first().SpliceVault_status == state
+    for text, score in (("G|1:0.5|-4:-0.75&H|1:0.9", 0.75), ("G|1:2:0.5|3:nan|bad|4:1.5", None), ("G|1:1", 1.0), ("G|1:x|2:0.1,", 0.1)):
+        assert splicing.pangolin_unpack(spark.createDataFrame([(text, "G.1")], "Pangolin string, Gene string")).first().Pangolin_max_score == score
