@@ -208,6 +208,17 @@ def optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_filters_do_not_repeat_the_impact(spark):
+    """The filter on NEW_IMPACT reads the column; it does not hold all that the impact is made of once more."""
+    from varlake.plans.pipeline import prioritise
+
+    df = spark.createDataFrame([("chr1", 5, "A", "C", "LOW", "missense_variant", 0.001, 0.3, 0.1)], f"CHROM string, POS long, REF string, ALT string, IMPACT string, Consequence string, {status.GRPMAX} double, spliceAI_MAX double, Pangolin_max_score double")
+    done = prioritise(df, below=0.01, impacts=["HIGH", "MODERATE"]).select("NEW_IMPACT", "PRIORITY_TIER")
+    assert [r.NEW_IMPACT for r in done.collect()] == ["MODERATE"]
+    filters = [line for line in optimized(done).split("\n") if "Filter" in line and "NEW_IMPACT" in line or "Filter" in line and "MODERATE" in line]
+    assert filters and not any("Pangolin" in line for line in filters)
+
+
 def test_numbers_are_not_written_to_be_read(spark):
     """Doubles and integers say the same as their texts do, also where they are no numbers, and are not cast to texts."""
     nan = float("nan")
