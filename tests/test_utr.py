@@ -120,3 +120,16 @@ def test_spliced_without_a_tile(spark):
     tiles = spark.createDataFrame([(1, 0, "ACGTACGTAC"), (1, 2, "TTTTTTTTTT")], "contig long, tile long, seq string")
     pieces = spark.createDataFrame([("a", 1, 1, 3, 5), ("b", 1, -1, 8, 10), ("b", 1, -1, 21, 22), ("c", 1, 1, 9, 12)], "k string, contig long, strand int, start long, end long")
     assert sorted((r.k, r.seq) for r in utr.spliced(pieces, tiles, 10, ["k"]).collect()) == [("a", "GTA"), ("b", "AAGTA")]
+
+
+def test_stops_are_found_without_lists(spark):
+    """The first stop in frame is that of the list of all stops, and the effect of a variant needs neither lists nor generators."""
+    random.seed(5)
+    seqs = ["".join(random.choice("ACGTTAGAN") for _ in range(n)) for n in (0, 2, 3, 5, 40, 90, 200) for _ in range(4)]
+    df = spark.createDataFrame([(s, i) for s in seqs for i in range(len(s))], "seq string, start int")
+    got = df.select("seq", "start", utr.stop_after(F.col("seq"), F.col("start")).alias("stop"), utr.first_stop(utr.codons(F.col("seq"), "|".join(STOPS)), F.col("start")).alias("listed")).collect()
+    assert all(r.stop == r.listed == stop_after(r.seq, r.start) for r in got) and any(r.stop is not None for r in got) and any(r.stop is None for r in got)
+    frames = spark.createDataFrame([("t", "c", 1, [(1, 40)], "A" * 40, "C", [], 0, 0, 0)], "transcript string, contig string, strand int, pieces array<struct<start: bigint, end: bigint>>, utr string, cds string, orfs array<struct<start: int, stop: int, far: int, evidence: string>>, existing_uORFs int, existing_OutOfFrame_oORFs int, existing_InFrame_oORFs int")
+    variants = spark.createDataFrame([("t", 5, "A", "ATG")], "transcript string, pos long, ref string, alt string")
+    plan = utr.uorf_effect(variants, frames)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "split(" not in plan

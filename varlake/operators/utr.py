@@ -50,6 +50,12 @@ def first_stop(stops: Column, start: Column) -> Column:
     return F.array_min(F.filter(stops, lambda m: (m >= start) & ((m - start) % 3 == 0)))
 
 
+def stop_after(seq: Column, start: Column) -> Column:
+    """The first stop codon of a sequence in frame with start, as first_stop has it, found without a list of all stops."""
+    until = F.regexp_extract(F.substr(seq, start + 1), f"(?s)^(?:...)*?(?:{'|'.join(STOPS)})", 0)
+    return F.when(until != "", start + F.length(until) - 3)
+
+
 def kozak(seq: Column, start: Column) -> Column:
     """context and strength of the start codon at a place: three bases before and one after it count."""
     first, last = F.substr(seq, start - 2, F.lit(1)), F.substr(seq, start + 4, F.lit(1))
@@ -134,28 +140,31 @@ def uorf_effect(variants: DataFrame, frames: DataFrame, max_overlap: float = 100
     last = F.col("pos") + F.greatest(F.col("n_ref"), F.lit(1)) - 1
     covered = lambda p: (F.least(p["end"], last) - F.greatest(p["start"], F.col("pos"))) * 100 / (p["end"] - p["start"] + 1)
     forward = F.when(F.col("alt") == "-", "").otherwise(F.upper("alt"))
-    rows = once(rows, {"n_ref": size("ref"), "put": F.when(F.col("strand") < 0, reverse_complement(forward)).otherwise(forward)})
-    rows = once(rows, {"pieces": F.filter("pieces", lambda p: ~(covered(p) >= max_overlap)), "end": F.col("pos") + F.col("n_ref") - 1, "n_put": F.length("put")}, drop=["pieces"])
+    # columns, not once: each is used more than once, so that no projection takes it over, and a generator is not compiled
+    rows = rows.withColumns({"n_ref": size("ref"), "put": F.when(F.col("strand") < 0, reverse_complement(forward)).otherwise(forward)})
+    rows = rows.withColumns({"pieces": F.filter("pieces", lambda p: ~(covered(p) >= max_overlap)), "end": F.col("pos") + F.col("n_ref") - 1, "n_put": F.length("put")})
     minus = F.col("strand") < 0
     at = place(F.col("pieces"), F.col("strand"), F.when(minus, F.col("end")).otherwise(F.col("pos")))
     to = place(F.col("pieces"), F.col("strand"), F.when(minus, F.col("pos")).otherwise(F.col("end")))
-    rows = once(rows, {"at": at, "to": F.when(F.col("n_ref") == 0, at).otherwise(to)})
+    rows = rows.withColumn("at", at)
+    # of a change of one base or none both ends are one
+    rows = rows.withColumn("to", F.when(F.col("n_ref") <= 1, F.col("at")).otherwise(to))
     inside = F.col("at").isNotNull() & F.col("to").isNotNull()
-    rows = once(rows, {"changed": F.when(inside, F.concat(F.substr("utr", F.lit(1), F.col("at")), "put", F.substr("utr", F.col("at") + F.col("n_ref") + 1)))})
+    rows = rows.withColumns({"changed": F.when(inside, F.concat(F.substr("utr", F.lit(1), F.col("at")), "put", F.substr("utr", F.col("at") + F.col("n_ref") + 1)))})
     far = F.concat("changed", F.coalesce("cds", F.lit("")))
-    rows = once(rows, {"new_stops": codons(F.col("changed"), "|".join(STOPS)), "new_far": codons(far, "|".join(STOPS)), "length": F.length("utr"), "new_length": F.length("changed")})
+    rows = rows.withColumns({"new_far": far, "length": F.length("utr"), "new_length": F.length("changed")})
     length, new_length, n_ref, n_put = (F.col(c) for c in ("length", "new_length", "n_ref", "n_put"))
     begin, end = F.col("at"), F.col("to")
 
     low = F.greatest(begin - 2, F.lit(0))
     window = F.substr("changed", low + 1, begin + n_ref + 2 - low)
     gained = low + F.instr(window, START) - 1
-    rows = once(rows, {"gain": F.when(F.contains(window, F.lit(START)), gained)})
+    rows = rows.withColumns({"gain": F.when(F.contains(window, F.lit(START)), gained)})
     gain = F.col("gain")
     near = kozak(F.col("changed"), gain)
     gains = F.when(gain.isNotNull(), F.array(_entry(GAINED, {
-        "CapDistanceToStart": gain, "DistanceToCDS": new_length - gain, "DistanceToStop": _or_na(first_stop(F.col("new_far"), gain) - gain), "KozakContext": near["context"], "KozakStrength": near["strength"],
-        "type": kind(first_stop(F.col("new_stops"), gain).isNotNull(), new_length - gain, "inFrame_oORF")})))
+        "CapDistanceToStart": gain, "DistanceToCDS": new_length - gain, "DistanceToStop": _or_na(stop_after(F.col("new_far"), gain) - gain), "KozakContext": near["context"], "KozakStrength": near["strength"],
+        "type": kind(stop_after(F.col("changed"), gain).isNotNull(), new_length - gain, "inFrame_oORF")})))
 
     def codon(start: Column) -> Column:
         return F.substr("changed", start + 1, F.lit(3))
@@ -176,7 +185,7 @@ def uorf_effect(variants: DataFrame, frames: DataFrame, max_overlap: float = 100
         return (begin >= o["start"] + 3) & (end <= F.coalesce(o["stop"] - 1, length - 1))
 
     def new_stop(o: Column) -> Column:
-        return first_stop(F.col("new_stops"), o["start"])
+        return stop_after(F.col("changed"), o["start"])
 
     losses = of(LOST, lambda o: begin.between(o["start"], o["start"] + 2) & ((n_put == 0) | (codon(o["start"]) != START)), lambda o: {
         "type": ref_kind(o), "CapDistanceToStart": o["start"], "DistanceToCDS": length - o["start"], "DistanceToStop": _or_na(o["far"] - o["start"])})
@@ -187,11 +196,11 @@ def uorf_effect(variants: DataFrame, frames: DataFrame, max_overlap: float = 100
         "FrameWithCDS": F.when((new_length - o["start"]) % 3 != 0, "outOfFrame").otherwise("inFrame")})
     shifts = of(FRAMESHIFT, lambda o: within(o) & (F.abs(n_ref - n_put) % 3 != 0), lambda o: {
         "ref_type": ref_kind(o), "ref_type_length": _or_na(o["far"] - o["start"] + 3), "ref_StartDistanceToCDS": length - o["start"],
-        "alt_type": kind(new_stop(o).isNotNull(), new_length - o["start"]), "alt_type_length": _or_na(first_stop(F.col("new_far"), o["start"]) - o["start"] + 3)})
+        "alt_type": kind(new_stop(o).isNotNull(), new_length - o["start"]), "alt_type_length": _or_na(stop_after(F.col("new_far"), o["start"]) - o["start"] + 3)})
 
     none = F.array().cast("array<string>")
     effects = {GAINED: gains, LOST: losses, STOP_GAINED: stop_gains, STOP_LOST: stop_losses, FRAMESHIFT: shifts}
-    rows = once(rows, {f"e{i}": F.when(F.col("changed").isNotNull(), F.coalesce(e, none)).otherwise(none) for i, e in enumerate(effects.values())})
+    rows = rows.withColumns({f"e{i}": F.when(F.col("changed").isNotNull(), F.coalesce(e, none)).otherwise(none) for i, e in enumerate(effects.values())})
     terms = F.concat_ws(",", *(F.when(F.size(f"e{i}") > 0, t) for i, t in enumerate(effects)))
     entries = F.array_join(F.concat(*(F.col(f"e{i}") for i in range(len(effects)))), ",")
     known = F.col("utr").isNotNull() & (F.size("pieces") > 0)
