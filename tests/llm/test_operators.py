@@ -373,6 +373,28 @@ def test_near_duplicates_null_and_repeated_ids(spark):
     assert len(got) == len(rows) and by == {5: 5, None: 5, 9: 5, 7: 7, 8: 7} | {20 + k: 5 for k in range(30)}
 
 
+def test_walk_compares_children_in_one_go():
+    """A walk finds the pairs that a bitmap bound leaves, in few steps: fewer than there are pairs of sets."""
+    import numpy as np
+
+    class Counted(np.ndarray):
+        asked = 0
+
+        def __getitem__(self, at):
+            Counted.asked += 1
+            return np.asarray(super().__getitem__(at))
+
+    random = np.random.default_rng(3)
+    sets = [random.integers(0, 1 << 63, 60).astype(np.uint64) for _ in range(100)]
+    sets += [np.concatenate([s[:57], random.integers(0, 1 << 63, 3).astype(np.uint64)]) for s in sets[:10]]
+    maps, sizes, names = np.stack([jaccard.token_bitmap(s) for s in sets]), np.full(len(sets), 60), np.arange(len(sets))
+    whole, left, right = (jaccard.SignatureTree(maps[r], sizes[r], names[r]) for r in (names, names[:3], names[3:]))
+    found = {tuple(sorted(pair)) for pair in jaccard.walk(whole, whole, 80, 100, names.copy().view(Counted))}
+    assert found >= {(k, 100 + k) for k in range(10)} and Counted.asked < len(sets) * (len(sets) - 1) // 2 / 4
+    across = {pair for pair in jaccard.walk(left, right, 80, 100, names)}
+    assert across == {pair for pair in found if pair[0] < 3 <= pair[1]}
+
+
 def test_near_duplicates_empty(spark):
     assert jaccard.near_duplicates(empty(spark)).count() == 0
 

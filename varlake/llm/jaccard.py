@@ -116,10 +116,15 @@ class SignatureTree:
             self.levels.append((np.bitwise_or.reduceat(maps, cut), np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut), np.maximum.reduceat(lost, cut)))
 
 
+def _below(level: int, node: int, down: bool, tree: SignatureTree) -> tuple[int, int, int]:
+    """Level and range of a node's children, or of the node itself."""
+    return (level - 1, node * FANOUT, min((node + 1) * FANOUT, len(tree.levels[level - 1][0]))) if down and level else (level, node, node + 1)
+
+
 def walk(a: SignatureTree, b: SignatureTree, num: int, den: int, labels: np.ndarray) -> Iterator[tuple[int, int]]:
     """Pairs of sets that may reach num / den, from walking both trees at once; of one tree with itself, each pair once. Sets are
     numbered as labels are, which tell those that are joined (the caller joins while this runs): pairs of nodes whose
-    sets are all joined are not descended either."""
+    sets are all joined are not descended. The children of two nodes are compared in one go, FANOUT x FANOUT at most."""
     same = a is b
     stack = [(len(a.levels) - 1, 0, len(b.levels) - 1, 0)]
     while stack:
@@ -127,24 +132,23 @@ def walk(a: SignatureTree, b: SignatureTree, num: int, den: int, labels: np.ndar
         own, other = labels[a.sets[i * FANOUT**la : (i + 1) * FANOUT**la]], labels[b.sets[j * FANOUT**lb : (j + 1) * FANOUT**lb]]
         if own[0] == other[0] and (own == own[0]).all() and (other == own[0]).all():
             continue
-        ma, low_a, high_a, lost_a = (x[i] for x in a.levels[la])
-        mb, low_b, high_b, lost_b = (x[j] for x in b.levels[lb])
-        if high_a * den < low_b * num or high_b * den < low_a * num:
-            continue  # sizes too far apart
-        overlap = min(high_a, high_b, int(np.bitwise_count(ma & mb).sum()) + min(lost_a, lost_b))
-        if overlap * (den + num) < num * (low_a + low_b):
-            continue  # the largest possible overlap is too small
-        if la == lb == 0:
-            if not same or i < j:
-                yield int(a.sets[i]), int(b.sets[j])
+        (p, x, x_end), (q, y, y_end) = _below(la, i, la >= lb, a), _below(lb, j, lb >= la, b)
+        ma, low_a, high_a, lost_a = (v[x:x_end] for v in a.levels[p])
+        mb, low_b, high_b, lost_b = (v[y:y_end] for v in b.levels[q])
+        low_a, high_a, lost_a = low_a[:, None], high_a[:, None], lost_a[:, None]
+        near = (high_a * den >= low_b * num) & (high_b * den >= low_a * num)  # sizes not too far apart
+        overlap = np.bitwise_count(ma[:, None] & mb).sum(2, dtype=np.int64) + np.minimum(lost_a, lost_b)
+        overlap = np.minimum(overlap, np.minimum(high_a, high_b))
+        near &= overlap * (den + num) >= num * (low_a + low_b)  # the largest possible overlap is large enough
+        if same:  # each pair of nodes from one side, no set with itself
+            near &= np.arange(x, x_end)[:, None] < np.arange(y, y_end) + (p > 0)
+        left = [(p, x + int(k), q, y + int(m)) for k, m in zip(*np.nonzero(near))]
+        if p or q:
+            stack += left[::-1]
             continue
-        if la >= lb:
-            below = [(la - 1, k, lb, j) for k in range(i * FANOUT, min((i + 1) * FANOUT, len(a.levels[la - 1][0])))]
-        else:
-            below = [(la, i, lb - 1, k) for k in range(j * FANOUT, min((j + 1) * FANOUT, len(b.levels[lb - 1][0])))]
-        if same:  # nodes wholly before the other's are met from the other side
-            below = [(p, x, q, y) for p, x, q, y in below if x * FANOUT**p < (y + 1) * FANOUT**q]
-        stack += below[::-1]
+        for _, k, _, m in left:
+            if labels[a.sets[k]] != labels[b.sets[m]]:
+                yield int(a.sets[k]), int(b.sets[m])
 
 
 def links(maps: list[np.ndarray], sizes: np.ndarray, sides: np.ndarray, labels: np.ndarray, num: int, den: int, sets: list[np.ndarray] | None = None) -> list[tuple[int, int]]:
