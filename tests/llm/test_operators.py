@@ -4,10 +4,12 @@ import base64
 import hashlib
 import random
 import re
+import time
+from pathlib import Path
 
 import pytest
 
-from varlake.llm import bpe, chat, decontaminate, fingerprint, jaccard, lines, markup, substrings, toxicity, warc
+from varlake.llm import bpe, chat, common, decontaminate, fingerprint, jaccard, lines, markup, substrings, toxicity, warc
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
 
@@ -823,3 +825,39 @@ def test_components(spark, monkeypatch):
         monkeypatch.setattr(common, "SMALL", small)
         assert {r.node: r.component for r in common.components(df).collect()} == expected
         assert common.components(df.limit(0)).count() == 0
+
+
+def test_stage_leaves_no_shuffle_files(spark):
+    """A write's shuffle files go at its end, and the session's setting is as before."""
+    def files():
+        return {f for f in Path(spark.conf.get("spark.local.dir")).rglob("shuffle_*.data")}
+
+    before = files()
+    df = common.stage(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count(), "test")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and {r.k: r["count"] for r in df.collect()} == {k: len(range(k, 1000, 7)) for k in range(7)}
+    assert spark.conf.get(common.CLEANUP, None) is None or spark.conf.get(common.CLEANUP) == "false"
+
+
+def test_sets_are_written_once(spark, monkeypatch):
+    """A set that lies in several groups is not written for each of them, neither its bits nor its hashes, nor is a line."""
+    written, stage = [], common.stage
+
+    def noted(df, name):
+        written.append((name, set(df.columns)))
+        return stage(df, name)
+
+    for module in (common, jaccard, lines):
+        monkeypatch.setattr(module, "stage", noted)
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(900)}" for _ in range(150)]
+    rows = [(i, " ".join(base[:k] + [f"x{i}"] + base[k + 1 :])) for i, k in enumerate([5, 45, 85, 125])] + [(9, "far from all of the others")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()}
+    assert got == {i: c for i, (_, c) in brute_components(rows, 5, 80, 100).items()}
+    assert {r.doc_id for r in lines.dedup_lines(docs).where("n_removed = 0").collect()} == {0, 9}
+    large = [columns for _, columns in written if columns & {"bits", "hashes", "normal"}]
+    assert len(large) == 3 and not any("component" in columns for columns in large)

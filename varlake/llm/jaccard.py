@@ -271,11 +271,11 @@ def near_duplicates(documents: DataFrame, n: int = 5, threshold: tuple[int, int]
         """A document that brings each class's set."""
         return stage(classes.join(wanted, "class", "left_semi").select("class", F.coalesce("doc_id", F.lit(_NULL)).alias("doc_id")), "bearers")
 
-    named = members.join(carried(documents, bearers(members.select("class")), n, lower, "bits"), "class").withColumnRenamed("class", "node")
-    candidates = component_links(named, lambda rows, deal: tree_links(rows, deal, num, den, "bits"), CHUNK, num, den, counted=members)
-    candidates = stage(components(candidates), "candidates").withColumnRenamed("node", "class")
-    named = candidates.join(carried(documents, bearers(candidates.select("class")), n, lower, "hashes"), "class").withColumnRenamed("class", "node")
-    found = component_links(named, lambda rows, deal: tree_links(rows, deal, num, den, "hashes"), CHUNK, num, den, counted=candidates)
+    named, sets_of = members.withColumnRenamed("class", "node"), carried(documents, bearers(members.select("class")), n, lower, "bits").withColumnRenamed("class", "node")
+    candidates = component_links(named, lambda rows, deal: tree_links(rows, deal, num, den, "bits"), CHUNK, num, den, carried=sets_of)
+    candidates = stage(components(candidates), "candidates")
+    sets_of = carried(documents, bearers(candidates.select(F.col("node").alias("class"))), n, lower, "hashes").withColumnRenamed("class", "node")
+    found = component_links(candidates, lambda rows, deal: tree_links(rows, deal, num, den, "hashes"), CHUNK, num, den, carried=sets_of)
     groups = components(found).withColumnRenamed("node", "class")
     named = classes.join(groups, "class", "left").withColumn("component", F.coalesce("component", "class"))
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
