@@ -310,6 +310,46 @@ def test_walk_through_words_bounds_the_edit_distance():
         assert lines._rewritten(x, x) == 0
 
 
+def test_many_edit_distances_at_once(monkeypatch):
+    """Right for every length and script, and no pair of usual length is worked on alone."""
+    rng, pairs = random.Random(8), []
+    for k in range(1200):
+        n = rng.choice((0, 1, 2, 20, 63, 64, 65, 128, 129, 200, 300))
+        a = "".join(rng.choice("abcdefgh \u00e9\u6f22\U0001f600") for _ in range(n))
+        b = list(a) if k % 5 else [rng.choice("abcdef ") for _ in range(n)]
+        for _ in range(rng.randint(0, n // 3 + 1)):
+            c = rng.randint(0, len(b))
+            b[c : c + rng.randint(0, 1)] = rng.choice(("", "x", "ab"))
+        pairs.append((a, "".join(b), max(0, n // 5 + rng.randint(-2, 2))))
+    assert lines.within(pairs).tolist() == [plain_distance(a, b) <= most for a, b, most in pairs]
+    assert lines.within([]).tolist() == [] and lines.within([("", "", 0), ("a", "", 0), ("", "ab", 2)]).tolist() == [True, False, True]
+    monkeypatch.setattr(lines, "CELLS", 2000)  # tables of several parts
+    assert lines.within(pairs[:100]).tolist() == [plain_distance(a, b) <= most for a, b, most in pairs[:100]]
+    monkeypatch.undo()
+    alone = []
+    monkeypatch.setattr(lines, "edit_distance", lambda a, b, most: alone.append(a) or plain_distance(a, b))
+    lines.within([p for p in pairs if 100 < len(p[0]) and 100 < len(p[1]) <= 180])
+    assert not alone
+
+
+def test_line_dedup_of_a_key_with_more_rows_than_a_batch(spark, monkeypatch):
+    """Rows of a key come in any order of their SimHashes: groups of more lines than one batch and than GROUP are found all the same."""
+    rng = random.Random(9)
+    base = sentence(rng, 40).split()
+    rows = [(k, " ".join(w if (i * 7 + k) % 41 else f"new{k}" for i, w in enumerate(base))) for k in range(120)] + [(1000 + k, sentence(rng, 12)) for k in range(40)]
+    docs_ = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    expected = {r.doc_id: r.n_removed for r in lines.dedup_lines(docs_).collect()}
+    assert sum(expected.values()) == 119
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for batch, group in (("7", lines.GROUP), ("7", 16)):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            monkeypatch.setattr(lines, "GROUP", group)
+            assert {r.doc_id: r.n_removed for r in lines.dedup_lines(docs_).collect()} == expected
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_edit_distance():
     rng = random.Random(3)
 
