@@ -310,6 +310,15 @@ def test_walk_through_words_bounds_the_edit_distance():
         assert lines._rewritten(x, x) == 0
 
 
+def test_line_groups_leave_out_lines_of_no_group(spark):
+    """First occurrences are given of repeated and of like lines only; lines that occur once and are like no other are not shuffled for them."""
+    rows = [(1, "one line of its own here\nsame words again and again today"), (2, "same words again and again today\nthe quick brown fox jumps over the dog"), (3, "the quick brown fox jumps over the cat\nquite another sentence without a pair")]
+    occurrences, firsts = lines.line_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    names = {(r.doc, r.number): r.line for r in occurrences.collect()}
+    got = {r.line: (r.first.doc, r.first.number) for r in firsts.collect()}
+    assert got == {names[1, 1]: (1, 1), names[2, 1]: (2, 1), names[3, 0]: (2, 1)} and names[1, 1] == names[2, 0]
+
+
 def test_many_edit_distances_at_once(monkeypatch):
     """Right for every length and script, and no pair of usual length is worked on alone."""
     rng, pairs = random.Random(8), []
