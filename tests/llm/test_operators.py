@@ -359,6 +359,55 @@ def test_line_dedup_of_a_key_with_more_rows_than_a_batch(spark, monkeypatch):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
 
+def test_keys_held_by_a_task_stay_few(spark, monkeypatch):
+    """Keys are dealt out to as many tasks as their number asks for; a task that holds many drops repeated ones and lets those of large
+    groups go, which changes no result."""
+    rng = random.Random(10)
+    base = sentence(rng, 40).split()
+    rows = [(k, " ".join(w if (i * 7 + k) % 41 else f"new{k}" for i, w in enumerate(base))) for k in range(90)] + [(500 + k, sentence(rng, 9)) for k in range(60)] + [(600 + k, sentence(rng, 9)) for k in range(2)] * 3
+    docs_ = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    expected = sorted((r.doc_id, r.n_removed) for r in lines.dedup_lines(docs_).collect())
+    assert sum(n for _, n in expected) >= 89
+    for dealt, held, group in ((lines.DEALT, 40, 12), (100, 1, 4096), (1000, 300, 30)):
+        for name, value in (("DEALT", dealt), ("HELD", held), ("GROUP", group)):
+            monkeypatch.setattr(lines, name, value)
+        assert sorted((r.doc_id, r.n_removed) for r in lines.dedup_lines(docs_).collect()) == expected
+
+
+def test_unlike_texts_are_told_before_their_end(monkeypatch):
+    """A distance never is below its bound, unlike texts are given up before they are read, and walks end where they cost too much."""
+    rng, bounds, columns = random.Random(11), [], []
+    least = lines._least
+    monkeypatch.setattr(lines, "_least", lambda up, down, column, long, short: bounds.append(least(up, down, column, long, short)) or columns.append(column) or bounds[-1])
+    for k in range(40):
+        a = "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(600, 900)))
+        b = list(a) if k % 2 else [rng.choice("abcdefgh ") for _ in a]
+        for _ in range(rng.randint(0, 30)):
+            c = rng.randint(0, len(b))
+            b[c : c + rng.randint(0, 1)] = rng.choice(("", "x", "ab"))
+        b, bounds[:], columns[:] = "".join(b), [], []
+        d = lines.edit_distance(a, b, len(a))
+        assert bounds and max(bounds) <= d == plain_distance(a, b)
+        columns.clear()
+        if not k % 2:
+            assert lines.edit_distance(a, b, len(a) // 8) > len(a) // 8 and columns[-1] < len(a) // 2
+    x, y = "a b c d e f".split(), "a bb cc dd ee f".split()
+    assert lines._rewritten(x, y, 5) > 5 and lines._rewritten(x, y, 50) == lines._rewritten(x, y)
+
+
+def test_words_hash_alike_wherever_they_stand():
+    """Words of odd and even lengths, longer than _COMMON bytes too, beside other texts' words or alone."""
+    import pyarrow as pa
+
+    from varlake.llm import arrays
+
+    words_ = ["a", "ab", "abc", "x" * 31, "x" * 32, "x" * 33, "y" * 34, "\u00e9", "\u6f22a", "z" * 1000]
+    alone = [arrays.Words(pa.array([w]), lower=True, terms=True).hashes().tolist() for w in words_]
+    assert arrays.Words(pa.array(words_), lower=True, terms=True).hashes().tolist() == [h for x in alone for h in x]
+    assert arrays.Words(pa.array([" ".join(words_), "A,B"]), lower=True, terms=True).hashes().tolist() == [h for x in alone for h in x] + [alone[0][0], *arrays.Words(pa.array(["b"]), terms=True).hashes().tolist()]
+    assert arrays._COMMON % 2 == 0
+
+
 def test_edit_distance():
     rng = random.Random(3)
 
